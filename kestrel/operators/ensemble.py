@@ -48,3 +48,109 @@ def member_probability(model, df: DataFrame, out_col: str, features_col: str = "
     scored = model.transform(df.drop(*existing))
     extra = [c for c in scored.columns if c not in df.columns or c in OUTPUT_COLS]
     return scored.withColumn(out_col, positive_probability("probability")).drop(*[c for c in extra if c != out_col])
+
+
+def _fit_all(members, df: DataFrame, parallelism: int):
+    if parallelism <= 1 or len(members) <= 1:
+        return [est.fit(df) for _, est in members]
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:  # concurrent Spark jobs from one driver
+        return list(pool.map(lambda m: m[1].fit(df), members))
+
+
+class SoftVotingClassifier(Estimator):
+    """Weighted mean of the members' P(y = 1); class = mean > 0.5 (argmax, ties to class 0)."""
+
+    def __init__(self, members, weights=None, parallelism: int = 1):
+        super().__init__()
+        self.members = list(members)
+        self.weights = list(weights) if weights is not None else [1.0] * len(self.members)
+        self.parallelism = parallelism
+
+    def _fit(self, dataset: DataFrame) -> "SoftVotingModel":
+        return SoftVotingModel([n for n, _ in self.members], _fit_all(self.members, dataset, self.parallelism),
+                               self.weights)
+
+
+class SoftVotingModel(Model):
+    def __init__(self, names, models, weights):
+        super().__init__()
+        self.names, self.models, self.weights = list(names), list(models), list(weights)
+
+    def member_probabilities(self, dataset: DataFrame) -> DataFrame:
+        out = dataset
+        for name, m in zip(self.names, self.models):
+            out = member_probability(m, out, f"p_{name}")
+        return out
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        out = self.member_probabilities(dataset)
+        p = weighted_vote([F.col(f"p_{n}") for n in self.names], self.weights)
+        return with_probability(out.withColumn("y_vote", p), F.col("y_vote")).drop(
+            "y_vote", *[f"p_{n}" for n in self.names]
+        )
+
+
+class StackingClassifier(Estimator):
+    """Out-of-fold P(y = 1) of each base (stratified ``cv`` folds) -> combiner; bases refit on all rows.
+
+    ``passthrough`` appends the original features to the combiner's input.
+    """
+
+    def __init__(self, members, final=None, cv: int = 5, passthrough: bool = False, id_col: str = "id",
+                 label_col: str = "label", features_col: str = "features", parallelism: int = 1, seed="stack"):
+        super().__init__()
+        from kestrel.operators.models import logistic
+
+        self.members = list(members)
+        self.final = final if final is not None else logistic(max_iter=100)
+        self.cv, self.passthrough, self.id_col = cv, passthrough, id_col
+        self.label_col, self.features_col, self.parallelism, self.seed = label_col, features_col, parallelism, seed
+
+    def _meta_assembler(self):
+        from pyspark.ml.feature import VectorAssembler
+
+        cols = [f"p_{n}" for n, _ in self.members] + ([self.features_col] if self.passthrough else [])
+        return VectorAssembler(inputCols=cols, outputCol="__meta")
+
+    def _fit(self, dataset: DataFrame) -> "StackingModel":
+        from pyspark import StorageLevel
+
+        from kestrel.operators.splits import kfold
+
+        folded = kfold(dataset.withColumn("__y", F.col(self.label_col).cast("int")), self.cv, "__y", self.id_col,
+                       self.seed, fold_col="__fold").persist(StorageLevel.MEMORY_AND_DISK)
+        parts = []
+        for j in range(self.cv):
+            tr, va = folded.where(F.col("__fold") != j), folded.where(F.col("__fold") == j)
+            models = _fit_all(self.members, tr, self.parallelism)
+            for (name, _), m in zip(self.members, models):
+                va = member_probability(m, va, f"p_{name}", self.features_col)
+            parts.append(va.select(self.id_col, self.label_col, self.features_col,
+                                   *[f"p_{n}" for n, _ in self.members]))
+        oof = parts[0]
+        for p in parts[1:]:
+            oof = oof.unionByName(p)
+        meta = self._meta_assembler().transform(oof).persist(StorageLevel.MEMORY_AND_DISK)  # combiner iterates
+        final = self.final.copy()
+        if hasattr(final, "_set") and final.hasParam("featuresCol"):
+            final._set(featuresCol="__meta")
+        final_model = final.fit(meta)
+        bases = _fit_all(self.members, dataset, self.parallelism)
+        meta.unpersist()
+        folded.unpersist()
+        return StackingModel([n for n, _ in self.members], bases, final_model, self._meta_assembler())
+
+
+class StackingModel(Model):
+    def __init__(self, names, bases, final, assembler):
+        super().__init__()
+        self.names, self.bases, self.final, self.assembler = names, bases, final, assembler
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        out = dataset
+        for name, m in zip(self.names, self.bases):
+            out = member_probability(m, out, f"p_{name}")
+        scored = self.final.transform(self.assembler.transform(out))
+        return scored.drop("__meta", *[f"p_{n}" for n in self.names])
