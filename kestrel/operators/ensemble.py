@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.functions.columns import hard_class, positive_probability
+from kestrel.operators.persistence import CompositePersistence
 
 OUTPUT_COLS = ("rawPrediction", "probability", "prediction")
 
@@ -73,11 +74,22 @@ class SoftVotingClassifier(Estimator):
                                self.weights)
 
 
-class SoftVotingModel(Model):
-    def __init__(self, names, models, weights):
+class SoftVotingModel(CompositePersistence, Model):
+    def __init__(self, names=(), models=(), weights=()):
         super().__init__()
         self.names, self.models, self.weights = list(names), list(models), list(weights)
 
+    def _children(self):
+        return {f"member_{i}": m for i, m in enumerate(self.models)}
+
+    def _state(self):
+        return {"names": self.names, "weights": [float(w) for w in self.weights]}
+
+    @classmethod
+    def _restore(cls, state, children):
+        n = len(state["names"])
+        return cls(state["names"], [children[f"member_{i}"] for i in range(n)], state["weights"])
+
     def member_probabilities(self, dataset: DataFrame) -> DataFrame:
         out = dataset
         for name, m in zip(self.names, self.models):
@@ -143,10 +155,21 @@ class StackingClassifier(Estimator):
         return StackingModel([n for n, _ in self.members], bases, final_model, self._meta_assembler())
 
 
-class StackingModel(Model):
-    def __init__(self, names, bases, final, assembler):
+class StackingModel(CompositePersistence, Model):
+    def __init__(self, names=(), bases=(), final=None, assembler=None):
         super().__init__()
-        self.names, self.bases, self.final, self.assembler = names, bases, final, assembler
+        self.names, self.bases, self.final, self.assembler = list(names), list(bases), final, assembler
+
+    def _children(self):
+        return {**{f"base_{i}": m for i, m in enumerate(self.bases)}, "final": self.final, "assembler": self.assembler}
+
+    def _state(self):
+        return {"names": self.names}
+
+    @classmethod
+    def _restore(cls, state, children):
+        n = len(state["names"])
+        return cls(state["names"], [children[f"base_{i}"] for i in range(n)], children["final"], children["assembler"])
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         out = dataset

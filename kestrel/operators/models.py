@@ -35,6 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
+from kestrel.operators.persistence import CompositePersistence
+
 SEED = 42
 
 
@@ -208,7 +210,7 @@ class CalibratedRBFSVM(Estimator, _Base, DefaultParamsReadable, DefaultParamsWri
         return out
 
 
-class CalibratedRBFSVMModel(Model, _Base, DefaultParamsReadable, DefaultParamsWritable):
+class CalibratedRBFSVMModel(CompositePersistence, Model, _Base):
     plattA = Param(Params._dummy(), "plattA", "Platt slope", TypeConverters.toFloat)
     plattB = Param(Params._dummy(), "plattB", "Platt intercept", TypeConverters.toFloat)
 
@@ -219,6 +221,18 @@ class CalibratedRBFSVMModel(Model, _Base, DefaultParamsReadable, DefaultParamsWr
         self.rff = None
         self.svm = None
 
+    def _children(self):
+        return {"rff": self.rff, "svm": self.svm}
+
+    def _state(self):
+        return {}
+
+    @classmethod
+    def _restore(cls, state, children):
+        m = cls()
+        m.rff, m.svm = children["rff"], children["svm"]
+        return m
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         scored = self.svm.transform(self.rff.transform(dataset))
         margin = vector_to_array("rawPrediction")[1]

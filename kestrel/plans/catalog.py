@@ -242,6 +242,36 @@ def q_docs_design_matrix(spark, sf):
     return round_doubles(m.transform(d).select("id", *m.feature_names()))
 
 
+def q_kfold_all_rows(spark, sf):
+    """V5: folds numbered over every row (the first baseline's CV on 100 % of rows)."""
+    a = art(spark, sf).select("id", "y")
+    return stratified_split(a, "y", "id", TEST_SIZE, K, SEED, cv_scope="all").select("id", "y", "split", "fold")
+
+
+def q_fold_class_counts(spark, sf):
+    """Stratification check: rows per (fold, class) on the trainval rows."""
+    tv = _trainval(art_split(spark, sf, ["id", "y"]))
+    return tv.groupBy("fold", "y").agg(F.count("*").alias("n_rows"))
+
+
+def q_docs_ordered_target_mean(spark, sf):
+    d = _trainval(stratified_split(docs(spark, sf), "y", "id", TEST_SIZE, K, SEED))
+    return round_doubles(ordered_target_encode(d, ["source"], "y", "id", seed="cb").select("id", "source_te"))
+
+
+def q_docs_auc(spark, sf):
+    """Exact AUC of an integer score with many ties (document length for the quality label)."""
+    return round_doubles(M.roc_auc(docs(spark, sf), "y", "n_chars", ["lang"], max_groups=64))
+
+
+def q_bootstrap_weights(spark, sf):
+    """Bayesian-bootstrap row weights (-ln u)^t for the bagging temperatures of the search space."""
+    a = art(spark, sf).select("id")
+    u = F.greatest(C.md5_uniform("id", "bw42"), F.lit(1e-12))
+    return round_doubles(a.select("id", *[F.pow(-F.log(u), F.lit(t)).alias(f"w_{str(t).replace('.', '_')}")
+                                          for t in (0.5, 1.0, 1.5, 2.0)]))
+
+
 EXACT: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "holdout_split": q_holdout_split,
     "kfold_assign": q_kfold_assign,
@@ -274,4 +304,9 @@ EXACT: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "soft_vote": q_soft_vote,
     "docs_split": q_docs_split,
     "docs_design_matrix": q_docs_design_matrix,
+    "kfold_all_rows": q_kfold_all_rows,
+    "fold_class_counts": q_fold_class_counts,
+    "docs_ordered_target_mean": q_docs_ordered_target_mean,
+    "docs_auc": q_docs_auc,
+    "bootstrap_weights": q_bootstrap_weights,
 }

@@ -202,6 +202,29 @@ FROM lg, eps GROUP BY y, feature"""
     q["docs_design_matrix"] = DOCS_SPLIT + "," + stats_sql("tv", ["n_chars"], ["lang", "source"]) + (
         f", d AS (SELECT id, {', '.join(design_select(['n_chars'], docs_levels))} FROM sp, st)"
         f" SELECT id, {rounded_all(names)} FROM d")
+    q["kfold_all_rows"] = "WITH " + ART_SQL + """,
+r0 AS (SELECT id, y, row_number() OVER (PARTITION BY y ORDER BY md5(concat(cast(id as varchar), ':42')), id) AS rk,
+              count(*) OVER (PARTITION BY y) AS nc FROM art)
+SELECT id, y, CASE WHEN rk <= cast(ceil(0.2e0 * nc) as bigint) THEN 'test' ELSE 'trainval' END AS split,
+       cast((rk - 1) % 5 as integer) AS fold FROM r0"""
+    q["fold_class_counts"] = ART_SPLIT + " SELECT fold, y, count(*) AS n_rows FROM tv GROUP BY fold, y"
+    q["docs_ordered_target_mean"] = DOCS_SPLIT + """,
+pr AS (SELECT avg(y) AS p FROM tv),
+te AS (SELECT id, source AS v, y, md5(concat(cast(id as varchar), ':cb')) AS k FROM tv)
+SELECT id, """ + r("(coalesce(sum(y) OVER w, 0) + p) / (coalesce(count(*) OVER w, 0) + 1e0)") + """ AS source_te
+FROM te, pr
+WINDOW w AS (PARTITION BY v ORDER BY k, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+    q["docs_auc"] = "WITH " + DOCS_SQL + """,
+a0 AS (SELECT lang, n_chars AS s, sum(y) AS pos, sum(1 - y) AS neg FROM docs GROUP BY lang, n_chars),
+a1 AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY lang ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+         AS nb FROM a0),
+a2 AS (SELECT lang, sum(pos * (nb + neg / 2e0)) AS num, sum(pos) AS p, sum(neg) AS n FROM a1 GROUP BY lang)
+SELECT lang, """ + r("CASE WHEN p > 0 AND n > 0 THEN num / (cast(p as double) * cast(n as double)) END") + """ AS roc_auc
+FROM a2"""
+    u = "greatest(" + "(cast(('0x' || substr(md5(concat(cast(id as varchar), ':bw42')), 1, 8)) as bigint) / 4294967296e0)" \
+        + ", 1e-12)"
+    ws = ", ".join(r(f"pow(-ln({u}), {t}e0)") + f" AS w_{str(t).replace('.', '_')}" for t in (0.5, 1.0, 1.5, 2.0))
+    q["bootstrap_weights"] = "WITH " + ART_SQL + f" SELECT id, {ws} FROM art"
     return q
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from kestrel.functions.columns import md5_uniform, positive_probability
 from kestrel.operators.metrics import roc_auc
 from kestrel.operators.target_encoding import OrderedTargetEncoder, ordered_target_encode
-from kestrel.session import checkpoint_dir
+from kestrel.session import checkpoint_dir, cut_lineage
 
 # The tuned booster's search space (7 lists, 5*4*6*4*5*5*5 = 60,000 settings).
 PARAM_SPACE: dict[str, list] = {
@@ -193,8 +193,11 @@ def prefix_auc_curve(model: PipelineModel, eval_df: DataFrame, label_col: str =
                                                               .alias("block")).agg(F.sum("value").alias("s"))
     w = Window.partitionBy(id_col).orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
     margins = block.withColumn("margin", F.sum("s").over(w)).withColumn(
-        "trees", F.least((F.col("block") + 1) * eval_every, F.lit(n_trees)))
-    return roc_auc(margins, "y", "margin", ["trees"], max_groups=n_blocks).orderBy("trees")
+        "trees", F.least((F.col("block") + 1) * eval_every, F.lit(n_trees))
+    ).persist(StorageLevel.MEMORY_AND_DISK)  # read twice by the AUC (bucket count, then the sweep)
+    curve = cut_lineage(roc_auc(margins, "y", "margin", ["trees"], max_groups=n_blocks))  # one row per prefix
+    margins.unpersist()
+    return curve.orderBy("trees")
 
 
 def best_iteration(curve: DataFrame, patience: int = PATIENCE) -> int:
@@ -219,3 +222,10 @@ def feature_importances(model: PipelineModel, names: Sequence[str]) -> DataFrame
 def top_importances(imp: DataFrame, k: int = 20) -> DataFrame:
     """Descending importance, ties by name, first k (the limit is the feature)."""
     return imp.orderBy(F.desc("importance"), "feature").limit(k)
+
+
+def search_report(trials: DataFrame) -> str:
+    """M6: best settings and best CV AUC (the trials table has one row per sampled setting)."""
+    best = trials.orderBy(F.desc("mean_auc"), "trial").first()
+    settings = {k: best[k] for k in PARAM_SPACE}
+    return f"Best tuned hyperparameters found: {settings}\nBest CV ROC AUC score: {best['mean_auc']:.4f}"

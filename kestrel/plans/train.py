@@ -85,7 +85,6 @@ def train_tuned(
         fit_rows, eval_rows = trainval.where(F.col("fold") != 0), trainval.where(F.col("fold") == 0)
     full = est.fit_iterations(fit_rows, final_iterations)
     curve = S.prefix_auc_curve(full, eval_rows, "label", eval_every, id_col)
-    curve = cut_lineage(curve)
     best_m = S.best_iteration(curve, patience)
     booster = est.fit_iterations(trainval, best_m) if (best_m != final_iterations or eval_on != "holdout") else full
 

@@ -65,7 +65,10 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     if path is not None:
         spark.sparkContext.setCheckpointDir(path)
         return df.checkpoint(eager=eager)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if eager:
+        out.count()
+    return out
 
 
 def default_parallelism(spark: SparkSession) -> int:

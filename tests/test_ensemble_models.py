@@ -68,3 +68,19 @@ def test_boosted_mlp_and_svm_learn_signal(spark):
         out = est.fit(d).transform(d).withColumn("p", positive_probability())
         assert out.where(F.col("p").isNull()).count() == 0
         assert roc_auc(out, "y", "p").first()[0] > 0.8, type(est).__name__
+
+
+def test_composite_models_persist(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+
+    d = _design(spark)
+    vote = SoftVotingClassifier([("lr", L.logistic(max_iter=20)), ("nb", L.gaussian_nb())], weights=[2, 1]).fit(d)
+    stack = StackingClassifier([("lr", L.logistic(max_iter=20)), ("nb", L.gaussian_nb())], cv=2).fit(d)
+    svm = L.CalibratedRBFSVM(nComponents=20, calibrationFolds=2, maxIter=5).fit(d)
+    for i, m in enumerate((vote, stack, svm)):
+        path = str(tmp_path / f"m{i}")
+        PipelineModel(stages=[m]).write().overwrite().save(path)
+        again = PipelineModel.load(path)
+        a = m.transform(d).select("id", "probability").orderBy("id").collect()
+        b = again.transform(d).select("id", "probability").orderBy("id").collect()
+        assert a == b

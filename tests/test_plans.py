@@ -111,3 +111,19 @@ def test_gam_learns_signal_and_persists(spark, tmp_path):
     save_model(model, path)
     again = load_model(path).transform(d).select("probability").collect()
     assert again == out.select("probability").collect()
+
+
+def test_metrics_and_preprocessed_sinks(spark, tmp_path):
+    from kestrel.operators import models as L
+    from kestrel.plans.experiment import report, run_experiment
+    from kestrel.sources.sinks import write_preprocessed
+
+    df = art(spark, SF).select("id", *NUM, *ART_CAT, "shares", "y")
+    path = str(tmp_path / "metrics")
+    m = run_experiment(df, L.gaussian_nb(), NUM, list(ART_CAT), name="nb", metrics_path=path)
+    assert spark.read.parquet(path).count() == 7
+    assert "holdout" in report(m)
+    pre = TabularPreprocessor(numCols=NUM, catCols=list(ART_CAT)).fit(df)
+    write_preprocessed(df, pre, str(tmp_path / "pre"))
+    flat = spark.read.parquet(str(tmp_path / "pre"))
+    assert flat.count() == df.count() and flat.columns[:2] == ["id", "y"] and len(flat.columns) == 2 + 15
