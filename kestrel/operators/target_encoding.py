@@ -53,11 +53,12 @@ class OrderedTargetEncoder(Estimator, DefaultParamsReadable, DefaultParamsWritab
 
     catCols = Param(Params._dummy(), "catCols", "categorical columns", TypeConverters.toListString)
     labelCol = Param(Params._dummy(), "labelCol", "label column", TypeConverters.toString)
+    maxLevels = Param(Params._dummy(), "maxLevels", "largest level count accepted", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, catCols=None, labelCol="y"):
+    def __init__(self, catCols=None, labelCol="y", maxLevels=100000):
         super().__init__()
-        self._setDefault(catCols=[], labelCol="y")
+        self._setDefault(catCols=[], labelCol="y", maxLevels=100000)
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, dataset: DataFrame) -> "OrderedTargetEncoderModel":
@@ -65,8 +66,12 @@ class OrderedTargetEncoder(Estimator, DefaultParamsReadable, DefaultParamsWritab
         p = dataset.agg(F.avg(F.col(label).cast("double"))).first()[0]
         table = {}
         for c in self.getOrDefault(self.catCols):
+            cap = self.getOrDefault(self.maxLevels)
             rows = dataset.groupBy(c).agg(F.sum(F.col(label).cast("double")).alias("s"), F.count("*").alias("n"))
-            table[c] = {str(r[c]): (r["s"] + p) / (r["n"] + 1.0) for r in rows.collect()}
+            got = rows.limit(cap + 1).collect()  # one row per level, checked against the cap
+            if len(got) > cap:
+                raise ValueError(f"column '{c}' has more than {cap} levels")
+            table[c] = {str(r[c]): (r["s"] + p) / (r["n"] + 1.0) for r in got}
         m = OrderedTargetEncoderModel()
         m._set(catCols=self.getOrDefault(self.catCols), prior=float(p), table=json.dumps(table))
         return m

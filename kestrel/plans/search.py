@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from kestrel.functions.columns import md5_uniform, positive_probability
 from kestrel.operators.metrics import roc_auc
+from kestrel.operators.prefix import broadcast_if_small
 from kestrel.operators.target_encoding import OrderedTargetEncoder, ordered_target_encode
 from kestrel.session import checkpoint_dir, cut_lineage
 
@@ -99,24 +100,34 @@ class CatBoostLikeClassifier(Estimator):
             gbt.setWeightCol("__bw")
         return gbt
 
-    def prepare(self, dataset: DataFrame) -> DataFrame:
-        """Training-side frame: ordered encodings, bootstrap weights, assembled features."""
+    def encode_training(self, dataset: DataFrame) -> DataFrame:
+        """Training-side frame without setting-dependent columns: ordered encodings + assembled features."""
         enc = ordered_target_encode(dataset, self.cat_cols, self.label_col, self.id_col, seed=f"cb{self.seed}")
-        t = float(self.setting.get("bagging_temperature", 0))
-        if t > 0:
-            u = F.greatest(md5_uniform(self.id_col, f"bw{self.seed}"), F.lit(1e-12))
-            enc = enc.withColumn("__bw", F.pow(-F.log(u), F.lit(t)))
         return VectorAssembler(inputCols=self.feature_names(), outputCol="features").transform(enc)
 
+    def with_weights(self, encoded: DataFrame) -> DataFrame:
+        """Bayesian-bootstrap weights for this setting's bagging temperature (a projection)."""
+        t = float(self.setting.get("bagging_temperature", 0))
+        if t <= 0:
+            return encoded
+        u = F.greatest(md5_uniform(self.id_col, f"bw{self.seed}"), F.lit(1e-12))
+        return encoded.withColumn("__bw", F.pow(-F.log(u), F.lit(t)))
+
+    def scoring_model(self, dataset: DataFrame, gbt_model) -> PipelineModel:
+        encoder = OrderedTargetEncoder(catCols=self.cat_cols, labelCol=self.label_col).fit(dataset)
+        assembler = VectorAssembler(inputCols=self.feature_names(), outputCol="features")
+        return PipelineModel(stages=[encoder, assembler, gbt_model])
+
+    def prepare(self, dataset: DataFrame) -> DataFrame:
+        return self.with_weights(self.encode_training(dataset))
+
     def _fit(self, dataset: DataFrame, iterations: int | None = None) -> PipelineModel:
         train = self.prepare(dataset).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             gbt_model = self.booster(iterations).fit(train)
         finally:
             train.unpersist()
-        encoder = OrderedTargetEncoder(catCols=self.cat_cols, labelCol=self.label_col).fit(dataset)
-        assembler = VectorAssembler(inputCols=self.feature_names(), outputCol="features")
-        return PipelineModel(stages=[encoder, assembler, gbt_model])
+        return self.scoring_model(dataset, gbt_model)
 
     def fit_iterations(self, dataset: DataFrame, iterations: int) -> PipelineModel:
         return self._fit(dataset, iterations)
@@ -128,13 +139,23 @@ def randomized_search(data: DataFrame, num_cols: Sequence[str], cat_cols: Sequen
     """Trials table: one row per sampled setting with its mean k-fold ROC AUC. ``data`` carries a ``fold`` column."""
     settings = sample_settings(n_iter, seed)
     spark = data.sparkSession
+    # The encodings of a fold do not depend on the setting: computed once per fold, shared by every trial.
+    base = CatBoostLikeClassifier(num_cols, cat_cols, None, iterations, seed, label_col, id_col)
+    folds = []
+    for j in range(k):
+        tr, va = data.where(F.col("fold") != j), data.where(F.col("fold") == j)
+        tr_enc = base.encode_training(tr).persist(StorageLevel.MEMORY_AND_DISK)
+        enc_model = OrderedTargetEncoder(catCols=list(cat_cols), labelCol=label_col).fit(tr)
+        assembler = VectorAssembler(inputCols=base.feature_names(), outputCol="features")
+        va_enc = assembler.transform(enc_model.transform(va)).persist(StorageLevel.MEMORY_AND_DISK)
+        folds.append((tr_enc, va_enc))
 
     def fold_scores(setting):
         parts = []
-        for j in range(k):
+        for j, (tr_enc, va_enc) in enumerate(folds):
             est = CatBoostLikeClassifier(num_cols, cat_cols, setting, iterations, seed, label_col, id_col)
-            model = est.fit(data.where(F.col("fold") != j))
-            va = model.transform(data.where(F.col("fold") == j))
+            model = est.booster().fit(est.with_weights(tr_enc))
+            va = model.transform(va_enc)
             parts.append(va.select(F.lit(j).alias("fold"), F.col(label_col).cast("int").alias("y"),
                                    positive_probability().alias("p")))
         scored = parts[0]
@@ -148,6 +169,9 @@ def randomized_search(data: DataFrame, num_cols: Sequence[str], cat_cols: Sequen
             scores = list(pool.map(fold_scores, settings))
     else:
         scores = [fold_scores(s) for s in settings]
+    for tr_enc, va_enc in folds:
+        tr_enc.unpersist()
+        va_enc.unpersist()
     rows = [(i, float(s["learning_rate"]), int(s["depth"]), float(s["l2_leaf_reg"]), int(s["border_count"]),
              float(s["bagging_temperature"]), float(s["random_strength"]), float(s["colsample_bylevel"]),
              float(sc), dict(APPLIED)) for i, (s, sc) in enumerate(zip(settings, scores))]
@@ -181,7 +205,8 @@ def prefix_auc_curve(model: PipelineModel, eval_df: DataFrame, label_col: str =
     leaves = nodes.where(F.col("leftChild") < 0).select(
         "treeID", (F.row_number().over(Window.partitionBy("treeID").orderBy("id")) - 1).alias("leaf"),
         (F.col("prediction") * wmap[F.col("treeID")]).alias("value"))
-    leaves = F.broadcast(leaves)  # bounded: trees x 2^maxDepth rows
+    bound = n_trees * 2 ** int(gbt.getOrDefault("maxDepth"))
+    leaves = broadcast_if_small(leaves, bound=bound)  # at most trees x 2^maxDepth rows; else a shuffle join
 
     n_blocks = math.ceil(n_trees / eval_every)
     pre = PipelineModel(stages=model.stages[:-1]).transform(eval_df)

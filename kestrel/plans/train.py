@@ -67,9 +67,11 @@ def train_tuned(
     num_cols = numeric_columns(derived, exclude=(id_col, label))  # after derivation (P3)
     imputer = TabularPreprocessor(numCols=num_cols, catCols=list(cat_cols), numStrategy="median",
                                   catStrategy="constant", scale=False, oneHot=False, outputMode="columns")
-    split = stratified_split(derived, label, id_col, test_size, k, seed)
-    imputer_model = imputer.fit(derived if fit_scope == "all" else split.where(F.col("split") == TRAIN))
-    data = cut_lineage(imputer_model.transform(split).withColumn("label", F.col(label).cast("double")))
+    # numbered rows are materialised once: the imputer's passes, the search and the final fits all read them
+    split = cut_lineage(stratified_split(derived, label, id_col, test_size, k, seed)
+                        .withColumn("label", F.col(label).cast("double")))
+    imputer_model = imputer.fit(split if fit_scope == "all" else split.where(F.col("split") == TRAIN))
+    data = imputer_model.transform(split)
     trainval = data.where(F.col("split") == TRAIN)
     test = data.where(F.col("split") != TRAIN)
     warn_if_small(trainval, label, k)
