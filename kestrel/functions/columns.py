@@ -58,11 +58,22 @@ def row_max(cols: Sequence[str | Column]) -> Column:
 
 
 def row_std(cols: Sequence[str | Column]) -> Column:
-    """Row-wise sample standard deviation (ddof = 1) over the present values; fewer than 2 gives NULL."""
-    present = F.filter(F.array(*[_c(c).cast("double") for c in cols]), lambda x: x.isNotNull())
-    n = F.size(present)
-    mean = F.try_divide(F.aggregate(present, F.lit(0.0), lambda acc, x: acc + x), n)
-    ss = F.aggregate(present, F.lit(0.0), lambda acc, x: acc + (x - mean) * (x - mean))
+    """Row-wise sample standard deviation (ddof = 1) over the present values; fewer than 2 gives NULL.
+
+    Two passes written as plain arithmetic over the fixed column list (no array lambdas), so the expression stays
+    inside whole-stage codegen: mean of the present values, then the sum of squared deviations.
+    """
+    xs = [_c(c).cast("double") for c in cols]
+    n = None
+    total = None
+    for x in xs:
+        n = x.isNotNull().cast("int") if n is None else n + x.isNotNull().cast("int")
+        total = F.coalesce(x, F.lit(0.0)) if total is None else total + F.coalesce(x, F.lit(0.0))
+    mean = F.try_divide(total, n)
+    ss = None
+    for x in xs:
+        term = F.when(x.isNotNull(), (x - mean) * (x - mean)).otherwise(F.lit(0.0))
+        ss = term if ss is None else ss + term
     return F.when(n >= 2, F.sqrt(F.try_divide(ss, n - 1)))
 
 

@@ -4,11 +4,12 @@ A window ``PARTITION BY label ORDER BY key`` puts a whole class (or, unpartition
 Here the order key is first cut into buckets that are monotone in the key (leading md5 hex digits, or quantile
 boundaries of a score). Then:
 
-1. per (group, bucket) totals — a map-side-combined aggregate, at most ``groups x buckets`` rows;
-2. exclusive running total over that small table (bucket offsets);
-3. offsets joined back — broadcast only when the offset table is counted below a row bound, else a shuffle join;
-4. a window inside (group, bucket) only, so every task holds about ``rows_per_bucket`` rows even when one group
-   (one class, one category level) holds a third of the table.
+1. one shuffle on (group, bucket); a window inside (group, bucket) gives the running sum within the bucket and
+   the bucket total, so every task holds about ``rows_per_bucket`` rows even when one group (one class, one
+   category level) holds a third of the table;
+2. the bucket totals (at most ``groups x buckets`` rows) get an exclusive running total: the bucket offsets;
+3. offsets joined back — broadcast only when the offset table is proven below a row bound, else a shuffle join.
+   The totals branch and the joined branch share the step-1 exchange (Spark reuses it), so the input is read once.
 
 The result equals the plain window exactly; buckets only change how the work is spread.
 """
@@ -60,20 +61,27 @@ def exclusive_prefix(
     tmp = {name: f"__v_{name}" for name in sums}
     base = df.withColumns({tmp[n]: (F.col(e) if isinstance(e, str) else e) for n, e in sums.items()})
 
-    totals = base.groupBy(*group_cols, bucket).agg(*[F.sum(tmp[n]).alias(tmp[n]) for n in sums])
+    # One shuffle on (group, bucket) feeds both the running sum inside the bucket and the bucket total; the
+    # totals branch and the join branch share that exchange, so the input is read and shuffled once.
+    part = Window.partitionBy(*group_cols, bucket)
+    w_in = part.orderBy(*[F.col(o) if isinstance(o, str) else o for o in order]).rowsBetween(
+        Window.unboundedPreceding, -1)
+    within = base.withColumns(
+        {**{f"__in_{n}": F.coalesce(F.sum(tmp[n]).over(w_in), F.lit(0)) for n in sums},
+         **{f"__tot_{n}": F.sum(tmp[n]).over(part) for n in sums}}
+    )
+    totals = within.groupBy(*group_cols, bucket).agg(*[F.max(f"__tot_{n}").alias(f"__tot_{n}") for n in sums])
     w_off = Window.partitionBy(*group_cols).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    keys = [*group_cols, bucket]
     offsets = totals.select(
-        *group_cols, bucket, *[F.coalesce(F.sum(tmp[n]).over(w_off), F.lit(0)).alias(f"__off_{n}") for n in sums]
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+        *[F.coalesce(F.sum(f"__tot_{n}").over(w_off), F.lit(0)).alias(f"__off_{n}") for n in sums],
     )
     offsets = broadcast_if_small(offsets, max_broadcast_rows, offset_rows_bound)
-
-    w_in = (
-        Window.partitionBy(*group_cols, bucket)
-        .orderBy(*[F.col(o) if isinstance(o, str) else o for o in order])
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    within = base.withColumns({f"__in_{n}": F.coalesce(F.sum(tmp[n]).over(w_in), F.lit(0)) for n in sums})
-    joined = within.join(offsets, on=[*group_cols, bucket], how="inner")
+    # null-safe equality adds no inferred IS NOT NULL filter to one side only, so both sides keep the same
+    # exchange below them and Spark reuses it
+    cond = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    joined = within.join(offsets, on=cond, how="inner").drop(*[f"__k{i}" for i in range(len(keys))])
     return joined.withColumns({n: F.col(f"__off_{n}") + F.col(f"__in_{n}") for n in sums}).drop(
-        *tmp.values(), *[f"__off_{n}" for n in sums], *[f"__in_{n}" for n in sums]
+        *tmp.values(), *[f"__off_{n}" for n in sums], *[f"__in_{n}" for n in sums], *[f"__tot_{n}" for n in sums]
     )

@@ -22,8 +22,10 @@ ART_NUM = ("x1", "x2", "t0", "t1", "t2", "t3", "t4")
 ART_CAT = ("cat1", "cat2")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
+    from kestrel.sources.tables import spread
+
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"), key)
 
 
 def _null_when(col, cond):
@@ -31,7 +33,8 @@ def _null_when(col, cond):
 
 
 def art(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    orders = table(spark, sf_dir, "orders", "o_orderkey").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
     j = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
     i = F.col("o_orderkey")
@@ -68,7 +71,7 @@ def art(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    d = table(spark, sf_dir, "documents", "doc_id").select("doc_id", "lang", "source", "n_chars")
     lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
     return d.join(lab, "doc_id", "inner").select(
         F.col("doc_id").alias("id"),

@@ -38,3 +38,13 @@ def test_scoring_encoder_uses_full_statistics(spark):
     p = 2 / 3
     got = {r.c: r.c_te for r in m.transform(df).collect()}
     assert math.isclose(got["a"], (1 + p) / 3) and math.isclose(got["b"], (1 + p) / 2)
+
+
+def test_exact_median_band_selection_continuous_and_heavy(spark):
+    rnd = random.Random(7)
+    rows = [(i, rnd.gauss(0, 1), 3.0 if i % 3 else rnd.random(), None if i % 5 == 0 else float(i)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id long, g double, h double, k double")
+    for rpb in (50, 500, 1 << 20):
+        got = exact_medians(df, ["g", "h", "k"], rows_per_bucket=rpb)
+        exp = df.agg(F.median("g"), F.median("h"), F.median("k")).first()
+        assert math.isclose(got["g"], exp[0]) and math.isclose(got["h"], exp[1]) and math.isclose(got["k"], exp[2])
