@@ -1,7 +1,7 @@
 """Tuned booster: parameter space (V6), randomized search (V7), best trial (V8), early stopping (V9),
 native-categorical boosting (F9 + C8), importances (M7, T1).
 
-``CatBoostLikeClassifier`` = ordered target statistics for the categorical columns (training rows see only the rows
+``OrderedBoostingClassifier`` = ordered target statistics for the categorical columns (training rows see only the rows
 before them; scoring uses full training statistics) + ``GBTClassifier`` over numeric + encoded columns. Its fitted
 form is a plain ``PipelineModel`` (encoder, assembler, GBT), so it persists and scores like any Spark model.
 
@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -34,7 +34,7 @@ from kestrel.functions.columns import md5_uniform, positive_probability
 from kestrel.operators.metrics import roc_auc
 from kestrel.operators.prefix import broadcast_if_small
 from kestrel.operators.target_encoding import OrderedTargetEncoder, ordered_target_encode
-from kestrel.session import checkpoint_dir, cut_lineage
+from kestrel.session import cut_lineage, shared_dir
 
 # The tuned booster's search space (7 lists, 5*4*6*4*5*5*5 = 60,000 settings).
 PARAM_SPACE: dict[str, list] = {
@@ -72,7 +72,7 @@ def sample_settings(n_iter: int = N_ITER, seed: int = 42, space: dict[str, list]
     return out
 
 
-class CatBoostLikeClassifier(Estimator):
+class OrderedBoostingClassifier(Estimator):
     """Ordered target statistics for ``cat_cols`` + GBT over numeric and encoded columns."""
 
     def __init__(self, num_cols: Sequence[str], cat_cols: Sequence[str], setting: dict | None = None,
@@ -140,7 +140,7 @@ def randomized_search(data: DataFrame, num_cols: Sequence[str], cat_cols: Sequen
     settings = sample_settings(n_iter, seed)
     spark = data.sparkSession
     # The encodings of a fold do not depend on the setting: computed once per fold, shared by every trial.
-    base = CatBoostLikeClassifier(num_cols, cat_cols, None, iterations, seed, label_col, id_col)
+    base = OrderedBoostingClassifier(num_cols, cat_cols, None, iterations, seed, label_col, id_col)
     folds = []
     for j in range(k):
         tr, va = data.where(F.col("fold") != j), data.where(F.col("fold") == j)
@@ -153,7 +153,7 @@ def randomized_search(data: DataFrame, num_cols: Sequence[str], cat_cols: Sequen
     def fold_scores(setting):
         parts = []
         for j, (tr_enc, va_enc) in enumerate(folds):
-            est = CatBoostLikeClassifier(num_cols, cat_cols, setting, iterations, seed, label_col, id_col)
+            est = OrderedBoostingClassifier(num_cols, cat_cols, setting, iterations, seed, label_col, id_col)
             model = est.booster().fit(est.with_weights(tr_enc))
             va = model.transform(va_enc)
             parts.append(va.select(F.lit(j).alias("fold"), F.col(label_col).cast("int").alias("y"),
@@ -192,9 +192,7 @@ def prefix_auc_curve(model: PipelineModel, eval_df: DataFrame, label_col: str =
     """AUC of the first m trees for m = eval_every, 2*eval_every, ..., n_trees (one distributed job)."""
     gbt = model.stages[-1]
     spark = eval_df.sparkSession
-    base = checkpoint_dir(spark)
-    if base is None:
-        raise RuntimeError("spark.checkpoint.dir is required to read the fitted trees' node table")
+    base = shared_dir(spark)
     path = f"{base.rstrip('/')}/gbt-nodes-{gbt.uid}"
     gbt.write().overwrite().save(path)
     nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.id", "nodeData.prediction",

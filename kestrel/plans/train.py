@@ -80,7 +80,7 @@ def train_tuned(
                                  "label", id_col)
     trials = cut_lineage(trials)
     best = S.best_setting(trials)
-    est = S.CatBoostLikeClassifier(num_cols, cat_cols, best, final_iterations, seed, "label", id_col)
+    est = S.OrderedBoostingClassifier(num_cols, cat_cols, best, final_iterations, seed, "label", id_col)
     if eval_on == "holdout":
         fit_rows, eval_rows = trainval, test
     else:

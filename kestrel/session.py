@@ -45,6 +45,17 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return conf or None
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """A folder every executor can read: the configured checkpoint folder. Without one, a temporary folder is only
+    acceptable when the master is local (one machine); on a cluster this raises instead of guessing."""
+    path = checkpoint_dir(spark)
+    if path is not None:
+        return path
+    if spark.sparkContext.master.startswith("local"):
+        return ensure_checkpoint_dir(spark)
+    raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the configured checkpoint folder; only when none is configured (local tests) make one in /tmp."""
     path = checkpoint_dir(spark)

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from kestrel.plans.score import score
-from kestrel.session import checkpoint_dir
+from kestrel.session import shared_dir
 from kestrel.sources.sinks import load_model
 
 
@@ -32,9 +32,7 @@ def start_scoring_stream(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = reader.option("header", True).csv(source_dir) if fmt == "csv" else reader.parquet(source_dir)
-    base = checkpoint_dir(spark)
-    if base is None:
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder for the stream's progress")
+    base = shared_dir(spark)
     return (
         score(rows, model)
         .writeStream.format("parquet")

@@ -3,7 +3,6 @@
 import math
 
 import numpy as np
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from kestrel.functions.columns import positive_probability

@@ -3,8 +3,6 @@
 import itertools
 import math
 
-from pyspark.sql import functions as F
-
 from kestrel.functions.columns import hard_class
 from kestrel.operators.metrics import accuracy_f1, classification_metrics, roc_auc
 

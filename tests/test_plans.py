@@ -127,3 +127,22 @@ def test_metrics_and_preprocessed_sinks(spark, tmp_path):
     write_preprocessed(df, pre, str(tmp_path / "pre"))
     flat = spark.read.parquet(str(tmp_path / "pre"))
     assert flat.count() == df.count() and flat.columns[:2] == ["id", "y"] and len(flat.columns) == 2 + 15
+
+
+def test_streaming_scorer_matches_batch(spark, trained, tmp_path):
+    from kestrel.streaming.scoring import start_scoring_stream
+
+    res, out = trained
+    unlabelled = art(spark, SF).select("id", *NUM, *ART_CAT)
+    src = str(tmp_path / "incoming")
+    unlabelled.repartition(3).write.parquet(src)
+    sink = str(tmp_path / "scored")
+    q = start_scoring_stream(spark, os.path.join(out, "model"), src, unlabelled.schema, sink,
+                             query_name=f"score_{tmp_path.name}")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    streamed = spark.read.parquet(sink).orderBy("id").collect()
+    batch = score(unlabelled, res.model).orderBy("id").collect()
+    assert streamed == batch
