@@ -52,12 +52,13 @@ def member_probability(model, df: DataFrame, out_col: str, features_col: str = "
 
 
 def _fit_all(members, df: DataFrame, parallelism: int):
+    """Fit every member on ``df``; each fit uses its own copy, so concurrent fold fits share no estimator state."""
     if parallelism <= 1 or len(members) <= 1:
-        return [est.fit(df) for _, est in members]
+        return [est.copy().fit(df) for _, est in members]
     from concurrent.futures import ThreadPoolExecutor
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:  # concurrent Spark jobs from one driver
-        return list(pool.map(lambda m: m[1].fit(df), members))
+        return list(pool.map(lambda m: m[1].copy().fit(df), members))
 
 
 class SoftVotingClassifier(Estimator):
