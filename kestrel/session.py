@@ -33,6 +33,26 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster job over ``input_bytes`` of input on ``cores`` executor cores.
+
+    Shuffle partitions are sized so one partition is about ``target_partition_bytes`` (AQE coalesces smaller ones
+    and splits skewed ones), never fewer than twice the cores; scan splits use the same size. Broadcasts stay at
+    Spark's size-checked threshold; this library only hints broadcasts for tables with a proven row bound.
+    """
+    partitions = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(10 << 20),
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, or None."""
     jsc = spark.sparkContext._jsc  # noqa: SLF001 - public accessor lives on the Java context

@@ -78,7 +78,11 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Hash-spread an input that has fewer scan splits than the cluster has cores (e.g. a one-row-group file), so
     per-row work (md5 draws, derivations) runs on every core. A large table already has many splits and is returned
     unchanged, so no shuffle is added at scale. Checking the split count plans the scan; it runs no job."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access: leave the plan to the optimizer
+        return df
+    if splits >= target:
         return df
     return df.repartition(target, key) if key else df.repartition(target)
