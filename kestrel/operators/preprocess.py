@@ -173,13 +173,17 @@ class TabularPreprocessor(Estimator, _PreParams, DefaultParamsReadable, DefaultP
             cat_counts.setdefault(r["col"], {})[r["v"]] = int(r["count"])
         return self._model_from(n, moments, cat_counts, medians)
 
-    def fit_folds(self, dataset: DataFrame, fold_col: str, k: int) -> list["TabularPreprocessorModel"]:
-        """The k models fitted on 'every fold but j', from one grouped pass (plus per-fold medians if asked)."""
+    def fit_folds(self, dataset: DataFrame, fold_col: str, k: int,
+                  include_all: bool = False) -> list["TabularPreprocessorModel"]:
+        """The k models fitted on 'every fold but j', from one grouped pass (plus per-fold medians if asked).
+
+        ``include_all`` appends the model fitted on every fold (same pass): the refit's preprocessing.
+        """
         nums = self.g(self.numCols)
         per = {int(r[fold_col]): r for r in self._num_moments(dataset, fold_col) if r[fold_col] is not None}
         cat_rows = self._cat_counts(dataset, fold_col)
         models = []
-        for j in range(k):
+        for j in [*range(k), *([None] if include_all else [])]:
             others = [r for f, r in per.items() if f != j]
             n = sum(int(r["__n"]) for r in others)
             moments = {}
@@ -194,12 +198,13 @@ class TabularPreprocessor(Estimator, _PreParams, DefaultParamsReadable, DefaultP
                 moments[c] = (cnt, mu, m2)
             counts: dict = {}
             for r in cat_rows:
-                if r[fold_col] is not None and int(r[fold_col]) != j:
+                if r[fold_col] is not None and (j is None or int(r[fold_col]) != j):
                     d = counts.setdefault(r["col"], {})
                     d[r["v"]] = d.get(r["v"], 0) + int(r["count"])
             medians = None
             if self.g(self.numStrategy) == "median":
-                medians = exact_medians(dataset.where(F.col(fold_col) != j), nums)
+                rows = dataset if j is None else dataset.where(F.col(fold_col) != j)
+                medians = exact_medians(rows.where(F.col(fold_col).isNotNull()), nums)
             models.append(self._model_from(n, moments, counts, medians))
         return models
 

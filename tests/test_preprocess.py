@@ -89,3 +89,14 @@ def test_vector_output_has_named_attributes_and_persists(spark, tmp_path):
     again = PipelineModel.load(path).transform(df)
     assert [r.features.toArray().tolist() for r in out.orderBy("id").collect()] == \
         [r.features.toArray().tolist() for r in again.orderBy("id").collect()]
+
+
+def test_fold_statistics_include_all_equals_full_fit(spark):
+    rows = [(i, (i * 37 % 53) / 7.0 if i % 6 else None, ["u", "v"][i % 2] if i % 4 else None, i % 3) for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, x double, c string, fold int")
+    pre = TabularPreprocessor(numCols=["x"], catCols=["c"])
+    *_, all_model = pre.fit_folds(df, "fold", 3, include_all=True)
+    full = pre.fit(df)
+    assert math.isclose(all_model.getOrDefault(all_model.numMean)[0], full.getOrDefault(full.numMean)[0], rel_tol=1e-12)
+    assert math.isclose(all_model.getOrDefault(all_model.numScale)[0], full.getOrDefault(full.numScale)[0], rel_tol=1e-12)
+    assert all_model.levels() == full.levels() and all_model.getOrDefault(all_model.catFill) == full.getOrDefault(full.catFill)
