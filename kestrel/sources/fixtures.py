@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from kestrel.functions.columns import md5_uniform
 
-# Fixed values of the planted view: NULL moduli per column and the label formula constants.
+# Fixed values of the planted view (test fixture definition): the id moduli that plant NULLs per column.
 ART_NULL_MODULI = {"x1": 11, "x2": 13, "cat1": 17, "cat2": 19}
 ART_T_MODULUS = 7
 ART_NUM = ("x1", "x2", "t0", "t1", "t2", "t3", "t4")
@@ -47,10 +47,10 @@ def art(spark: SparkSession, sf_dir: str) -> DataFrame:
     shares = F.floor(F.lit(1400.0) + F.lit(1000.0) * signal).cast("bigint")
     cols = {
         "id": i,
-        "x1": _null_when(F.col("o_totalprice"), i % 11 == 0),
-        "x2": _null_when(F.col("c_acctbal"), i % 13 == 0),
-        "cat1": _null_when(F.col("o_orderpriority"), i % 17 == 0),
-        "cat2": _null_when(F.col("c_mktsegment"), i % 19 == 0),
+        "x1": _null_when(F.col("o_totalprice"), i % ART_NULL_MODULI["x1"] == 0),
+        "x2": _null_when(F.col("c_acctbal"), i % ART_NULL_MODULI["x2"] == 0),
+        "cat1": _null_when(F.col("o_orderpriority"), i % ART_NULL_MODULI["cat1"] == 0),
+        "cat2": _null_when(F.col("c_mktsegment"), i % ART_NULL_MODULI["cat2"] == 0),
     }
     for k in range(5):
         cols[f"t{k}"] = _null_when(md5_uniform(i, f"t{k}"), i % ART_T_MODULUS == k)
