@@ -127,24 +127,32 @@ class StackingClassifier(Estimator):
         cols = [f"p_{n}" for n, _ in self.members] + ([self.features_col] if self.passthrough else [])
         return VectorAssembler(inputCols=cols, outputCol="__meta")
 
-    def _fit(self, dataset: DataFrame) -> "StackingModel":
-        from pyspark import StorageLevel
-
-        from kestrel.operators.splits import kfold
-
-        folded = kfold(dataset.withColumn("__y", F.col(self.label_col).cast("int")), self.cv, "__y", self.id_col,
-                       self.seed, fold_col="__fold").persist(StorageLevel.MEMORY_AND_DISK)
+    def out_of_fold(self, folded: DataFrame) -> DataFrame:
+        """One row per input row: each base's P(y = 1) from the model fitted without that row's fold."""
         parts = []
         for j in range(self.cv):
             tr, va = folded.where(F.col("__fold") != j), folded.where(F.col("__fold") == j)
             models = _fit_all(self.members, tr, self.parallelism)
             for (name, _), m in zip(self.members, models):
                 va = member_probability(m, va, f"p_{name}", self.features_col)
-            parts.append(va.select(self.id_col, self.label_col, self.features_col,
+            parts.append(va.select(self.id_col, self.label_col, self.features_col, "__fold",
                                    *[f"p_{n}" for n, _ in self.members]))
         oof = parts[0]
         for p in parts[1:]:
             oof = oof.unionByName(p)
+        return oof
+
+    def fold(self, dataset: DataFrame) -> DataFrame:
+        from kestrel.operators.splits import kfold
+
+        return kfold(dataset.withColumn("__y", F.col(self.label_col).cast("int")), self.cv, "__y", self.id_col,
+                     self.seed, fold_col="__fold")
+
+    def _fit(self, dataset: DataFrame) -> "StackingModel":
+        from pyspark import StorageLevel
+
+        folded = self.fold(dataset).persist(StorageLevel.MEMORY_AND_DISK)
+        oof = self.out_of_fold(folded)
         meta = self._meta_assembler().transform(oof).persist(StorageLevel.MEMORY_AND_DISK)  # combiner iterates
         final = self.final.copy()
         if hasattr(final, "_set") and final.hasParam("featuresCol"):

@@ -83,3 +83,15 @@ def test_composite_models_persist(spark, tmp_path):
         a = m.transform(d).select("id", "probability").orderBy("id").collect()
         b = again.transform(d).select("id", "probability").orderBy("id").collect()
         assert a == b
+
+
+def test_stacking_out_of_fold_one_value_per_row(spark):
+    d = _design(spark)
+    st = StackingClassifier([("lr", L.logistic(max_iter=20)), ("nb", L.gaussian_nb())], cv=3)
+    folded = st.fold(d).cache()
+    oof = st.out_of_fold(folded)
+    n = d.count()
+    assert oof.count() == n and oof.select("id").distinct().count() == n
+    assert oof.where(F.col("p_lr").isNull() | F.col("p_nb").isNull()).count() == 0
+    sizes = [r["count"] for r in folded.groupBy("__fold").count().collect()]
+    assert len(sizes) == 3 and max(sizes) - min(sizes) <= 2
