@@ -39,8 +39,9 @@ def nan_to_null(col: str | Column) -> Column:
 
 
 def guarded_ratio(num: str | Column, den: str | Column, eps: float = EPSILON) -> Column:
-    """``num / (den + eps)``; NULL in, NULL out."""
-    return _c(num) / (_c(den) + F.lit(eps))
+    """``num / (den + eps)``; NULL in, NULL out. ``try_divide``: a denominator that still lands on 0 gives NULL
+    (imputed later) instead of failing the job under ANSI mode."""
+    return F.try_divide(_c(num), _c(den) + F.lit(eps))
 
 
 def spread(hi: str | Column, lo: str | Column) -> Column:
