@@ -149,18 +149,18 @@ class StackingClassifier(Estimator):
                      self.seed, fold_col="__fold")
 
     def _fit(self, dataset: DataFrame) -> "StackingModel":
-        from pyspark import StorageLevel
+        from kestrel.session import fit_frame
 
-        folded = self.fold(dataset).persist(StorageLevel.MEMORY_AND_DISK)
+        folded_cached, folded, _ = fit_frame(self.fold(dataset))
         oof = self.out_of_fold(folded)
-        meta = self._meta_assembler().transform(oof).persist(StorageLevel.MEMORY_AND_DISK)  # combiner iterates
+        meta_cached, meta, _ = fit_frame(self._meta_assembler().transform(oof))  # the combiner iterates over it
         final = self.final.copy()
         if hasattr(final, "_set") and final.hasParam("featuresCol"):
             final._set(featuresCol="__meta")
         final_model = final.fit(meta)
         bases = _fit_all(self.members, dataset, self.parallelism)
-        meta.unpersist()
-        folded.unpersist()
+        meta_cached.unpersist()
+        folded_cached.unpersist()
         return StackingModel([n for n, _ in self.members], bases, final_model, self._meta_assembler())
 
 

@@ -183,14 +183,14 @@ class CalibratedRBFSVM(Estimator, _Base, DefaultParamsReadable, DefaultParamsWri
     def _fit(self, dataset: DataFrame):
         from kestrel.operators.splits import kfold
 
-        from pyspark import StorageLevel
+        from kestrel.session import fit_frame
 
         rff = fit_fourier(dataset, self.g(self.featuresCol), "__rff", self.g(self.nComponents), None, self.g(self.seed))
         k = self.g(self.calibrationFolds)
         label = self.g(self.labelCol)
         # the projected features are computed once and reused by every SVM iteration and fold
-        folded = kfold(rff.transform(dataset).withColumn("__y", F.col(label).cast("int")), k, "__y",
-                       self.g(self.idCol), "platt").persist(StorageLevel.MEMORY_AND_DISK)
+        folded_cached, folded, n_all = fit_frame(kfold(rff.transform(dataset).withColumn("__y", F.col(label).cast("int")),
+                                                       k, "__y", self.g(self.idCol), "platt"))
         z = folded
         oof = None
         for j in range(k):
@@ -201,8 +201,8 @@ class CalibratedRBFSVM(Estimator, _Base, DefaultParamsReadable, DefaultParamsWri
         platt = LogisticRegression(featuresCol="__m", labelCol=label, regParam=0.0).fit(
             oof.withColumn("__m", array_to_vector(F.array("margin")))
         )
-        svm = self._svm(z.count()).fit(z)
-        folded.unpersist()
+        svm = self._svm(n_all).fit(z)
+        folded_cached.unpersist()
         out = CalibratedRBFSVMModel()
         out._set(featuresCol=self.g(self.featuresCol))
         out.rff, out.svm = rff, svm

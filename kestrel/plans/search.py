@@ -22,7 +22,6 @@ import random
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -34,7 +33,7 @@ from kestrel.functions.columns import md5_uniform, positive_probability
 from kestrel.operators.metrics import roc_auc
 from kestrel.operators.prefix import broadcast_if_small
 from kestrel.operators.target_encoding import OrderedTargetEncoder, ordered_target_encode
-from kestrel.session import cut_lineage, shared_dir
+from kestrel.session import cut_lineage, fit_frame, shared_dir
 
 # The tuned booster's search space (7 lists, 5*4*6*4*5*5*5 = 60,000 settings).
 PARAM_SPACE: dict[str, list] = {
@@ -122,11 +121,11 @@ class OrderedBoostingClassifier(Estimator):
         return self.with_weights(self.encode_training(dataset))
 
     def _fit(self, dataset: DataFrame, iterations: int | None = None) -> PipelineModel:
-        train = self.prepare(dataset).persist(StorageLevel.MEMORY_AND_DISK)
+        cached, train, _ = fit_frame(self.prepare(dataset))
         try:
             gbt_model = self.booster(iterations).fit(train)
         finally:
-            train.unpersist()
+            cached.unpersist()
         return self.scoring_model(dataset, gbt_model)
 
     def fit_iterations(self, dataset: DataFrame, iterations: int) -> PipelineModel:
@@ -144,15 +143,15 @@ def randomized_search(data: DataFrame, num_cols: Sequence[str], cat_cols: Sequen
     folds = []
     for j in range(k):
         tr, va = data.where(F.col("fold") != j), data.where(F.col("fold") == j)
-        tr_enc = base.encode_training(tr).persist(StorageLevel.MEMORY_AND_DISK)
+        tr_cached, tr_enc, _ = fit_frame(base.encode_training(tr))
         enc_model = OrderedTargetEncoder(catCols=list(cat_cols), labelCol=label_col).fit(tr)
         assembler = VectorAssembler(inputCols=base.feature_names(), outputCol="features")
-        va_enc = assembler.transform(enc_model.transform(va)).persist(StorageLevel.MEMORY_AND_DISK)
-        folds.append((tr_enc, va_enc))
+        va_cached, va_enc, _ = fit_frame(assembler.transform(enc_model.transform(va)))
+        folds.append((tr_enc, va_enc, tr_cached, va_cached))
 
     def fold_scores(setting):
         parts = []
-        for j, (tr_enc, va_enc) in enumerate(folds):
+        for j, (tr_enc, va_enc, _, _) in enumerate(folds):
             est = OrderedBoostingClassifier(num_cols, cat_cols, setting, iterations, seed, label_col, id_col)
             model = est.booster().fit(est.with_weights(tr_enc))
             va = model.transform(va_enc)
@@ -169,9 +168,9 @@ def randomized_search(data: DataFrame, num_cols: Sequence[str], cat_cols: Sequen
             scores = list(pool.map(fold_scores, settings))
     else:
         scores = [fold_scores(s) for s in settings]
-    for tr_enc, va_enc in folds:
-        tr_enc.unpersist()
-        va_enc.unpersist()
+    for _, _, tr_cached, va_cached in folds:
+        tr_cached.unpersist()
+        va_cached.unpersist()
     rows = [(i, float(s["learning_rate"]), int(s["depth"]), float(s["l2_leaf_reg"]), int(s["border_count"]),
              float(s["bagging_temperature"]), float(s["random_strength"]), float(s["colsample_bylevel"]),
              float(sc), dict(APPLIED)) for i, (s, sc) in enumerate(zip(settings, scores))]
@@ -217,9 +216,10 @@ def prefix_auc_curve(model: PipelineModel, eval_df: DataFrame, label_col: str =
     w = Window.partitionBy(id_col).orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
     margins = block.withColumn("margin", F.sum("s").over(w)).withColumn(
         "trees", F.least((F.col("block") + 1) * eval_every, F.lit(n_trees))
-    ).persist(StorageLevel.MEMORY_AND_DISK)  # read twice by the AUC (bucket count, then the sweep)
+    )
+    cached, margins, _ = fit_frame(margins)  # read twice by the AUC (bucket count, then the sweep)
     curve = cut_lineage(roc_auc(margins, "y", "margin", ["trees"], max_groups=n_blocks))  # one row per prefix
-    margins.unpersist()
+    cached.unpersist()
     return curve.orderBy("trees")
 
 

@@ -103,6 +103,27 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return out
 
 
+ROWS_PER_FIT_PARTITION = 1 << 20
+
+
+def fit_frame(df: DataFrame, rows_per_partition: int = ROWS_PER_FIT_PARTITION) -> tuple[DataFrame, DataFrame, int]:
+    """Cache a frame that iterative learners read many times and size its partitions for them.
+
+    Returns (cached frame to unpersist later, view to fit on, row count). A cached plan keeps the partition count
+    of its last shuffle (e.g. 200 by default even for a few thousand rows), and every boosting level or L-BFGS step
+    then runs that many near-empty tasks. The view coalesces (no shuffle) to max(cores, rows / rows_per_partition)
+    partitions, so small data uses every core with little overhead and large data keeps ~1M-row tasks.
+    """
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = cached.count()
+    target = max(default_parallelism(df.sparkSession), -(-n // rows_per_partition))
+    try:
+        too_many = cached.rdd.getNumPartitions() > target
+    except Exception:  # noqa: BLE001 - sessions without RDD access
+        too_many = False
+    return cached, (cached.coalesce(target) if too_many else cached), n
+
+
 def default_parallelism(spark: SparkSession) -> int:
     try:
         return int(spark.sparkContext.defaultParallelism)
