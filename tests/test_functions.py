@@ -54,3 +54,21 @@ def test_md5_uniform_is_deterministic_and_in_range(spark):
     stats = df.agg(F.min("u"), F.max("u"), F.avg("u")).first()
     assert 0.0 <= stats[0] < stats[1] < 1.0 and abs(stats[2] - 0.5) < 0.05
     assert df.collect() == df.collect()
+
+
+def test_fit_frame_coalesces_small_frames_and_keeps_rows(spark):
+    from kestrel.session import default_parallelism, fit_frame
+
+    df = spark.range(5000).repartition(64)
+    cached, view, n = fit_frame(df, rows_per_partition=1000)
+    try:
+        assert n == 5000 and view.count() == 5000
+        assert view.rdd.getNumPartitions() == max(default_parallelism(spark), 5)
+    finally:
+        cached.unpersist()
+    few = spark.range(100).coalesce(2)
+    cached, view, n = fit_frame(few)
+    try:
+        assert view.rdd.getNumPartitions() == 2 and n == 100  # never increases the partition count
+    finally:
+        cached.unpersist()
