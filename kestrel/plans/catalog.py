@@ -268,6 +268,12 @@ def q_docs_ordered_target_mean(spark, sf):
     return round_doubles(ordered_target_encode(d, ["source"], "y", "id", seed="cb").select("id", "source_te"))
 
 
+def q_docs_fold_class_counts(spark, sf):
+    """Stratification under skewed classes: rows per (fold, class) on the documents view's trainval rows."""
+    d = _trainval(stratified_split(docs(spark, sf), "y", "id", TEST_SIZE, K, SEED))
+    return d.groupBy("fold", "y").agg(F.count("*").alias("n_rows"))
+
+
 def q_docs_auc(spark, sf):
     """Exact AUC of an integer score with many ties (document length for the quality label)."""
     return round_doubles(M.roc_auc(docs(spark, sf), "y", "n_chars", ["lang"], max_groups=64))
@@ -317,5 +323,6 @@ EXACT: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fold_class_counts": q_fold_class_counts,
     "docs_ordered_target_mean": q_docs_ordered_target_mean,
     "docs_auc": q_docs_auc,
+    "docs_fold_class_counts": q_docs_fold_class_counts,
     "bootstrap_weights": q_bootstrap_weights,
 }

@@ -214,6 +214,7 @@ te AS (SELECT id, source AS v, y, md5(concat(cast(id as varchar), ':cb')) AS k F
 SELECT id, """ + r("(coalesce(sum(y) OVER w, 0) + p) / (coalesce(count(*) OVER w, 0) + 1e0)") + """ AS source_te
 FROM te, pr
 WINDOW w AS (PARTITION BY v ORDER BY k, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+    q["docs_fold_class_counts"] = DOCS_SPLIT + " SELECT fold, y, count(*) AS n_rows FROM tv GROUP BY fold, y"
     q["docs_auc"] = "WITH " + DOCS_SQL + """,
 a0 AS (SELECT lang, n_chars AS s, sum(y) AS pos, sum(1 - y) AS neg FROM docs GROUP BY lang, n_chars),
 a1 AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY lang ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
