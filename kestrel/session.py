@@ -1,7 +1,7 @@
 """Session helpers.
 
-Library code never invents a scratch folder on a cluster: lineage is cut only in the shared folder named by
-``spark.checkpoint.dir``. ``local_session`` (tests, bench) sets one under /tmp only when the setting is absent.
+Lineage is cut only in the shared folder named by ``spark.checkpoint.dir``. A session with a local master and no
+such setting (tests, bench) gets a temporary folder; a cluster without the setting raises.
 """
 
 from __future__ import annotations
@@ -55,52 +55,46 @@ def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder the cluster names, or None."""
-    jsc = spark.sparkContext._jsc  # noqa: SLF001 - public accessor lives on the Java context
-    current = jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
+    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``, or None. This is the configured
+    value, never the per-application subfolder Spark makes inside it, so reading it twice gives the same folder."""
     conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
-    return conf or None
+    return conf or _LOCAL_DIRS.get(spark.sparkContext.applicationId)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A folder every executor can read: the configured checkpoint folder. Without one, a temporary folder is only
-    acceptable when the master is local (one machine); on a cluster this raises instead of guessing."""
+    """A folder every executor can read; raises when the session names none."""
     path = checkpoint_dir(spark)
-    if path is not None:
-        return path
-    if spark.sparkContext.master.startswith("local"):
-        return ensure_checkpoint_dir(spark)
-    raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
+    if path is None:
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
+    return path
+
+
+_LOCAL_DIRS: dict[str, str] = {}
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured checkpoint folder; only when none is configured (local tests) make one in /tmp."""
+    """Activate the configured checkpoint folder, once per application. Only a local master without the setting
+    (tests, bench) gets a temporary folder; a cluster without the setting raises."""
+    if checkpoint_dir(spark) is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
+        _LOCAL_DIRS[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="kestrel-ckpt-")
     path = checkpoint_dir(spark)
-    if path is None:
-        path = tempfile.mkdtemp(prefix="kestrel-ckpt-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(path)
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():  # noqa: SLF001 - no public accessor
+        spark.sparkContext.setCheckpointDir(path)
     return path
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared folder when one is configured; persist otherwise.
+    """Reliable checkpoint into the shared folder of ``spark.checkpoint.dir``.
 
     Every derived column in this library is a deterministic function of the input (md5 draws, no rand()),
-    so a lost executor recomputes exactly the same rows even on the persist fallback.
+    so a lost executor recomputes exactly the same rows.
     """
-    spark = df.sparkSession
-    path = checkpoint_dir(spark)
-    if path is not None:
-        spark.sparkContext.setCheckpointDir(path)
-        return df.checkpoint(eager=eager)
-    out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if eager:
-        out.count()
-    return out
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=eager)
 
 
 ROWS_PER_FIT_PARTITION = 1 << 20
