@@ -4,18 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kestrel.llm import license_scan
+from kestrel.llm import bpe, license_scan
 from kestrel.llm.common import read
 
 
+def op3_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    codec = bpe.prepare(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    encoded = bpe.encode(docs, codec, keep=["doc_id"])
+    out = bpe.decode(encoded, codec)
+    return out.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return license_scan.scan(docs, "text", keep=["doc_id"]).drop("spans")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_bpe_roundtrip": op3_bpe_roundtrip,
     "op4_license_scan": op4_license_scan,
 }
 
