@@ -54,6 +54,16 @@ def refuse_clash(columns: Sequence[str], ddl: str) -> None:
         raise ValueError(f"input already has result columns {clash}")
 
 
+BROADCAST_BYTES = 32 << 20
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if its rows, written out as JSON, take at most ``limit`` bytes; unchanged if not,
+    so that Spark shuffles both sides (and may split skewed keys). The measuring pass reads ``df`` once."""
+    size = df.select(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(df) if size <= limit else df
+
+
 def map_rows(
     df: DataFrame,
     inputs: Sequence[str],

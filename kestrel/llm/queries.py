@@ -8,10 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe, license_scan
+from kestrel.llm import bpe, license_scan, line_dedup, mixing
 from kestrel.llm.common import read
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return line_dedup.line_dedup(docs, host_col="source")
+
+
 def op3_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     codec = bpe.prepare(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -28,11 +33,19 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(docs, "text", keep=["doc_id"]).drop("spans")
 
 
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op3_bpe_roundtrip": op3_bpe_roundtrip,
     "op4_license_scan": op4_license_scan,
+    "op8_source_mixing": op8_source_mixing,
 }
 
 ORACLE: dict[str, str] = {
+    "op1_line_dedup": line_dedup.oracle_sql(),
     "op4_license_scan": license_scan.oracle_sql(),
+    "op8_source_mixing": mixing.oracle_sql(),
 }
