@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe, license_scan, line_dedup, mixing
+from kestrel.llm import bpe, license_scan, line_dedup, mixing, quality
 from kestrel.llm.common import read
 
 
@@ -33,6 +33,12 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(docs, "text", keep=["doc_id"]).drop("spans")
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = quality.classify(docs, read(spark, sf_dir, "labels"), keep=["doc_id"])
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"), keep=["doc_id"])
 
@@ -41,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op3_bpe_roundtrip": op3_bpe_roundtrip,
     "op4_license_scan": op4_license_scan,
+    "op5_quality_classifier": op5_quality_classifier,
     "op8_source_mixing": op8_source_mixing,
 }
 
