@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe, license_scan, line_dedup, mixing, quality
+from kestrel.llm import bpe, jaccard, license_scan, line_dedup, mixing, quality
 from kestrel.llm.common import read
 
 
@@ -43,12 +43,18 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.join(docs).select("doc_id", "class_id", "n_links", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op3_bpe_roundtrip": op3_bpe_roundtrip,
     "op4_license_scan": op4_license_scan,
     "op5_quality_classifier": op5_quality_classifier,
     "op8_source_mixing": op8_source_mixing,
+    "op9_ngram_jaccard": op9_ngram_jaccard,
 }
 
 ORACLE: dict[str, str] = {
