@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe, jaccard, license_scan, line_dedup, mixing, quality
+from kestrel.llm import bpe, jaccard, license_scan, line_dedup, lm, mixing, quality
 from kestrel.llm.common import read
 
 
@@ -48,6 +48,10 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(docs).select("doc_id", "class_id", "n_links", "kept")
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op3_bpe_roundtrip": op3_bpe_roundtrip,
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_classifier": op5_quality_classifier,
     "op8_source_mixing": op8_source_mixing,
     "op9_ngram_jaccard": op9_ngram_jaccard,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 ORACLE: dict[str, str] = {
