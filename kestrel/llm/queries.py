@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe, jaccard, license_scan, line_dedup, lm, mixing, quality
+from kestrel.llm import bpe, jaccard, license_scan, line_dedup, lm, mixing, quality, topk
 from kestrel.llm.common import read
 
 
@@ -39,6 +39,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", "predicted")
 
 
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"), keep=["doc_id"])
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe_roundtrip": op3_bpe_roundtrip,
     "op4_license_scan": op4_license_scan,
     "op5_quality_classifier": op5_quality_classifier,
+    "op7_exact_topk": op7_exact_topk,
     "op8_source_mixing": op8_source_mixing,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_lm_scoring": op10_lm_scoring,
@@ -65,5 +70,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op1_line_dedup": line_dedup.oracle_sql(),
     "op4_license_scan": license_scan.oracle_sql(),
+    "op7_exact_topk": topk.oracle_sql(),
     "op8_source_mixing": mixing.oracle_sql(),
 }
