@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe, jaccard, license_scan, line_dedup, lm, mixing, quality, topk
+from kestrel.llm import bpe, jaccard, license_scan, line_dedup, lm, mixing, nn_descent, quality, topk
 from kestrel.llm.common import read
 
 
@@ -17,6 +17,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(docs, host_col="source")
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op3_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     codec = bpe.prepare(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -58,6 +62,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_bpe_roundtrip": op3_bpe_roundtrip,
     "op4_license_scan": op4_license_scan,
     "op5_quality_classifier": op5_quality_classifier,
