@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe, jaccard, license_scan, line_dedup, lm, mixing, nn_descent, quality, topk
+from kestrel.llm import bpe, html_extract, jaccard, license_scan, line_dedup, lm, mixing, nn_descent, quality, topk
 from kestrel.llm.common import read
 
 
@@ -43,6 +43,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", "predicted")
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe_roundtrip": op3_bpe_roundtrip,
     "op4_license_scan": op4_license_scan,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_html_extraction": op6_html_extraction,
     "op7_exact_topk": op7_exact_topk,
     "op8_source_mixing": op8_source_mixing,
     "op9_ngram_jaccard": op9_ngram_jaccard,
