@@ -195,8 +195,11 @@ def build_lexicon(words: list[str], bpe: Bpe) -> bytes:
 
 
 def ship(spark: SparkSession, data: bytes, kind: str) -> str:
-    """Give every executor, present or future, its own copy of a small file; returns the name to look it up by."""
+    """Give every executor, present or future, its own copy of a small file; returns the name to look it up by. The
+    name follows from the content, so content that this application has shipped before is not shipped again."""
     name = f"{kind}-{hashlib.sha256(data).hexdigest()[:24]}"
+    if any(f.endswith("/" + name) for f in spark.sparkContext.listFiles):
+        return name
     folder = tempfile.mkdtemp(prefix="kestrel-ship-")
     path = os.path.join(folder, name)
     with open(path, "wb") as f:
