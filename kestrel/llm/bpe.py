@@ -24,10 +24,10 @@ import re
 import sys
 import tempfile
 import unicodedata
+from array import array
 from collections import Counter
 from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
@@ -39,7 +39,9 @@ from kestrel.llm.common import checkpointed, map_rows, pieces, refuse_clash
 LEXICON_SIZE = 1 << 17
 MAX_LEXICON_WORD = 64  # bytes; longer words are merged when met
 TASK_WORDS = 1 << 19  # words a task counts before it hands its counts on
-MEMO_WORDS = 1 << 18  # encoded words a task remembers
+MEMO_WORDS = 1 << 18  # encoded words, and pieces, that a worker remembers
+MEMO_PIECE = 48  # characters; longer pieces are not remembered
+SHORT = 64  # bytes; longer words are merged with a heap
 TOP_COUNT = 1 << 16  # word counts are told apart up to here
 
 # The white space of the splitting pattern (Unicode White_Space).
@@ -97,39 +99,58 @@ class Bpe:
         self.byte_id = [0] * 256
         for c, b in alphabet.items():
             self.byte_id[b] = vocab[c]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        # a pair of ids as one number -> its rank and the id it makes, as one number that orders by rank
+        self.bits = size.bit_length()
+        self.merges: dict[int, int] = {}
         for rank, pair in enumerate(model["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges[vocab[a], vocab[b]] = (rank, vocab[a + b])
+            self.merges[vocab[a] << self.bits | vocab[b]] = rank << self.bits | vocab[a + b]
         self.special_re = (
             re.compile("(" + "|".join(re.escape(s) for s in sorted(self.specials, key=len, reverse=True)) + ")")
             if self.specials else None
         )
 
     def merge(self, word: bytes) -> list[int]:
-        """Exact merges: always the lowest rank, leftmost first. A heap over a linked list, O(n log n) for any word."""
+        """Exact merges: always the lowest rank, leftmost first."""
         ids = [self.byte_id[b] for b in word]
-        n = len(ids)
-        if n < 2:
-            return ids
-        merges = self.merges
+        if len(ids) > SHORT:
+            return self._merge_long(ids)
+        get, bits, never = self.merges.get, self.bits, 1 << 62
+        mask = (1 << bits) - 1
+        ranks = [get(a << bits | b, never) for a, b in zip(ids, ids[1:])]
+        while ranks and (low := min(ranks)) < never:
+            i = ranks.index(low)
+            made = low & mask
+            ids[i : i + 2] = [made]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = get(ids[i - 1] << bits | made, never)
+            if i < len(ranks):
+                ranks[i] = get(made << bits | ids[i + 1], never)
+        return ids
+
+    def _merge_long(self, ids: list[int]) -> list[int]:
+        """The same with a heap over a linked list, O(n log n) for words of any length."""
+        n, get, bits = len(ids), self.merges.get, self.bits
+        mask = (1 << bits) - 1
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(m[0], i, ids[i], ids[i + 1], m[1]) for i in range(n - 1) if (m := merges.get((ids[i], ids[i + 1])))]
+        heap = [(m, i, ids[i], ids[i + 1]) for i in range(n - 1) if (m := get(ids[i] << bits | ids[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b, made = heapq.heappop(heap)
+            m, i, a, b = heapq.heappop(heap)
             j = after[i]
             if ids[i] != a or j >= n or ids[j] != b:
                 continue
+            made = m & mask
             ids[i], ids[j] = made, -1
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                if m := merges.get((made, ids[k])):
-                    heapq.heappush(heap, (m[0], i, made, ids[k], m[1]))
+                if (x := get(made << bits | ids[k])) is not None:
+                    heapq.heappush(heap, (x, i, made, ids[k]))
             p = before[i]
-            if p >= 0 and (m := merges.get((ids[p], made))):
-                heapq.heappush(heap, (m[0], p, ids[p], made, m[1]))
+            if p >= 0 and (x := get(ids[p] << bits | made)) is not None:
+                heapq.heappush(heap, (x, p, ids[p], made))
         return [x for x in ids if x >= 0]
 
 
@@ -138,7 +159,7 @@ def _bpe(path: str) -> Bpe:
     return Bpe(path)
 
 
-class _Memo(dict):
+class _Words(dict):
     """word -> packed ids; a missing word goes to the transducer, then to exact merges."""
 
     def __init__(self, bpe: Bpe, words: lexicon.Lexicon):
@@ -149,30 +170,71 @@ class _Memo(dict):
         raw = word.encode("utf-8", "replace")
         ids = self.words.lookup(raw)
         if ids is None:
-            ids = np.array(self.bpe.merge(raw), dtype="<u4").tobytes()
-        self[word] = ids
+            ids = array("I", self.bpe.merge(raw)).tobytes()
+        if len(word) <= MEMO_PIECE:
+            self[word] = ids
+        return ids
+
+
+class _Pieces(dict):
+    """piece -> packed ids of the piece with a space before it.
+
+    A text without two spaces in a row may be cut before every space: no word of the splitting pattern crosses such a
+    place, and what the pattern does after it does not depend on what stands before. So the pattern runs on pieces that
+    are new, not on every text.
+    """
+
+    def __init__(self, words: _Words):
+        super().__init__()
+        self.words, self.split = words, splitter().findall
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = b"".join(map(self.words.__getitem__, self.split(" " + piece)))
+        if len(piece) <= MEMO_PIECE:
+            self[piece] = ids
         return ids
 
+    def encode(self, text: str) -> bytes:
+        if len(self) > MEMO_WORDS:
+            self.clear()
+        if len(self.words) > MEMO_WORDS:
+            self.words.clear()
+        if "  " in text:
+            return b"".join(map(self.words.__getitem__, self.split(text)))
+        first, *rest = text.split(" ")
+        return b"".join(map(self.words.__getitem__, self.split(first))) + b"".join(map(self.__getitem__, rest))
+
 
 def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """(word, n) of all texts. Tasks count before the shuffle, in tables of at most ``TASK_WORDS`` words."""
+    """(word, n) of all texts. Tasks count before the shuffle, in tables of about ``TASK_WORDS`` entries."""
 
     def run(batches):
-        split, counts = splitter(), Counter()
+        split, counts, pieces_ = splitter().findall, Counter(), Counter()
 
         def flush():
-            return pa.RecordBatch.from_arrays(
+            for piece, n in pieces_.items():
+                for word in split(" " + piece):
+                    counts[word] += n
+            out = pa.RecordBatch.from_arrays(
                 [pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["word", "n"]
             )
+            counts.clear()
+            pieces_.clear()
+            return out
 
         for batch in batches:
             for part in pieces(batch, [text_col]):
                 for text in part.column(0).to_pylist():
-                    if text:
-                        counts.update(split.findall(text))
-                if len(counts) > TASK_WORDS:
+                    if not text:
+                        continue
+                    if "  " in text:
+                        counts.update(split(text))
+                    else:  # counted in pieces, see _Pieces
+                        first, *rest = text.split(" ")
+                        counts.update(split(first))
+                        pieces_.update(rest)
+                if len(counts) + len(pieces_) > TASK_WORDS:
                     yield flush()
-                    counts.clear()
         yield flush()
 
     return df.select(text_col).mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
@@ -208,6 +270,14 @@ def ship(spark: SparkSession, data: bytes, kind: str) -> str:
     return name
 
 
+@lru_cache(maxsize=1)
+def _memo(tokenizer_path: str, lexicon_path: str):
+    """What a Python worker keeps from task to task."""
+    bpe = _bpe(tokenizer_path)
+    special = {s: array("I", [i]).tobytes() for s, i in bpe.specials.items()}
+    return _Pieces(_Words(bpe, lexicon.Lexicon.mapped(lexicon_path))), bpe.special_re, special
+
+
 class Codec:
     """Names of the shipped tokenizer and transducer files; picklable, opened inside tasks."""
 
@@ -215,25 +285,14 @@ class Codec:
         self.tokenizer_file, self.lexicon_file = tokenizer_file, lexicon_file
 
     def encoder(self):
-        bpe = _bpe(SparkFiles.get(self.tokenizer_file))
-        memo = _Memo(bpe, lexicon.Lexicon.mapped(SparkFiles.get(self.lexicon_file)))
-        split = splitter()
-        special = {s: np.array([i], dtype="<u4").tobytes() for s, i in bpe.specials.items()}
+        memo, special_re, special = _memo(SparkFiles.get(self.tokenizer_file), SparkFiles.get(self.lexicon_file))
 
         def encode(text: str | None) -> bytes:
             if not text:
                 return b""
-            if len(memo) > MEMO_WORDS:
-                memo.clear()
             if not any(s in text for s in special):
-                return b"".join(map(memo.__getitem__, split.findall(text)))
-            out = []
-            for part in bpe.special_re.split(text):
-                if part in special:
-                    out.append(special[part])
-                else:
-                    out.extend(map(memo.__getitem__, split.findall(part)))
-            return b"".join(out)
+                return memo.encode(text)
+            return b"".join(special[p] if p in special else memo.encode(p) for p in special_re.split(text) if p)
 
         return encode
 

@@ -105,6 +105,7 @@ class Lexicon:
 
     def __init__(self, buffer):
         view = memoryview(buffer)
+        self.find = buffer.find  # of bytes and of mapped files alike
         starts, states, edges, outs, ids, _ = struct.unpack_from("<6Q", view, 0)
         at = 48
 
@@ -120,6 +121,7 @@ class Lexicon:
         self.out_start = take(outs, 4).cast("I")
         self.out = take(ids, 4)
         self.final = take(states, 1)
+        self.label_at = at
         self.label = take(edges, 1)
 
     @classmethod
@@ -134,18 +136,13 @@ class Lexicon:
     def number(self, word: bytes) -> int:
         """The word's number in byte order, or -1."""
         state, n = 0, 0
-        for b in word:
-            lo, hi = self.edge_start[state], self.edge_start[state + 1]
-            while lo < hi:
-                mid = (lo + hi) >> 1
-                if self.label[mid] < b:
-                    lo = mid + 1
-                else:
-                    hi = mid
-            if lo == self.edge_start[state + 1] or self.label[lo] != b:
+        find, edge_start, at = self.find, self.edge_start, self.label_at
+        for i in range(len(word)):
+            edge = find(word[i : i + 1], at + edge_start[state], at + edge_start[state + 1]) - at
+            if edge < 0:
                 return -1
-            n += self.skip[lo]
-            state = self.target[lo]
+            n += self.skip[edge]
+            state = self.target[edge]
         return n if self.final[state] else -1
 
     def lookup(self, word: bytes) -> bytes | None:

@@ -91,3 +91,20 @@ def test_transducer_is_exact_and_minimal(words):
     states = len(lex.final)
     futures = {future(s) for s in range(states)}
     assert len(futures) == states
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="ab'sé1! \n\t\r\xa0 ", max_size=40))
+def test_cutting_at_spaces_equals_the_library(text):
+    model = bpe._bpe(PATH)
+    memo = bpe._Pieces(bpe._Words(model, lexicon.Lexicon(lexicon.build([]))))
+    for _ in range(2):
+        assert np.frombuffer(memo.encode(text), "<u4").tolist() == _ids(text)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="abtheing", min_size=40, max_size=200))
+def test_both_ways_of_merging_agree(text):
+    model = bpe._bpe(PATH)
+    ids = [model.byte_id[b] for b in text.encode()]
+    assert model._merge_long(ids) == _ids(text)
