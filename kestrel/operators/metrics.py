@@ -18,14 +18,19 @@ from kestrel.operators.prefix import DEFAULT_ROWS_PER_BUCKET, exclusive_prefix
 
 
 def confusion(df: DataFrame, label: str, pred: str, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Counts per group; a NULL label or prediction raises with the number of such rows in the group."""
     y = F.col(label).cast("bigint")
     p = F.col(pred).cast("bigint")
-    return df.groupBy(*group_cols).agg(
+    c = df.groupBy(*group_cols).agg(
         F.count("*").alias("n"),
         F.sum(y * p).alias("tp"),
         F.sum((1 - y) * p).alias("fp"),
         F.sum(y * (1 - p)).alias("fn"),
+        F.count_if(y.isNull() | p.isNull()).alias("__bad"),
     )
+    message = F.concat(F.col("__bad").cast("string"), F.lit(f" rows have a NULL in '{label}' or '{pred}'"))
+    n = F.when(F.col("__bad") == 0, F.col("n")).otherwise(F.raise_error(message).cast("bigint"))
+    return c.select(*group_cols, n.alias("n"), "tp", "fp", "fn")
 
 
 def accuracy_f1(df: DataFrame, label: str = "y", pred: str = "prediction", group_cols: Sequence[str] = ()):
@@ -46,13 +51,18 @@ def roc_auc(
     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
     max_groups: int | None = None,
 ) -> DataFrame:
-    """Exact ROC AUC per group; NULL when a group has only one class."""
+    """Exact ROC AUC per group; NULL when a group has only one class. NULL or NaN scores and NULL labels have no place
+    in the order: they raise with their number."""
     group_cols = list(group_cols)
     y = F.col(label).cast("bigint")
-    agg = df.where(F.col(score).isNotNull() & ~F.isnan(score)).groupBy(*group_cols, score).agg(
-        F.sum(y).alias("pos"), F.sum(1 - y).alias("neg")
+    s = F.col(score)
+    agg = df.groupBy(*group_cols, score).agg(
+        F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"), F.count_if(s.isNull() | F.isnan(s) | y.isNull()).alias("bad")
     )
-    n_distinct = agg.count()
+    n_distinct, bad = agg.agg(F.count("*"), F.sum("bad")).first()
+    if bad:
+        raise ValueError(f"{bad} rows have a NULL or NaN in '{score}' or a NULL in '{label}'")
+    agg = agg.drop("bad")
     n_buckets = max(1, math.ceil(n_distinct / rows_per_bucket))
     if n_buckets > 1:
         probs = [i / n_buckets for i in range(1, n_buckets)]

@@ -4,12 +4,14 @@ A window ``PARTITION BY label ORDER BY key`` puts a whole class (or, unpartition
 Here the order key is first cut into buckets that are monotone in the key (leading md5 hex digits, or quantile
 boundaries of a score). Then:
 
-1. one shuffle on (group, bucket); a window inside (group, bucket) gives the running sum within the bucket and
-   the bucket total, so every task holds about ``rows_per_bucket`` rows even when one group (one class, one
-   category level) holds a third of the table;
-2. the bucket totals (at most ``groups x buckets`` rows) get an exclusive running total: the bucket offsets;
-3. offsets joined back — broadcast only when the offset table is proven below a row bound, else a shuffle join.
-   The totals branch and the joined branch share the step-1 exchange (Spark reuses it), so the input is read once.
+1. bucket totals by a plain grouped sum (pre-aggregated before its shuffle, at most ``groups x buckets`` rows) and
+   their exclusive running total: the bucket offsets;
+2. one shuffle of the rows on (group, bucket); a window inside (group, bucket) gives the running sum within the bucket,
+   so every task holds about ``rows_per_bucket`` rows even when one group (one class, one category level) holds a
+   third of the table;
+3. offsets joined to the rows: broadcast when their size is within a bound of bytes, else a shuffle join.
+
+The input is read twice (totals, then rows) and shuffled once.
 
 The result equals the plain window exactly; buckets only change how the work is spread.
 """
@@ -23,7 +25,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_ROWS_PER_BUCKET = 1 << 20
-MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 32 << 20
+ROW_BYTES = 64  # of an offsets row with a short key, about; a caller's row bound is turned into bytes by it
 
 
 def hex_digits_for(n_rows: int, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET, max_digits: int = 8) -> int:
@@ -32,13 +35,17 @@ def hex_digits_for(n_rows: int, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
     return int(min(max_digits, max(1, math.ceil(math.log(need, 16)) if need > 1 else 1)))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, bound: int | None = None) -> DataFrame:
-    """Broadcast-hint ``df`` only when its size is proven within ``max_rows``; otherwise leave the join to a shuffle.
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES, bound: int | None = None) -> DataFrame:
+    """Broadcast-hint ``df`` only when its size is within ``max_bytes``; otherwise leave the join to a shuffle.
 
-    ``bound`` is an analytic upper bound on the row count (e.g. groups x buckets); without one the rows are counted.
+    ``bound`` is an analytic upper bound on the row count of narrow rows (e.g. groups x buckets); without one the
+    rows are measured, written out as JSON.
     """
-    n = bound if bound is not None else df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    if bound is not None:
+        size = bound * ROW_BYTES
+    else:
+        size = df.select(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df
 
 
 def exclusive_prefix(
@@ -47,7 +54,7 @@ def exclusive_prefix(
     bucket: str,
     order: Sequence[Column | str],
     sums: dict[str, Column | str],
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     offset_rows_bound: int | None = None,
 ) -> DataFrame:
     """Add, per row, the sum of each ``sums`` expression over rows of the same group strictly before it.
@@ -61,27 +68,21 @@ def exclusive_prefix(
     tmp = {name: f"__v_{name}" for name in sums}
     base = df.withColumns({tmp[n]: (F.col(e) if isinstance(e, str) else e) for n, e in sums.items()})
 
-    # One shuffle on (group, bucket) feeds both the running sum inside the bucket and the bucket total; the
-    # totals branch and the join branch share that exchange, so the input is read and shuffled once.
     part = Window.partitionBy(*group_cols, bucket)
     w_in = part.orderBy(*[F.col(o) if isinstance(o, str) else o for o in order]).rowsBetween(
         Window.unboundedPreceding, -1)
-    within = base.withColumns(
-        {**{f"__in_{n}": F.coalesce(F.sum(tmp[n]).over(w_in), F.lit(0)) for n in sums},
-         **{f"__tot_{n}": F.sum(tmp[n]).over(part) for n in sums}}
-    )
-    totals = within.groupBy(*group_cols, bucket).agg(*[F.max(f"__tot_{n}").alias(f"__tot_{n}") for n in sums])
+    within = base.withColumns({f"__in_{n}": F.coalesce(F.sum(tmp[n]).over(w_in), F.lit(0)) for n in sums})
+    totals = base.groupBy(*group_cols, bucket).agg(*[F.sum(tmp[n]).alias(f"__tot_{n}") for n in sums])
     w_off = Window.partitionBy(*group_cols).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     keys = [*group_cols, bucket]
     offsets = totals.select(
         *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
         *[F.coalesce(F.sum(f"__tot_{n}").over(w_off), F.lit(0)).alias(f"__off_{n}") for n in sums],
     )
-    offsets = broadcast_if_small(offsets, max_broadcast_rows, offset_rows_bound)
-    # null-safe equality adds no inferred IS NOT NULL filter to one side only, so both sides keep the same
-    # exchange below them and Spark reuses it
+    offsets = broadcast_if_small(offsets, max_broadcast_bytes, offset_rows_bound)
+    # null-safe: a NULL group is a group
     cond = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
     joined = within.join(offsets, on=cond, how="inner").drop(*[f"__k{i}" for i in range(len(keys))])
     return joined.withColumns({n: F.col(f"__off_{n}") + F.col(f"__in_{n}") for n in sums}).drop(
-        *tmp.values(), *[f"__off_{n}" for n in sums], *[f"__in_{n}" for n in sums], *[f"__tot_{n}" for n in sums]
+        *tmp.values(), *[f"__off_{n}" for n in sums], *[f"__in_{n}" for n in sums]
     )

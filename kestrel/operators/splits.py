@@ -1,21 +1,23 @@
 """Stratified hold-out and k-fold assignment (V1, V2) and the class-size guard.
 
 Rows are ranked inside their class by ``md5("<id>:<seed>")`` (then id). The first ``ceil(test_size * n_class)``
-ranks of each class are the hold-out; the rest get ``fold = (rank_in_trainval - 1) % k``. The ranks come from the
-bucketed prefix sum, so no task ever holds a whole class. The split is a pure function of (id, seed): a retried
-task, a lost executor, or DuckDB all produce the same rows.
+ranks of each class are the hold-out; the others are cut into k ranges of ranks whose sizes differ by one at most.
+So a split is fixed by k + 1 cut keys per class. The cuts come from counts of md5 prefixes and from the few prefix
+buckets in which a cut falls; assigning rows is then a projection over a broadcast of one row per class. No row is
+shuffled, no task holds a class, and the split is a pure function of (id, seed): a retried task, a lost executor, or
+DuckDB all produce the same rows. A NULL label raises: it can be in no class.
 """
 
 from __future__ import annotations
 
 import logging
-import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.functions.columns import md5_bucket, md5_key
-from kestrel.operators.prefix import DEFAULT_ROWS_PER_BUCKET, exclusive_prefix, hex_digits_for
+from kestrel.operators.prefix import DEFAULT_ROWS_PER_BUCKET, broadcast_if_small, exclusive_prefix, hex_digits_for
+from kestrel.session import cut_lineage
 
 log = logging.getLogger(__name__)
 
@@ -24,8 +26,11 @@ TRAIN = "trainval"
 
 
 def class_counts(df: DataFrame, label: str) -> dict:
-    """Rows per class; the result has one row per class (bounded), so it is collected."""
-    return {r[0]: int(r[1]) for r in df.groupBy(label).count().collect()}
+    """Rows per class; the result has one row per class, so it is collected. NULL labels raise with their number."""
+    counts = {r[0]: int(r[1]) for r in df.groupBy(label).count().collect()}
+    if counts.get(None):
+        raise ValueError(f"{counts[None]} rows have a NULL label in '{label}'")
+    return counts
 
 
 def rank_within_class(
@@ -51,6 +56,47 @@ def rank_within_class(
     return ranked.withColumn(rank_col, F.col("__before") + 1).drop("__key", "__bucket", "__before")
 
 
+def cut_keys(keyed: DataFrame, label: str, id_col: str, digits: int, starts: list[str]) -> DataFrame:
+    """For each class and each cut, the key and id of the row with that 1-based rank: columns ``label``, ``cut``,
+    ``key``, ``id``.
+
+    ``keyed`` has __key (md5 hex), ``starts`` are SQL expressions of the cut ranks in ``n`` (rows of the class). Only
+    counts of md5 prefixes are summed over, and only rows of the buckets in which a cut falls are ordered.
+    """
+    bucketed = keyed.withColumn("__bucket", md5_bucket("__key", digits))
+    counts = bucketed.groupBy(label, "__bucket").agg(F.count("*").alias("__c"))
+    upto = Window.partitionBy(label).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = counts.withColumn("__upto", F.sum("__c").over(upto)).withColumn("n", F.sum("__c").over(Window.partitionBy(label)))
+    ranks = F.array(*[F.struct(F.lit(i).alias("cut"), F.expr(e).cast("bigint").alias("rank")) for i, e in enumerate(starts)])
+    wanted = counts.withColumn("__r", F.explode(ranks)).where(
+        (F.col("__r.rank") <= F.col("__upto")) & (F.col("__r.rank") > F.col("__upto") - F.col("__c")))
+    wanted = wanted.select(label, "__bucket", F.col("__r.cut").alias("cut"),
+                           (F.col("__r.rank") - F.col("__upto") + F.col("__c")).alias("__at"))
+    wanted = cut_lineage(wanted)  # a row per class and cut
+    in_bucket = Window.partitionBy(label, "__bucket").orderBy("__key", id_col)
+    rows = bucketed.join(broadcast_if_small(wanted.select(label, "__bucket").distinct()), [label, "__bucket"])
+    rows = rows.select(label, "__bucket", "__key", id_col).withColumn("__at", F.row_number().over(in_bucket))
+    return rows.join(broadcast_if_small(wanted), [label, "__bucket", "__at"]).select(
+        label, "cut", F.col("__key").alias("key"), F.col(id_col).alias("id"))
+
+
+def _assign(df: DataFrame, label: str, id_col: str, seed, starts: list[str], rows_per_bucket: int) -> DataFrame:
+    """Add ``__range``: how many of the cuts lie at or before the row in its class's order."""
+    n_rows = sum(class_counts(df, label).values())
+    digits = hex_digits_for(n_rows, min(rows_per_bucket, CUT_BUCKET_ROWS))
+    keyed = df.select(label, id_col).withColumn("__key", md5_key(id_col, seed))
+    cuts = cut_keys(keyed, label, id_col, digits, starts)
+    one = F.struct("cut", "key", "id")
+    per_class = cut_lineage(cuts.groupBy(label).agg(F.sort_array(F.collect_list(one)).alias("__cuts")))  # a row per class
+    out = df.withColumn("__key", md5_key(id_col, seed)).join(broadcast_if_small(per_class), label, "left")
+    here = F.struct(F.col("__key").alias("key"), F.col(id_col).alias("id"))
+    passed = F.filter("__cuts", lambda c: F.struct(c["key"].alias("key"), c["id"].alias("id")) <= here)
+    return out.withColumn("__range", F.size(passed)).drop("__key", "__cuts")
+
+
+CUT_BUCKET_ROWS = 1 << 14  # rows of a bucket that is ordered to find a cut, about
+
+
 def stratified_split(
     df: DataFrame,
     label: str = "y",
@@ -66,22 +112,18 @@ def stratified_split(
     ``cv_scope='all'`` numbers folds over every row (the first baseline's CV on 100 % of rows) while still marking
     the hold-out.
     """
-    counts = class_counts(df, label)
-    n_rows = sum(counts.values())
-    n_test = {c: int(math.ceil(test_size * n)) if test_size > 0 else 0 for c, n in counts.items()}
-    spark = df.sparkSession
-    tests = spark.createDataFrame([(c, n) for c, n in n_test.items()], [label, "__n_test"])
-    tests = tests.withColumn(label, F.col(label).cast(df.schema[label].dataType))
-    ranked = rank_within_class(df, label, id_col, seed, rows_per_bucket, "__rank", n_rows, len(counts))
-    ranked = ranked.join(F.broadcast(tests), label, "inner")  # one row per class
-    is_test = F.col("__rank") <= F.col("__n_test")
-    if cv_scope == "all":
-        fold = (F.col("__rank") - 1) % k
-    else:
-        fold = F.when(~is_test, (F.col("__rank") - F.col("__n_test") - 1) % k)
-    return ranked.withColumns(
-        {"split": F.when(is_test, F.lit(TEST)).otherwise(F.lit(TRAIN)), "fold": fold.cast("int")}
-    ).drop("__rank", "__n_test")
+    columns = df.columns
+    n_test = f"cast(ceil({float(test_size)!r}D * n) as bigint)" if test_size > 0 else "0L"
+    # Fold j of m rows starts at 0-based place ceil(j m / k); the hold-out comes before fold 0.
+    fold_start = [f"({n_test}) + 1 + cast(-floor(-({j}L * (n - ({n_test}))) / {k}L) as bigint)" for j in range(k)]
+    if cv_scope != "all":
+        out = _assign(df, label, id_col, seed, fold_start, rows_per_bucket)
+        split = F.when(F.col("__range") == 0, F.lit(TEST)).otherwise(F.lit(TRAIN))
+        fold = F.when(F.col("__range") > 0, F.col("__range") - 1)
+        return out.select(*columns, split.alias("split"), fold.cast("int").alias("fold"))
+    out = _assign(df, label, id_col, seed, [f"({n_test}) + 1"], rows_per_bucket)
+    out = out.withColumn("split", F.when(F.col("__range") == 0, F.lit(TEST)).otherwise(F.lit(TRAIN))).drop("__range")
+    return kfold(out, k, label, id_col, seed, rows_per_bucket).select(*columns, "split", "fold")
 
 
 def kfold(
@@ -94,8 +136,9 @@ def kfold(
     fold_col: str = "fold",
 ) -> DataFrame:
     """Stratified k-fold over all rows of ``df`` (used inside stacking and calibration)."""
-    ranked = rank_within_class(df, label, id_col, seed, rows_per_bucket, "__rank")
-    return ranked.withColumn(fold_col, ((F.col("__rank") - 1) % k).cast("int")).drop("__rank")
+    starts = [f"1L + cast(-floor(-({j}L * n) / {k}L) as bigint)" for j in range(k)]
+    out = _assign(df, label, id_col, seed, starts, rows_per_bucket)
+    return out.withColumn(fold_col, (F.col("__range") - 1).cast("int")).drop("__range")
 
 
 def min_class_size(df: DataFrame, label: str = "y", n_splits: int = 5) -> DataFrame:

@@ -37,7 +37,7 @@ def split_sql(src: str, name: str = "sp", seed: int = 42, test_size: float = 0.2
 {name} AS (
   SELECT * EXCLUDE (__rk, __nc, __nt),
     CASE WHEN __rk <= __nt THEN 'test' ELSE 'trainval' END AS split,
-    CASE WHEN __rk <= __nt THEN NULL ELSE cast((__rk - __nt - 1) % {k} as integer) END AS fold
+    CASE WHEN __rk <= __nt THEN NULL ELSE cast((__rk - __nt - 1) * {k} // (__nc - __nt) as integer) END AS fold
   FROM {name}_t
 ),
 tv AS (SELECT * FROM {name} WHERE split = 'trainval')"""
@@ -206,7 +206,7 @@ FROM lg, eps GROUP BY y, feature"""
 r0 AS (SELECT id, y, row_number() OVER (PARTITION BY y ORDER BY md5(concat(cast(id as varchar), ':42')), id) AS rk,
               count(*) OVER (PARTITION BY y) AS nc FROM art)
 SELECT id, y, CASE WHEN rk <= cast(ceil(0.2e0 * nc) as bigint) THEN 'test' ELSE 'trainval' END AS split,
-       cast((rk - 1) % 5 as integer) AS fold FROM r0"""
+       cast((rk - 1) * 5 // nc as integer) AS fold FROM r0"""
     q["fold_class_counts"] = ART_SPLIT + " SELECT fold, y, count(*) AS n_rows FROM tv GROUP BY fold, y"
     q["docs_ordered_target_mean"] = DOCS_SPLIT + """,
 pr AS (SELECT avg(y) AS p FROM tv),
