@@ -45,6 +45,18 @@ def level_name(col: str, level: str) -> str:
     return f"{col}_{re.sub(r'[^0-9A-Za-z]+', '_', str(level)).strip('_')}"
 
 
+def unique_names(names: Sequence[str], taken: Sequence[str] = ()) -> list[str]:
+    """``names`` with a running number behind those that are taken or met before (in order, so it is repeatable)."""
+    used, out = set(taken), []
+    for n in names:
+        name, i = n, 2
+        while name in used:
+            name, i = f"{n}_{i}", i + 1
+        used.add(name)
+        out.append(name)
+    return out
+
+
 class _PreParams(Params):
     numCols = Param(Params._dummy(), "numCols", "numeric input columns", TypeConverters.toListString)
     catCols = Param(Params._dummy(), "catCols", "categorical input columns", TypeConverters.toListString)
@@ -56,7 +68,7 @@ class _PreParams(Params):
     handleInvalid = Param(Params._dummy(), "handleInvalid", "unseen level: error | keep", TypeConverters.toString)
     outputCol = Param(Params._dummy(), "outputCol", "assembled vector column", TypeConverters.toString)
     outputMode = Param(Params._dummy(), "outputMode", "vector | columns", TypeConverters.toString)
-    maxLevels = Param(Params._dummy(), "maxLevels", "largest level count accepted", TypeConverters.toInt)
+    maxLevels = Param(Params._dummy(), "maxLevels", "most levels of a one-hot column", TypeConverters.toInt)
 
     def _defaults(self):
         self._setDefault(
@@ -87,21 +99,66 @@ class TabularPreprocessor(Estimator, _PreParams, DefaultParamsReadable, DefaultP
         rows = (df.groupBy(group) if group else df.groupBy()).agg(*aggs).collect()  # one row per fold at most
         return rows
 
-    def _cat_counts(self, df: DataFrame, group: str | None = None) -> list:
+    def _cat_counts(self, df: DataFrame, group: str | None = None) -> DataFrame | None:
+        """Distributed (group,) col, v, count; None when no fitted state depends on the levels."""
         cats = self.g(self.catCols)
-        if not cats:
-            return []
+        if not cats or not (self.g(self.oneHot) or self.g(self.catStrategy) == "mode"):
+            return None
         keys = [group] if group else []
         stacked = df.select(
             *keys,
             F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("v")) for c in cats])).alias("s"),
         ).select(*keys, "s.col", "s.v")
         counted = stacked.groupBy(*keys, "col", "v").count()
-        cap = self.g(self.maxLevels) * len(cats) * (1 if not group else 64) + 1
-        rows = counted.limit(cap).collect()  # bounded: levels per column are checked below
-        if len(rows) >= cap:
-            raise ValueError(f"categorical columns {cats} have more than {self.g(self.maxLevels)} levels")
-        return rows
+        if self.g(self.oneHot):  # the levels become features and come to the driver, so their number is checked first
+            for r in counted.select("col", "v").distinct().groupBy("col").count().collect():  # one row per column
+                if r["count"] > self.g(self.maxLevels):
+                    raise ValueError(f"column '{r['col']}' has {r['count']} levels; one-hot accepts {self.g(self.maxLevels)}")
+        return counted
+
+    @staticmethod
+    def _best(n: Column) -> Column:
+        """Most frequent level, ties to the smallest, as (minus count, level); NULL where nothing is counted."""
+        return F.min(F.when(F.col("v").isNotNull() & (n > 0), F.struct((-n).alias("n"), F.col("v").alias("v"))))
+
+    def _cat_tables(self, df: DataFrame) -> dict:
+        """col -> {level: count}: all levels for one-hot columns, else the most frequent one alone."""
+        counted = self._cat_counts(df)
+        out: dict = {}
+        if counted is None:
+            return out
+        if self.g(self.oneHot):
+            for r in counted.collect():
+                out.setdefault(r["col"], {})[r["v"]] = int(r["count"])
+            return out
+        for r in counted.groupBy("col").agg(self._best(F.col("count")).alias("b")).collect():  # one row per column
+            if r["b"] is not None:
+                out[r["col"]] = {r["b"]["v"]: -int(r["b"]["n"])}
+        return out
+
+    def _fold_cat_tables(self, df: DataFrame, fold_col: str, left_out: Sequence[int | None]) -> list[dict]:
+        """``_cat_tables`` of the rows outside each fold of ``left_out`` (None: all folds), from one grouped pass."""
+        df = df.where(F.col(fold_col).isNotNull())
+        counted = self._cat_counts(df, fold_col)
+        tables: list[dict] = [{} for _ in left_out]
+        if counted is None:
+            return tables
+        if self.g(self.oneHot):
+            for r in counted.collect():
+                for j, out in zip(left_out, tables):
+                    if j is None or int(r[fold_col]) != j:
+                        d = out.setdefault(r["col"], {})
+                        d[r["v"]] = d.get(r["v"], 0) + int(r["count"])
+            return tables
+        n = F.col("count")
+        rest = [F.sum(n if j is None else F.when(F.col(fold_col) != j, n).otherwise(0)).alias(f"n{i}") for i, j in enumerate(left_out)]
+        best = counted.groupBy("col", "v").agg(*rest).groupBy("col").agg(
+            *[self._best(F.col(f"n{i}")).alias(f"b{i}") for i in range(len(tables))])
+        for r in best.collect():  # one row per column
+            for i, out in enumerate(tables):
+                if r[f"b{i}"] is not None:
+                    out[r["col"]] = {r[f"b{i}"]["v"]: -int(r[f"b{i}"]["n"])}
+        return tables
 
     def _model_from(self, n: int, moments: dict, cat_counts: dict, medians: dict | None = None):
         """moments: col -> (count, mean, M2); cat_counts: col -> {value or None: count}."""
@@ -132,7 +189,7 @@ class TabularPreprocessor(Estimator, _PreParams, DefaultParamsReadable, DefaultP
             fill.append(float("nan") if f is None else float(f))
             mean.append(float(mu) if mu is not None else 0.0)
             scale.append(float(sd) if sd > 0 else 1.0)
-        cat_fill, levels = [], {}
+        cat_fill, filled, levels = [], [], {}
         for c in cats:
             counts = cat_counts.get(c, {})
             present = {v: k for v, k in counts.items() if v is not None and k > 0}
@@ -147,15 +204,14 @@ class TabularPreprocessor(Estimator, _PreParams, DefaultParamsReadable, DefaultP
             lv = set(present)
             if n_null and f is not None:
                 lv.add(f)
-            if len(lv) > self.g(self.maxLevels):
-                raise ValueError(f"column '{c}' has {len(lv)} levels > maxLevels")
             cat_fill.append("" if f is None else f)
+            filled.append(int(f is not None))
             levels[c] = sorted(lv)
         model = TabularPreprocessorModel()
         model._set(**{p.name: self.g(p) for p in self.params if self.isDefined(p)})
         model._set(
             numCols=kept, numFill=fill, numMean=mean, numScale=scale, catFill=cat_fill,
-            catLevels=json.dumps(levels), fitWarnings=warnings,
+            catFilled=filled, catLevels=json.dumps(levels), fitWarnings=warnings,
         )
         return model
 
@@ -168,10 +224,7 @@ class TabularPreprocessor(Estimator, _PreParams, DefaultParamsReadable, DefaultP
             for i, c in enumerate(nums)
         }
         medians = exact_medians(dataset, nums) if self.g(self.numStrategy) == "median" else None
-        cat_counts: dict = {}
-        for r in self._cat_counts(dataset):
-            cat_counts.setdefault(r["col"], {})[r["v"]] = int(r["count"])
-        return self._model_from(n, moments, cat_counts, medians)
+        return self._model_from(n, moments, self._cat_tables(dataset), medians)
 
     def fit_folds(self, dataset: DataFrame, fold_col: str, k: int,
                   include_all: bool = False) -> list["TabularPreprocessorModel"]:
@@ -181,9 +234,10 @@ class TabularPreprocessor(Estimator, _PreParams, DefaultParamsReadable, DefaultP
         """
         nums = self.g(self.numCols)
         per = {int(r[fold_col]): r for r in self._num_moments(dataset, fold_col) if r[fold_col] is not None}
-        cat_rows = self._cat_counts(dataset, fold_col)
+        left_out = [*range(k), *([None] if include_all else [])]
+        cat_tables = self._fold_cat_tables(dataset, fold_col, left_out)
         models = []
-        for j in [*range(k), *([None] if include_all else [])]:
+        for j, counts in zip(left_out, cat_tables):
             others = [r for f, r in per.items() if f != j]
             n = sum(int(r["__n"]) for r in others)
             moments = {}
@@ -196,11 +250,6 @@ class TabularPreprocessor(Estimator, _PreParams, DefaultParamsReadable, DefaultP
                 mu = sum(p[0] * p[1] for p in parts) / cnt
                 m2 = sum(p[0] * p[2] + p[0] * (p[1] - mu) ** 2 for p in parts)
                 moments[c] = (cnt, mu, m2)
-            counts: dict = {}
-            for r in cat_rows:
-                if r[fold_col] is not None and (j is None or int(r[fold_col]) != j):
-                    d = counts.setdefault(r["col"], {})
-                    d[r["v"]] = d.get(r["v"], 0) + int(r["count"])
             medians = None
             if self.g(self.numStrategy) == "median":
                 rows = dataset if j is None else dataset.where(F.col(fold_col) != j)
@@ -214,13 +263,14 @@ class TabularPreprocessorModel(Model, _PreParams, DefaultParamsReadable, Default
     numMean = Param(Params._dummy(), "numMean", "means of the imputed columns", TypeConverters.toListFloat)
     numScale = Param(Params._dummy(), "numScale", "population sigma (1 if constant)", TypeConverters.toListFloat)
     catFill = Param(Params._dummy(), "catFill", "categorical fill values", TypeConverters.toListString)
+    catFilled = Param(Params._dummy(), "catFilled", "1 where catFill applies", TypeConverters.toListInt)
     catLevels = Param(Params._dummy(), "catLevels", "JSON: column -> sorted levels", TypeConverters.toString)
     fitWarnings = Param(Params._dummy(), "fitWarnings", "messages from fitting", TypeConverters.toListString)
 
     def __init__(self):
         super().__init__()
         self._defaults()
-        self._setDefault(numFill=[], numMean=[], numScale=[], catFill=[], catLevels="{}", fitWarnings=[])
+        self._setDefault(numFill=[], numMean=[], numScale=[], catFill=[], catFilled=[], catLevels="{}", fitWarnings=[])
 
     def g(self, p):
         return self.getOrDefault(p)
@@ -229,18 +279,19 @@ class TabularPreprocessorModel(Model, _PreParams, DefaultParamsReadable, Default
         return json.loads(self.g(self.catLevels))
 
     def feature_names(self) -> list[str]:
+        """Output features in order, all different: levels whose names coincide get a running number."""
         names = list(self.g(self.numCols))
         lv = self.levels()
         for c in self.g(self.catCols):
             if self.g(self.oneHot):
-                names += [level_name(c, v) for v in lv[c][1:]]
+                names += unique_names([level_name(c, v) for v in lv[c][1:]], names)
             else:
                 names.append(c)
         return names
 
     def feature_columns(self) -> dict[str, Column]:
         """Name -> expression of every output feature, in assembly order."""
-        out: dict[str, Column] = {}
+        exprs: list[Column] = []
         strategy = self.g(self.numStrategy)
         for c, f, m, s in zip(self.g(self.numCols), self.g(self.numFill), self.g(self.numMean), self.g(self.numScale)):
             x = nan_to_null(F.col(c).cast("double"))
@@ -248,25 +299,30 @@ class TabularPreprocessorModel(Model, _PreParams, DefaultParamsReadable, Default
                 x = F.coalesce(x, F.lit(f))
             if self.g(self.scale):
                 x = (x - F.lit(m)) / F.lit(s)
-            out[c] = x
+            exprs.append(x)
         lv = self.levels()
-        for c, f in zip(self.g(self.catCols), self.g(self.catFill)):
+        bare: list[tuple[Column, Column]] = []  # checks of columns without a feature of their own
+        for c, f, on in zip(self.g(self.catCols), self.g(self.catFill), self.g(self.catFilled)):
             v = F.col(c).cast("string")
-            if self.g(self.catStrategy) != "none" and f != "":
+            if self.g(self.catStrategy) != "none" and on:
                 v = F.coalesce(v, F.lit(f))
             if not self.g(self.oneHot):
-                out[c] = v
+                exprs.append(v)
                 continue
             levels = lv[c]
-            known = v.isin(levels) if levels else F.lit(False)
+            known = F.coalesce(v.isin(levels), F.lit(False)) if levels else F.lit(False)
+            message = F.concat(F.lit(f"unseen level in '{c}': "), F.coalesce(v, F.lit("NULL")))
+            if self.g(self.handleInvalid) == "error" and len(levels) < 2:
+                bare.append((known, message))
             for i, level in enumerate(levels[1:]):
                 hit = F.when(v == F.lit(level), F.lit(1.0)).otherwise(F.lit(0.0))
                 if self.g(self.handleInvalid) == "error" and i == 0:
-                    hit = F.when(known, hit).otherwise(
-                        F.raise_error(F.concat(F.lit(f"unseen level in '{c}': "), F.coalesce(v, F.lit("NULL"))))
-                    )
-                out[level_name(c, level)] = hit
-        return out
+                    hit = F.when(known, hit).otherwise(F.raise_error(message))
+                exprs.append(hit)
+        for known, message in bare:
+            if exprs:
+                exprs[0] = F.when(known, exprs[0]).otherwise(F.raise_error(message))
+        return dict(zip(self.feature_names(), exprs))
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         cols = self.feature_columns()

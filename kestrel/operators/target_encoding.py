@@ -4,22 +4,25 @@ Training rows: for each row, in a random but deterministic order (md5 of id and
 rows of the same level that come before it: ``(sum_y_before + prior) / (count_before + 1)``. The running sums come
 from the bucketed prefix sum, so a level that holds a third of the table is still spread over many tasks.
 Scoring rows: the full training statistics of the level, ``(sum_y + prior) / (count + 1)`` (``OrderedTargetEncoder``).
+Its levels are a table (column, level, encoding) of any size, joined to the rows to score: NULL is a level of its own,
+apart from any string, and values are compared as Spark casts them to strings.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter,
+                             MLReadable, MLWritable)
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.functions.columns import md5_bucket, md5_key
-from kestrel.operators.prefix import DEFAULT_ROWS_PER_BUCKET, hex_digits_for, exclusive_prefix
+from kestrel.operators.prefix import DEFAULT_ROWS_PER_BUCKET, broadcast_if_small, exclusive_prefix, hex_digits_for
+from kestrel.session import cut_lineage
 
 
 def ordered_target_encode(
@@ -48,49 +51,70 @@ def ordered_target_encode(
     return out.drop("__k", "__bk")
 
 
+def _level(col: str):
+    return F.col(col).cast("string")
+
+
 class OrderedTargetEncoder(Estimator, DefaultParamsReadable, DefaultParamsWritable):
-    """Scoring-side encoder: full-training-data level statistics (bounded: one row per level)."""
+    """Scoring-side encoder: full-training-data level statistics, one row per column and level."""
 
     catCols = Param(Params._dummy(), "catCols", "categorical columns", TypeConverters.toListString)
     labelCol = Param(Params._dummy(), "labelCol", "label column", TypeConverters.toString)
-    maxLevels = Param(Params._dummy(), "maxLevels", "largest level count accepted", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, catCols=None, labelCol="y", maxLevels=100000):
+    def __init__(self, catCols=None, labelCol="y"):
         super().__init__()
-        self._setDefault(catCols=[], labelCol="y", maxLevels=100000)
+        self._setDefault(catCols=[], labelCol="y")
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, dataset: DataFrame) -> "OrderedTargetEncoderModel":
-        label = self.getOrDefault(self.labelCol)
-        p = dataset.agg(F.avg(F.col(label).cast("double"))).first()[0]
-        table = {}
-        for c in self.getOrDefault(self.catCols):
-            cap = self.getOrDefault(self.maxLevels)
-            rows = dataset.groupBy(c).agg(F.sum(F.col(label).cast("double")).alias("s"), F.count("*").alias("n"))
-            got = rows.limit(cap + 1).collect()  # one row per level, checked against the cap
-            if len(got) > cap:
-                raise ValueError(f"column '{c}' has more than {cap} levels")
-            table[c] = {str(r[c]): (r["s"] + p) / (r["n"] + 1.0) for r in got}
+        y = F.col(self.getOrDefault(self.labelCol)).cast("double")
+        p = dataset.agg(F.avg(y)).first()[0]
+        cats = self.getOrDefault(self.catCols)
+        stacked = dataset.select(y.alias("y"), F.explode(F.array(*[
+            F.struct(F.lit(c).alias("col"), _level(c).alias("level")) for c in cats])).alias("s"))
+        stats = stacked.groupBy("s.col", "s.level").agg(F.sum("y").alias("s"), F.count("*").alias("n"))
         m = OrderedTargetEncoderModel()
-        m._set(catCols=self.getOrDefault(self.catCols), prior=float(p), table=json.dumps(table))
+        m._set(catCols=cats, prior=float(p))
+        m.levels = cut_lineage(stats.select("col", "level", ((F.col("s") + F.lit(p)) / (F.col("n") + F.lit(1.0))).alias("te")))
         return m
 
 
-class OrderedTargetEncoderModel(Model, DefaultParamsReadable, DefaultParamsWritable):
+class _LevelWriter(DefaultParamsWriter):
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        self.instance.levels.write.parquet(f"{path.rstrip('/')}/levels")
+
+
+class _LevelReader(DefaultParamsReader):
+    def load(self, path: str):
+        model = super().load(path)
+        model.levels = SparkSession.getActiveSession().read.parquet(f"{path.rstrip('/')}/levels")
+        return model
+
+
+class OrderedTargetEncoderModel(Model, MLWritable, MLReadable):
     catCols = Param(Params._dummy(), "catCols", "categorical columns", TypeConverters.toListString)
     prior = Param(Params._dummy(), "prior", "positive rate of the training rows", TypeConverters.toFloat)
-    table = Param(Params._dummy(), "table", "JSON: column -> level -> encoding", TypeConverters.toString)
 
     def __init__(self):
         super().__init__()
-        self._setDefault(catCols=[], prior=0.5, table="{}")
+        self._setDefault(catCols=[], prior=0.5)
+        self.levels: DataFrame | None = None  # col, level, te
+
+    def write(self):
+        return _LevelWriter(self)
+
+    @classmethod
+    def read(cls):
+        return _LevelReader(cls)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        table = json.loads(self.getOrDefault(self.table))
         p = self.getOrDefault(self.prior)
-        cols = {}
-        for c in self.getOrDefault(self.catCols):
-            m = F.create_map(*[x for k, v in table[c].items() for x in (F.lit(k), F.lit(v))])
-            cols[c + "_te"] = F.coalesce(m[F.col(c).cast("string")], F.lit(p))
-        return dataset.withColumns(cols)
+        out = dataset
+        for i, c in enumerate(self.getOrDefault(self.catCols)):
+            own = self.levels.where(F.col("col") == c).select(F.col("level").alias(f"__l{i}"), F.col("te").alias(f"__te{i}"))
+            own = broadcast_if_small(own)
+            out = out.join(own, _level(c).eqNullSafe(F.col(f"__l{i}")), "left")
+            out = out.withColumn(c + "_te", F.coalesce(F.col(f"__te{i}"), F.lit(p))).drop(f"__l{i}", f"__te{i}")
+        return out

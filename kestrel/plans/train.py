@@ -25,7 +25,7 @@ from kestrel.operators.metrics import classification_metrics
 from kestrel.operators.preprocess import TabularPreprocessor, numeric_columns
 from kestrel.operators.splits import TRAIN, stratified_split, warn_if_small
 from kestrel.plans import search as S
-from kestrel.session import cut_lineage
+from kestrel.session import cut_lineage, fit_frame
 
 log = logging.getLogger(__name__)
 
@@ -71,6 +71,8 @@ def train_tuned(
     split = cut_lineage(stratified_split(derived, label, id_col, test_size, k, seed)
                         .withColumn("label", F.col(label).cast("double")))
     imputer_model = imputer.fit(split if fit_scope == "all" else split.where(F.col("split") == TRAIN))
+    warnings = [*warnings, *imputer_model.getOrDefault(imputer_model.fitWarnings)]
+    num_cols = imputer_model.getOrDefault(imputer_model.numCols)  # without columns that have no value to learn from
     data = imputer_model.transform(split)
     trainval = data.where(F.col("split") == TRAIN)
     test = data.where(F.col("split") != TRAIN)
@@ -99,7 +101,9 @@ def train_tuned(
     scored = booster.transform(test).select(
         F.col("label").cast("int").alias("y"), positive_probability().alias("y_prob")
     ).withColumn("prediction", hard_class("y_prob"))
-    metrics = classification_metrics(scored, "y", "prediction", "y_prob")
+    scored_cached, scored, _ = fit_frame(scored)  # read by each metric pass
+    metrics = cut_lineage(classification_metrics(scored, "y", "prediction", "y_prob"))
+    scored_cached.unpersist()
     if out_dir:
         from kestrel.sources.sinks import save_model, write_table
 
