@@ -19,6 +19,7 @@ from kestrel.operators.ensemble import weighted_vote
 from kestrel.operators.preprocess import TabularPreprocessor, numeric_columns
 from kestrel.operators.splits import TRAIN, min_class_size, stratified_split
 from kestrel.operators.target_encoding import ordered_target_encode
+from kestrel.plans.search import best_prefix, best_trial, top_importances
 from kestrel.session import cut_lineage
 from kestrel.sources.fixtures import ART_CAT, art, docs
 
@@ -287,6 +288,43 @@ def q_bootstrap_weights(spark, sf):
                                           for t in (0.5, 1.0, 1.5, 2.0)]))
 
 
+# ---- search and report logic over tables derived from the views ---------------------------------------------------
+def q_best_trial(spark, sf):
+    """V8 over 30 trials, each the mean of its rows' scores."""
+    trials = art(spark, sf).groupBy((F.col("id") % 30).cast("int").alias("trial")).agg(C.r6(F.avg("score")).alias("mean_auc"))
+    return best_trial(trials)
+
+
+def _prefix_curve(spark, sf):
+    a = art(spark, sf).select((F.col("id") % 200 + 1).cast("int").alias("trees"), "y", "score")
+    return round_doubles(M.roc_auc(a, "y", "score", ["trees"]))
+
+
+def q_early_stop(spark, sf):
+    """V9 over 200 prefixes, each with the exact AUC of its own rows, patience 20."""
+    return best_prefix(_prefix_curve(spark, sf), patience=20)
+
+
+def q_top_importances(spark, sf):
+    """The 20 largest of 300 shares, ties by name."""
+    a = art(spark, sf).select(F.concat(F.lit("f"), (F.col("id") % 300).cast("string")).alias("feature"), F.floor(F.col("score") * 10).alias("v"))
+    return top_importances(a.groupBy("feature").agg(C.r6(F.avg("v")).alias("importance")), 20)
+
+
+def q_nb_score_batch(spark, sf):
+    """A naive Bayes model of the training rows scores the whole unlabelled view."""
+    from pyspark.ml import PipelineModel
+
+    from kestrel.operators.models import gaussian_nb
+    from kestrel.plans.score import score
+
+    tv = _trainval(art_split_once(spark, sf, list(ART_MODEL_COLS))).withColumn("label", F.col("y").cast("double"))
+    pre = TabularPreprocessor(numCols=list(ART_NUM), catCols=list(ART_CAT)).fit(tv)
+    model = PipelineModel([pre, gaussian_nb().fit(pre.transform(tv))])
+    unlabelled = art(spark, sf).select("id", *reversed(ART_NUM), *ART_CAT)
+    return round_doubles(score(unlabelled, model))
+
+
 EXACT: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "holdout_split": q_holdout_split,
     "kfold_assign": q_kfold_assign,
@@ -325,4 +363,8 @@ EXACT: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "docs_auc": q_docs_auc,
     "docs_fold_class_counts": q_docs_fold_class_counts,
     "bootstrap_weights": q_bootstrap_weights,
+    "best_trial": q_best_trial,
+    "early_stop": q_early_stop,
+    "top_importances": q_top_importances,
+    "nb_score_batch": q_nb_score_batch,
 }

@@ -229,9 +229,9 @@ FROM a2"""
     return q
 
 
-def naive_bayes_sql() -> str:
-    """Gaussian naive Bayes experiment from end to end: per fit (each fold left out, and all) the preprocessing
-    statistics, class means and variances and priors; the scored rows; accuracy, F1, AUC and composite."""
+def naive_bayes_scores(scored: str) -> str:
+    """Gaussian naive Bayes up to the scores ``pr(fold, id, y, score)``: per fit k (each fold left out, -1: none) the
+    preprocessing statistics, class means and variances and priors, applied to the rows ``scored`` (with a column k)."""
     nums, cats = ART_NUM, ART_LEVELS
     names = ART_DM_NAMES
     st = ", ".join(f"avg({c}) AS m_{c}, var_pop({c}) AS v_{c}, count({c}) AS c_{c}" for c in nums)
@@ -252,11 +252,17 @@ trd AS (SELECT k, y, {dm} FROM fit {join}),
 eps AS (SELECT k, 1e-9 * greatest({spread}) AS e FROM trd GROUP BY k),
 cl AS (SELECT k, y AS cls, count(*) AS nc, {moments} FROM trd GROUP BY k, y),
 nt AS (SELECT k, sum(nc) AS nk FROM cl GROUP BY k),
-sr AS (SELECT fold AS k, * FROM tv UNION ALL SELECT -1 AS k, * FROM sp WHERE split = 'test'),
+sr AS ({scored}),
 srd AS (SELECT k, id, y, {dm} FROM sr {join}),
 lp AS (SELECT k, id, y, cls, ln(nc / cast(nk as double)) - 0.5e0 * ({log_p}) AS l
        FROM srd JOIN cl USING (k) JOIN nt USING (k) JOIN eps USING (k)),
-pr AS (SELECT k AS fold, id, y, 1e0 / (1e0 + exp(sum(CASE WHEN cls = 0 THEN l ELSE -l END))) AS score FROM lp GROUP BY k, id, y)""" + metrics_sql("pr", "fold") + f""",
+pr AS (SELECT k AS fold, id, y, 1e0 / (1e0 + exp(sum(CASE WHEN cls = 0 THEN l ELSE -l END))) AS score FROM lp GROUP BY k, id, y)"""
+
+
+def naive_bayes_sql() -> str:
+    """The experiment from end to end: accuracy, F1, AUC and composite per fold, their mean, and the hold-out."""
+    scored = "SELECT fold AS k, * FROM tv UNION ALL SELECT -1 AS k, * FROM sp WHERE split = 'test'"
+    return naive_bayes_scores(scored) + metrics_sql("pr", "fold") + f""",
 out AS (SELECT CASE WHEN fold < 0 THEN 'holdout' ELSE 'cv' END AS scope, CASE WHEN fold >= 0 THEN cast(fold as integer) END AS fold,
                accuracy, f1, roc_auc, composite FROM mc),
 al AS (SELECT * FROM out UNION ALL SELECT 'cv_mean', NULL, avg(accuracy), avg(f1), avg(roc_auc), avg(composite) FROM out WHERE scope = 'cv')
@@ -264,4 +270,27 @@ SELECT 'exp_naive_bayes' AS experiment, scope, fold, {r('accuracy')} AS accuracy
        {r('composite')} AS composite FROM al"""
 
 
-ORACLE: dict[str, str] = {**_oracles(), "exp_naive_bayes": naive_bayes_sql()}
+ORACLE: dict[str, str] = {
+    **_oracles(),
+    "exp_naive_bayes": naive_bayes_sql(),
+    "nb_score_batch": naive_bayes_scores("SELECT -1 AS k, * FROM sp")
+    + f" SELECT id, CASE WHEN score > 0.5e0 THEN 1 ELSE 0 END AS y_predict, {r('score')} AS y_prob FROM pr",
+    "best_trial": "WITH " + ART_SQL + f""",
+tr AS (SELECT cast(id % 30 as integer) AS trial, {r('avg(score)')} AS mean_auc FROM art GROUP BY 1)
+SELECT trial, mean_auc FROM tr ORDER BY mean_auc DESC, trial LIMIT 1""",
+    "top_importances": "WITH " + ART_SQL + f""",
+im AS (SELECT concat('f', cast(id % 300 as varchar)) AS feature, {r('avg(floor(score * 10))')} AS importance FROM art GROUP BY 1)
+SELECT feature, importance FROM im ORDER BY importance DESC, feature LIMIT 20""",
+    "early_stop": "WITH " + ART_SQL + f""",
+sc AS (SELECT cast(id % 200 + 1 as integer) AS trees, y, score FROM art),
+c0 AS (SELECT trees, score, sum(y) AS pos, sum(1 - y) AS neg FROM sc GROUP BY trees, score),
+c1 AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY trees ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM c0),
+c2 AS (SELECT trees, sum(pos * (nb + neg / 2e0)) AS num, sum(pos) AS p, sum(neg) AS n FROM c1 GROUP BY trees),
+cv AS (SELECT trees, {r('num / (cast(p as double) * cast(n as double))')} AS roc_auc FROM c2 WHERE p > 0 AND n > 0),
+tops AS (SELECT *, lead(trees) OVER (ORDER BY trees) AS next_top FROM (
+           SELECT *, max(roc_auc) OVER (ORDER BY trees ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM cv)
+         WHERE top IS NULL OR roc_auc > top)
+SELECT trees, roc_auc FROM tops t
+WHERE next_top IS NULL OR EXISTS (SELECT 1 FROM cv WHERE cv.trees < t.next_top AND cv.trees >= t.trees + 20)
+ORDER BY trees LIMIT 1""",
+}

@@ -180,9 +180,13 @@ def randomized_search(data: DataFrame, num_cols: Sequence[str], cat_cols: Sequen
     return spark.createDataFrame(rows, schema)
 
 
+def best_trial(trials: DataFrame) -> DataFrame:
+    """V8: the row with the highest mean AUC (ties: lowest trial number); the one-row limit is the feature."""
+    return trials.orderBy(F.desc("mean_auc"), "trial").limit(1)
+
+
 def best_setting(trials: DataFrame) -> dict:
-    """V8: the setting with the highest mean AUC (ties: lowest trial number)."""
-    best = trials.orderBy(F.desc("mean_auc"), "trial").first()
+    best = best_trial(trials).first()
     return {k: best[k] for k in PARAM_SPACE}
 
 
@@ -223,15 +227,20 @@ def prefix_auc_curve(model: PipelineModel, eval_df: DataFrame, label_col: str =
     return curve.orderBy("trees")
 
 
+def best_prefix(curve: DataFrame, patience: int = PATIENCE) -> DataFrame:
+    """V9: one row (trees, roc_auc), the best prefix at the point where the AUC has not improved for ``patience`` trees,
+    or at the end. The curve has one row per prefix, so its windows are small; prefixes without AUC are skipped."""
+    upto = Window.orderBy("trees").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.orderBy("trees").rowsBetween(Window.unboundedPreceding, -1)
+    known = curve.where(F.col("roc_auc").isNotNull()).select("trees", "roc_auc", F.max("roc_auc").over(before).alias("__top"))
+    known = known.withColumn("__new", F.col("__top").isNull() | (F.col("roc_auc") > F.col("__top")))
+    at = known.withColumn("__best", F.max(F.when(F.col("__new"), F.col("trees"))).over(upto))
+    at = at.withColumn("__stop", F.max((~F.col("__new") & (F.col("trees") - F.col("__best") >= patience)).cast("int")).over(upto))
+    return at.where("__new and __stop = 0").select("trees", "roc_auc").orderBy(F.desc("trees")).limit(1)
+
+
 def best_iteration(curve: DataFrame, patience: int = PATIENCE) -> int:
-    """First prefix after which the AUC has not improved for ``patience`` trees (the best prefix so far)."""
-    best_m, best_auc = None, -1.0
-    for r in curve.collect():  # one row per evaluated prefix
-        if r.roc_auc is not None and r.roc_auc > best_auc:
-            best_m, best_auc = r.trees, r.roc_auc
-        elif best_m is not None and r.trees - best_m >= patience:
-            break
-    return int(best_m)
+    return int(best_prefix(curve, patience).first().trees)
 
 
 def feature_importances(model: PipelineModel, names: Sequence[str]) -> DataFrame:
@@ -249,6 +258,6 @@ def top_importances(imp: DataFrame, k: int = 20) -> DataFrame:
 
 def search_report(trials: DataFrame) -> str:
     """M6: best settings and best CV AUC (the trials table has one row per sampled setting)."""
-    best = trials.orderBy(F.desc("mean_auc"), "trial").first()
-    settings = {k: best[k] for k in PARAM_SPACE}
-    return f"Best tuned hyperparameters found: {settings}\nBest CV ROC AUC score: {best['mean_auc']:.4f}"
+    best = best_trial(trials).first()
+    settings = " ".join(f"{k}={best[k]}" for k in PARAM_SPACE)
+    return f"best trial {best['trial']}: mean_auc={best['mean_auc']:.4f} {settings}"
