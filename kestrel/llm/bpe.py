@@ -19,10 +19,8 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-import os
 import re
 import sys
-import tempfile
 import unicodedata
 from array import array
 from collections import Counter
@@ -35,6 +33,7 @@ from pyspark.sql import functions as F
 
 from kestrel.llm import lexicon
 from kestrel.llm.common import checkpointed, map_rows, pieces, refuse_clash
+from kestrel.session import ensure_checkpoint_dir
 
 LEXICON_SIZE = 1 << 17
 MAX_LEXICON_WORD = 64  # bytes; longer words are merged when met
@@ -257,16 +256,18 @@ def build_lexicon(words: list[str], bpe: Bpe) -> bytes:
 
 
 def ship(spark: SparkSession, data: bytes, kind: str) -> str:
-    """Give every executor, present or future, its own copy of a small file; returns the name to look it up by. The
-    name follows from the content, so content that this application has shipped before is not shipped again."""
+    """Give every executor, present or future, its own copy of a small file; returns the name to look it up by. The file
+    lies in the shared folder of ``spark.checkpoint.dir``. Its name follows from the content, so content that this
+    application has shipped before is not shipped again."""
     name = f"{kind}-{hashlib.sha256(data).hexdigest()[:24]}"
     if any(f.endswith("/" + name) for f in spark.sparkContext.listFiles):
         return name
-    folder = tempfile.mkdtemp(prefix="kestrel-ship-")
-    path = os.path.join(folder, name)
-    with open(path, "wb") as f:
-        f.write(data)
-    spark.sparkContext.addFile(path)
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/shipped-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")  # noqa: SLF001 - no public writer for one file
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)  # noqa: SLF001
+    out.write(bytearray(data))
+    out.close()
+    spark.sparkContext.addFile(path.toString())
     return name
 
 
