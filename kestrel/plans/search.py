@@ -9,9 +9,9 @@ Settings without a Spark counterpart (``l2_leaf_reg``, ``random_strength``) are
 ``applied = false``; they are never claimed to act. ``colsample_bylevel`` maps to per-node feature subsets and
 ``bagging_temperature`` t to Bayesian-bootstrap row weights ``(-ln u)^t`` with ``u`` an md5 draw per row.
 
-Early stopping: the model is fitted with the maximum number of trees, then the AUC of every ``eval_every``-th tree
-prefix is computed on the evaluation rows in one distributed job (leaf index per tree from ``leafCol``, leaf values
-from the saved model's node table, per-block margin sums, running sums per row, grouped exact AUC). The best prefix
+Early stopping: the model is fitted with the maximum number of trees, then the AUC of every tree prefix (or of every
+``eval_every``-th) is computed on the evaluation rows in one distributed job (leaf index per tree from ``leafCol``, leaf
+values from the saved model's node table, margins added up within the row, grouped exact AUC). The best prefix
 (with patience) is refitted with ``maxIter = best``: GBT seeds tree m with seed + m, so the prefix is the same trees.
 """
 
@@ -22,6 +22,8 @@ import random
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -31,7 +33,6 @@ from pyspark.sql import functions as F
 
 from kestrel.functions.columns import md5_uniform, positive_probability
 from kestrel.operators.metrics import roc_auc
-from kestrel.operators.prefix import broadcast_if_small
 from kestrel.operators.target_encoding import OrderedTargetEncoder, ordered_target_encode
 from kestrel.session import cut_lineage, fit_frame, shared_dir
 
@@ -190,39 +191,57 @@ def best_setting(trials: DataFrame) -> dict:
     return {k: best[k] for k in PARAM_SPACE}
 
 
-def prefix_auc_curve(model: PipelineModel, eval_df: DataFrame, label_col: str = "label", eval_every: int = 10,
-                     id_col: str = "id") -> DataFrame:
-    """AUC of the first m trees for m = eval_every, 2*eval_every, ..., n_trees (one distributed job)."""
+def leaf_values(model: PipelineModel) -> np.ndarray:
+    """[tree, leaf] -> weighted leaf value, leaves in the order of ``leafCol``. Its size follows from the booster's
+    parameters (trees x 2^depth doubles), not from the data."""
     gbt = model.stages[-1]
-    spark = eval_df.sparkSession
-    base = shared_dir(spark)
-    path = f"{base.rstrip('/')}/gbt-nodes-{gbt.uid}"
+    spark = SparkSession.getActiveSession()
+    path = f"{shared_dir(spark).rstrip('/')}/gbt-nodes-{gbt.uid}"
     gbt.write().overwrite().save(path)
-    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.id", "nodeData.prediction",
-                                                      "nodeData.leftChild")
-    weights = list(gbt.treeWeights)
-    n_trees = len(weights)
-    wmap = F.create_map(*[x for i, w in enumerate(weights) for x in (F.lit(i), F.lit(float(w)))])
-    leaves = nodes.where(F.col("leftChild") < 0).select(
-        "treeID", (F.row_number().over(Window.partitionBy("treeID").orderBy("id")) - 1).alias("leaf"),
-        (F.col("prediction") * wmap[F.col("treeID")]).alias("value"))
-    bound = n_trees * 2 ** int(gbt.getOrDefault("maxDepth"))
-    leaves = broadcast_if_small(leaves, bound=bound)  # at most trees x 2^maxDepth rows; else a shuffle join
-
-    n_blocks = math.ceil(n_trees / eval_every)
+    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.id", "nodeData.prediction", "nodeData.leftChild")
+    leaf = F.row_number().over(Window.partitionBy("treeID").orderBy("id")) - 1
+    rows = nodes.where(F.col("leftChild") < 0).select("treeID", leaf.alias("leaf"), "prediction").toArrow()
+    tree, at, value = (rows.column(c).to_numpy() for c in ("treeID", "leaf", "prediction"))
+    weights = np.array(gbt.treeWeights)
+    out = np.zeros((len(weights), int(at.max(initial=0)) + 1))
+    out[tree, at] = value * weights[tree]
+    return out
+
+
+MARGIN_ROWS = 1024  # rows whose margins a task holds at once
+
+
+def prefix_auc_curve(model: PipelineModel, eval_df: DataFrame, label_col: str = "label", eval_every: int = 1,
+                     id_col: str = "id") -> DataFrame:
+    """AUC of the first m trees for m = eval_every, 2*eval_every, ..., n_trees (one distributed job).
+
+    Each row's leaf numbers are looked up in the broadcast leaf values and added up within the row, in Arrow batches;
+    what leaves the task is one margin per row and evaluated prefix, which the exact AUC needs. No row is joined to
+    trees or shuffled by id.
+    """
+    gbt = model.stages[-1]
+    values = eval_df.sparkSession.sparkContext.broadcast(leaf_values(model))
+    n_trees = len(gbt.treeWeights)
+    prefixes = np.unique(np.append(np.arange(eval_every, n_trees + 1, eval_every), n_trees)).astype(np.int32)
     pre = PipelineModel(stages=model.stages[:-1]).transform(eval_df)
     scored = gbt.copy().setLeafCol("__leaves").transform(pre).select(
-        id_col, F.col(label_col).cast("int").alias("y"), vector_to_array("__leaves").alias("lv"))
-    exploded = scored.select(id_col, "y", F.posexplode("lv").alias("treeID", "leaf")).withColumn(
-        "leaf", F.col("leaf").cast("int"))
-    block = exploded.join(leaves, ["treeID", "leaf"]).groupBy(id_col, "y", (F.col("treeID") / eval_every).cast("int")
-                                                              .alias("block")).agg(F.sum("value").alias("s"))
-    w = Window.partitionBy(id_col).orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
-    margins = block.withColumn("margin", F.sum("s").over(w)).withColumn(
-        "trees", F.least((F.col("block") + 1) * eval_every, F.lit(n_trees))
-    )
+        F.col(label_col).cast("int").alias("y"), vector_to_array("__leaves").alias("lv"))
+
+    def margins_of(batches):
+        table, trees = values.value, np.arange(n_trees)
+        for whole in batches:
+            for i in range(0, whole.num_rows, MARGIN_ROWS):
+                batch = whole.slice(i, MARGIN_ROWS)
+                n = batch.num_rows
+                leaves = batch.column("lv").flatten().to_numpy(zero_copy_only=False).reshape(n, n_trees).astype(np.int64)
+                margins = np.cumsum(table[trees, leaves], axis=1)[:, prefixes - 1]
+                y = np.repeat(batch.column("y").to_numpy(zero_copy_only=False), len(prefixes)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(y), pa.array(np.tile(prefixes, n)), pa.array(margins.ravel())], names=["y", "trees", "margin"])
+
+    margins = scored.mapInArrow(margins_of, "y int, trees int, margin double")
     cached, margins, _ = fit_frame(margins)  # read twice by the AUC (bucket count, then the sweep)
-    curve = cut_lineage(roc_auc(margins, "y", "margin", ["trees"], max_groups=n_blocks))  # one row per prefix
+    curve = cut_lineage(roc_auc(margins, "y", "margin", ["trees"], max_groups=len(prefixes)))  # one row per prefix
     cached.unpersist()
     return curve.orderBy("trees")
 

@@ -55,7 +55,7 @@ def train_tuned(
     search_iterations: int = S.SEARCH_ITERATIONS,
     final_iterations: int = S.FINAL_ITERATIONS,
     patience: int = S.PATIENCE,
-    eval_every: int = 10,
+    eval_every: int = 1,
     seed: int = 42,
     test_size: float = 0.2,
     fit_scope: str = "train",
