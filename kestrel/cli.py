@@ -127,11 +127,11 @@ def main(argv: list[str] | None = None) -> int:
             out_dir=a.out,
         )
         print(search_report(res.trials))
-        print(f"Best iteration found by early stopping: {res.best_iteration}")
+        print(f"early stopping kept {res.best_iteration} trees")
         res.importances.orderBy("importance", ascending=False).show(20, truncate=False)
         r = res.metrics.first()
-        print(f"Accuracy : {r.accuracy:.4f}\nF1 Score : {r.f1:.4f}\nROC AUC  : {r.roc_auc:.4f}\n"
-              f"Composite: {r.composite:.4f}")
+        print(f"holdout accuracy={r.accuracy:.4f} f1={r.f1:.4f} roc_auc={r.roc_auc:.4f} "
+              f"composite={r.composite:.4f}")
         for w in res.warnings:
             print(w, file=sys.stderr)
     else:
@@ -144,7 +144,7 @@ def main(argv: list[str] | None = None) -> int:
             print(e, file=sys.stderr)
             return 2
         n = write_predictions(score(df, model, a.id_col, a.impute_scope), a.out)
-        print(f"Predictions saved for {n} rows to '{a.out}'.")
+        print(f"{n} rows written to {a.out}")
     return 0
 
 

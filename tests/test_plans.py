@@ -139,7 +139,7 @@ def test_streaming_scorer_matches_batch(spark, trained, tmp_path):
     unlabelled.repartition(3).write.parquet(src)
     sink = str(tmp_path / "scored")
     q = start_scoring_stream(spark, os.path.join(out, "model"), src, unlabelled.schema, sink,
-                             query_name=f"score_{tmp_path.name}")
+                             query_name=f"score_{tmp_path.name}", progress_dir=str(tmp_path / "progress"))
     try:
         q.processAllAvailable()
     finally:
