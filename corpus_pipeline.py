@@ -43,8 +43,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     codec = bpe.prepare(docs, TOKENIZER)
-    encoded = bpe.encode(docs, codec, keep=["doc_id", "lang", "source", "n_chars"])
-    out = bpe.decode(encoded, codec)
+    out = bpe.encode(docs, codec, keep=["doc_id", "lang", "source", "n_chars"], decoded=True)
     return out.withColumn("decoded_sha256", F.sha2(F.col("decoded").cast("binary"), 256)).drop("decoded")
 
 

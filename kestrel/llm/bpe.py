@@ -38,7 +38,7 @@ from kestrel.session import ensure_checkpoint_dir
 LEXICON_SIZE = 1 << 17
 MAX_LEXICON_WORD = 64  # bytes; longer words are merged when met
 TASK_WORDS = 1 << 19  # words a task counts before it hands its counts on
-MEMO_WORDS = 1 << 18  # encoded words, and pieces, that a worker remembers
+MEMO_WORDS = 1 << 17  # encoded words, and pieces, that a task remembers
 MEMO_PIECE = 48  # characters; longer pieces are not remembered
 SHORT = 64  # bytes; longer words are merged with a heap
 TOP_COUNT = 1 << 16  # word counts are told apart up to here
@@ -271,9 +271,8 @@ def ship(spark: SparkSession, data: bytes, kind: str) -> str:
     return name
 
 
-@lru_cache(maxsize=1)
 def _memo(tokenizer_path: str, lexicon_path: str):
-    """What a Python worker keeps from task to task."""
+    """What a task encodes with. It ends with the task: workers that wait for other work hold no words."""
     bpe = _bpe(tokenizer_path)
     special = {s: array("I", [i]).tobytes() for s, i in bpe.specials.items()}
     return _Pieces(_Words(bpe, lexicon.Lexicon.mapped(lexicon_path))), bpe.special_re, special
@@ -316,19 +315,20 @@ def prepare(df: DataFrame, tokenizer_path: str, text_col: str = "text", lexicon_
     return Codec(tokenizer_file, ship(spark, build_lexicon(words, bpe), "lexicon"))
 
 
-def encode(df: DataFrame, codec: Codec, text_col: str = "text", keep=None) -> DataFrame:
+def encode(df: DataFrame, codec: Codec, text_col: str = "text", keep=None, decoded: bool = False) -> DataFrame:
     """The ``keep`` columns (default: every input column) plus ``ids`` (little-endian unsigned 32-bit, packed) and
-    ``n_tokens``."""
+    ``n_tokens``; with ``decoded`` also what ``decode`` makes of the ids, in the same pass."""
     keep = df.columns if keep is None else list(keep)
-    ddl = "ids binary, n_tokens bigint"
+    ddl = "ids binary, n_tokens bigint" + ", decoded string" * decoded
     refuse_clash(keep, ddl)
 
     def make():
-        one = codec.encoder()
+        one, back = codec.encoder(), codec.decoder()
 
         def call(texts):
             ids = [one(t) for t in texts]
-            return ids, [len(x) // 4 for x in ids]
+            out = ids, [len(x) // 4 for x in ids]
+            return (*out, [back(x) for x in ids]) if decoded else out
 
         return call
 

@@ -41,7 +41,7 @@ THRESHOLD = 0.8
 TARGET_RECALL = 0.9999
 ROWS = 5
 BLOCK = 512
-MEMO_WORDS = 1 << 18
+MEMO_WORDS = 1 << 17
 COLUMNS = 4096  # shared grams per matrix product
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)

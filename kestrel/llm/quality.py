@@ -37,7 +37,7 @@ SHARD_ROWS = 5_000
 MIN_UPDATES = 15_000
 THRESHOLD = 0.7
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 1e-4, 1e-3
-MEMO_WORDS = 1 << 18
+MEMO_WORDS = 1 << 17
 
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 _PAIR, _MIX, _SAME = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

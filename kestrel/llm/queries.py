@@ -25,8 +25,7 @@ def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     codec = bpe.prepare(docs, public_tokenizers.path("byte_bpe_50k.json"))
-    encoded = bpe.encode(docs, codec, keep=["doc_id"])
-    out = bpe.decode(encoded, codec)
+    out = bpe.encode(docs, codec, keep=["doc_id"], decoded=True)
     return out.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
