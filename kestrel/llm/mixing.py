@@ -28,7 +28,7 @@ from kestrel.llm.common import WORD, broadcast_if_small, checkpointed, null_safe
 WEIGHTS = (5.0, 2.0, 1.0)  # by rank of the source, repeating
 SHARE = 1.5  # words of the whole mix, as a multiple of all words
 MAX_EPOCHS = 2  # a source is repeated at most so often
-RANGE_ROWS = 50_000  # rows of a key range, about
+RANGE_ROWS = 8_192  # rows of a key range, about
 KEY_BITS = 60
 
 RESULT = "size bigint, source_size bigint, target double, taken bigint"
