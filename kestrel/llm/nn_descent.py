@@ -8,7 +8,7 @@ Two vectors are linked when their labels are equal and not NULL and their cosine
 3. Rounds: a vector's neighbours and those that have it as neighbour are joined at that vector, and all their pairs with
    a new edge are compared there (neighbours of neighbours). Pairs better than the worst neighbour of either side enter
    its list of ``K``. A vector that many have as neighbour is split into parts of ``PART`` of them. Rounds end when
-   fewer than ``LEAST_CHANGE`` of the list entries change, or after ``ROUNDS``.
+   no more than ``LEAST_CHANGE`` of the links in the lists are new, or after ``ROUNDS``.
 4. A list whose every entry is a link is saturated: it is enlarged (doubled, at most to ``K_MAX``) and refined further.
 5. Links give connected components. Within a component all pairs are compared in blocks of ``BLOCK`` (no pair is
    emitted, each block hands on a count per vector), so link counts are exact also where groups exceed any list.
@@ -36,7 +36,7 @@ from kestrel.llm.common import checkpointed
 from kestrel.llm.graph import components
 
 THRESHOLD = 0.98
-K, K_MAX = 10, 40
+K, K_MAX = 10, 20
 TREES = 4
 CELL = 512  # vectors per cell of hyperplane sides, about
 WINDOW = 256
@@ -236,14 +236,17 @@ def neighbour_graph(points: DataFrame, trees: int, k: int, k_max: int, threshold
     for _ in range(rounds):
         better = refine(graph, points).select("u", "v", "sim", F.lit(True).alias("new"), F.lit(k).alias("k"))
         graph = checkpointed(shortlist(graph.withColumn("new", F.lit(False)).unionByName(better)))
-        full = Window.partitionBy("u")
-        stuck = (F.count("*").over(full) >= F.col("k")) & (F.min("sim").over(full) >= threshold) & (F.col("k") < k_max)
-        marked = graph.withColumn("stuck", stuck)
-        n, changed, saturated = marked.select(F.count("*"), F.sum(F.col("new").cast("int")), F.sum(F.col("stuck").cast("int"))).first()
+        own = Window.partitionBy("u")
+        all_links = (F.count("*").over(own) >= F.col("k")) & (F.min("sim").over(own) >= threshold)
+        marked = graph.withColumn("full", all_links)
+        stuck = F.col("full") & (F.col("k") < k_max)
+        # Only links matter: a list that is all links at its longest is left to the counting inside components.
+        link = (F.col("sim") >= threshold) & ~(F.col("full") & (F.col("k") >= k_max))
+        links, changed, saturated = marked.select(F.count_if(link), F.count_if(link & F.col("new")), F.count_if(stuck)).first()
         if saturated:  # longer lists, whose entries count as new again
-            longer = F.when(F.col("stuck"), F.least(F.col("k") * 2, F.lit(k_max))).otherwise(F.col("k"))
-            graph = checkpointed(marked.select("u", "v", "sim", (F.col("new") | F.col("stuck")).alias("new"), longer.cast("int").alias("k")))
-        elif not n or changed <= LEAST_CHANGE * n:
+            longer = F.when(stuck, F.least(F.col("k") * 2, F.lit(k_max))).otherwise(F.col("k"))
+            graph = checkpointed(marked.select("u", "v", "sim", (F.col("new") | stuck).alias("new"), longer.cast("int").alias("k")))
+        elif changed <= LEAST_CHANGE * links:
             break
     return graph
 
