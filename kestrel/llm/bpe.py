@@ -38,7 +38,7 @@ from kestrel.session import ensure_checkpoint_dir
 LEXICON_SIZE = 1 << 17
 MAX_LEXICON_WORD = 64  # bytes; longer words are merged when met
 TASK_WORDS = 1 << 19  # words a task counts before it hands its counts on
-MEMO_WORDS = 1 << 17  # encoded words, and pieces, that a task remembers
+MEMO_WORDS = 1 << 18  # encoded words, and pieces, that a task remembers
 MEMO_PIECE = 48  # characters; longer pieces are not remembered
 SHORT = 64  # bytes; longer words are merged with a heap
 TOP_COUNT = 1 << 16  # word counts are told apart up to here
