@@ -47,6 +47,18 @@ TOP_COUNT = 1 << 16  # word counts are told apart up to here
 WHITE = r"\t\n\x0b\x0c\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
+# A space that stands after white space and before white space or the end: a word may cross the place before it.
+INSIDE_RUN = re.compile(f" (?<=[{WHITE}] )(?=[{WHITE}]|\\Z)")
+OUTSIDE_RUN = re.compile(f"(?<![{WHITE}]) (?=[^{WHITE}])")
+
+
+def cut(text: str) -> list[str]:
+    """The text cut at spaces that no word of the splitting pattern crosses, without these spaces. A word holds a space
+    other than its first character only inside a run of white space; such a run ends before its last space if a word
+    follows, so the pattern gives the same words on each piece with a space before it (the first one without)."""
+    return OUTSIDE_RUN.split(text) if INSIDE_RUN.search(text) else text.split(" ")
+
+
 @lru_cache(maxsize=1)
 def splitter() -> re.Pattern:
     """The GPT-2 splitting pattern with \\p{L} and \\p{N} written out as character ranges."""
@@ -176,12 +188,8 @@ class _Words(dict):
 
 
 class _Pieces(dict):
-    """piece -> packed ids of the piece with a space before it.
-
-    A text without two spaces in a row may be cut before every space: no word of the splitting pattern crosses such a
-    place, and what the pattern does after it does not depend on what stands before. So the pattern runs on pieces that
-    are new, not on every text.
-    """
+    """piece (see ``cut``) -> packed ids of the piece with a space before it. So the pattern runs on pieces that are new,
+    not on every text."""
 
     def __init__(self, words: _Words):
         super().__init__()
@@ -198,9 +206,7 @@ class _Pieces(dict):
             self.clear()
         if len(self.words) > MEMO_WORDS:
             self.words.clear()
-        if "  " in text:
-            return b"".join(map(self.words.__getitem__, self.split(text)))
-        first, *rest = text.split(" ")
+        first, *rest = cut(text)
         return b"".join(map(self.words.__getitem__, self.split(first))) + b"".join(map(self.__getitem__, rest))
 
 
@@ -226,12 +232,9 @@ def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
                 for text in part.column(0).to_pylist():
                     if not text:
                         continue
-                    if "  " in text:
-                        counts.update(split(text))
-                    else:  # counted in pieces, see _Pieces
-                        first, *rest = text.split(" ")
-                        counts.update(split(first))
-                        pieces_.update(rest)
+                    first, *rest = cut(text)
+                    counts.update(split(first))
+                    pieces_.update(rest)
                 if len(counts) + len(pieces_) > TASK_WORDS:
                     yield flush()
         yield flush()

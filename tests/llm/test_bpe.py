@@ -1,6 +1,7 @@
 """BPE: equal to the tokenizers library on random and awkward texts, lossless, and independent of the lexicon."""
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -108,3 +109,32 @@ def test_both_ways_of_merging_agree(text):
     model = bpe._bpe(PATH)
     ids = [model.byte_id[b] for b in text.encode()]
     assert model._merge_long(ids) == _ids(text)
+
+
+NBSP = "\xa0"
+WHITE_RUNS = [
+    f"a {NBSP} {NBSP} b", f"a {NBSP} {NBSP} ", f"a\n {NBSP} {NBSP} b", f" {NBSP} {NBSP}", f"a{f' {NBSP}' * 8} b  c", "a\n \n \n b", "a\t ", "a  b",
+    "a   b", "a  ", "  ", f"  a {NBSP}b", f"x <|endoftext|> {NBSP} {NBSP} <|endoftext|>  y", f"it's  {NBSP} ok \u3000 \u3000 !  1   2",
+]
+
+
+def test_mixed_white_space_runs_equal_the_library(spark, codec):
+    df = spark.createDataFrame(list(enumerate(WHITE_RUNS)), "doc_id long, text string")
+    for r in bpe.decode(bpe.encode(df, codec), codec).collect():
+        want = _ids(WHITE_RUNS[r.doc_id])
+        assert np.frombuffer(r.ids, "<u4").tolist() == want, WHITE_RUNS[r.doc_id]
+        assert r.n_tokens == len(want) and r.decoded == WHITE_RUNS[r.doc_id]
+
+
+def test_words_are_counted_as_the_pattern_splits(spark):
+    want = Counter(w for t in WHITE_RUNS for w in bpe.splitter().findall(t))
+    df = spark.createDataFrame([(t,) for t in WHITE_RUNS], "text string").repartition(2)
+    assert {r.word: r.n for r in bpe.word_counts(df).collect()} == want
+
+
+@settings(max_examples=1000, deadline=None)
+@given(st.text(alphabet="a1! \n\xa0\u3000", max_size=24))
+def test_cut_places_are_crossed_by_no_word(text):
+    split = bpe.splitter().findall
+    first, *rest = bpe.cut(text)
+    assert split(first) + [w for piece in rest for w in split(" " + piece)] == split(text)
