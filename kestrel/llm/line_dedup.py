@@ -1,7 +1,8 @@
 """Line dedup (operator 1) by site-relative frequency, DataFrame functions only.
 
 A line is boilerplate on a host when it stands on more than ``max_ratio`` of the host's pages, and on at least
-``min_pages`` of them. Pages are the distinct texts of a host: a page published many times counts once, so a group of
+``min_pages`` of them. Without ``min_pages``, a line must stand on ``MIN_PAGES`` pages if it exceeds ``SURE_RATIO``, else
+on ``RARE_PAGES``: a small share counts only on hosts where it is many pages, so rare lines stay. Pages are the distinct texts of a host: a page published many times counts once, so a group of
 exact copies does not turn its own lines into boilerplate. Lines are compared without leading and trailing spaces; a
 line counts once per page; blank lines are never counted and never dropped.
 
@@ -22,8 +23,10 @@ from pyspark.sql import functions as F
 
 from kestrel.llm.common import broadcast_if_small, checkpointed, null_safe_key, refuse_clash
 
-MAX_RATIO = 0.05
+MAX_RATIO = 0.01
+SURE_RATIO = 0.05
 MIN_PAGES = 3
+RARE_PAGES = 10
 
 
 def _lines(text: str) -> Column:
@@ -31,7 +34,7 @@ def _lines(text: str) -> Column:
 
 
 def boilerplate_lines(
-    df: DataFrame, host_col: str, text_col: str, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES
+    df: DataFrame, host_col: str, text_col: str, max_ratio: float = MAX_RATIO, min_pages: int | None = None
 ) -> DataFrame:
     """(host_key, boilerplate: hashes of the host's boilerplate lines), one row per host that has any."""
     hashes = F.array_distinct(
@@ -46,15 +49,17 @@ def boilerplate_lines(
     totals = pages.groupBy("host_key").agg(F.count("*").alias("pages"))
     counts = (
         pages.select("host_key", F.explode("lines").alias("line"))
-        .groupBy("host_key", "line").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
+        .groupBy("host_key", "line").agg(F.count("*").alias("n")).where(F.col("n") >= (MIN_PAGES if min_pages is None else min_pages))
     )
     frequent = counts.join(broadcast_if_small(totals), "host_key").where(F.col("n") > F.lit(max_ratio) * F.col("pages"))
+    if min_pages is None:
+        frequent = frequent.where((F.col("n") >= RARE_PAGES) | (F.col("n") > F.lit(SURE_RATIO) * F.col("pages")))
     return frequent.groupBy("host_key").agg(F.sort_array(F.collect_list("line")).alias("boilerplate"))
 
 
 def line_dedup(
     df: DataFrame, host_col: str = "source", text_col: str = "text", max_ratio: float = MAX_RATIO,
-    min_pages: int = MIN_PAGES, length_col: str | None = None,
+    min_pages: int | None = None, length_col: str | None = None,
 ) -> DataFrame:
     """Every row with its text cleaned, plus ``n_lines`` (before, blank lines included) and ``n_dropped``.
     ``length_col`` is set to the text's new number of code points."""
@@ -77,8 +82,9 @@ def line_dedup(
     return rows.select(*cols, n_lines.alias("n_lines"), (n_lines - n_kept).alias("n_dropped"))
 
 
-def oracle_sql(max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> str:
+def oracle_sql(max_ratio: float = MAX_RATIO, min_pages: int | None = None) -> str:
     """DuckDB SQL for the query over ``documents``, on whole lines instead of hashes."""
+    least = f"case when count(*) > {SURE_RATIO} * t.pages then {MIN_PAGES} else {RARE_PAGES} end" if min_pages is None else min_pages
     return f"""
 with pages as (select distinct source, text from documents where text is not null),
 lines as (
@@ -86,7 +92,7 @@ lines as (
 totals as (select source, count(*) as pages from pages group by source),
 frequent as (
   select l.source, l.line from lines l join totals t on l.source is not distinct from t.source
-  where line <> '' group by l.source, l.line, t.pages having count(*) >= {min_pages} and count(*) > {max_ratio} * t.pages),
+  where line <> '' group by l.source, l.line, t.pages having count(*) >= {least} and count(*) > {max_ratio} * t.pages),
 lists as (select source, list(line) as boilerplate from frequent group by source),
 d as (
   select doc_id, d.source, string_split(d.text, chr(10)) as a, coalesce(boilerplate, []) as boilerplate

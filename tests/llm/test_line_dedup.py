@@ -59,3 +59,14 @@ def test_length_column_empty_table_and_clash(spark):
     assert line_dedup.line_dedup(df.limit(0)).count() == 0
     with pytest.raises(ValueError):
         line_dedup.line_dedup(df.withColumn("n_lines", F.lit(1)))
+
+
+def test_site_lines_below_five_percent_go_and_rare_lines_stay(spark, tmp_path, oracle):
+    # host a: 400 pages with a footer on 3 %, a legitimate line on 9 pages; host b: 60 pages with a line on 3 (5 %)
+    rows = [(i, "a", f"own {i}" + "\nfooter" * (i < 12) + "\nlegitimate" * (i % 45 == 7)) for i in range(400)]
+    rows += [(1000 + i, "b", f"own {i}" + "\nlegitimate" * (i < 3) + "\nmenu" * (i < 4)) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.text for r in op1_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {i: t.replace("\nfooter", "").replace("\nmenu", "") for i, _, t in rows}
+    assert got == {r["doc_id"]: r["text"] for r in oracle(line_dedup.oracle_sql(), tmp_path, documents=df)}
