@@ -3,12 +3,12 @@
 Two vectors are linked when their labels are equal and not NULL and their cosine, in double precision, is at least 0.98.
 
 1. Vectors equal in label and components become one class with a count; only classes go on.
-2. Start: for each of ``TREES`` random trees, vectors are ranged by (label, side of a few random hyperplanes, position
+2. Start: for each of the random trees (``TREES``, or more where the table has more cells, see ``start_trees``), vectors are ranged by (label, side of a few random hyperplanes, position
    along another direction); a range partition compares neighbours in overlapping windows of ``WINDOW`` vectors.
 3. Rounds: a vector's neighbours and those that have it as neighbour are joined at that vector, and all their pairs with
    a new edge are compared there (neighbours of neighbours). Pairs better than the worst neighbour of either side enter
    its list of ``K``. A vector that many have as neighbour is split into parts of ``PART`` of them. Rounds end when
-   no more than ``LEAST_CHANGE`` of the links in the lists are new, or after ``ROUNDS``.
+   no more than ``LEAST_CHANGE`` of all list entries are new, or after ``ROUNDS``.
 4. A list whose every entry is a link is saturated: it is enlarged (doubled, at most to ``K_MAX``) and refined further.
 5. Links give connected components. Within a component all pairs are compared in blocks of ``BLOCK`` (no pair is
    emitted, each block hands on a count per vector), so link counts are exact also where groups exceed any list.
@@ -23,6 +23,7 @@ An empty table gives an empty result; extra columns play no part.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -36,8 +37,10 @@ from kestrel.llm.common import checkpointed
 from kestrel.llm.graph import components
 
 THRESHOLD = 0.98
-K, K_MAX = 10, 20
+K, K_MAX = 10, 40
 TREES = 4
+START_MISS = 0.02  # chance that two vectors at the threshold share no cell of any tree, at most
+MAX_BITS = 30
 CELL = 512  # vectors per cell of hyperplane sides, about
 WINDOW = 256
 ROUNDS = 6
@@ -148,6 +151,12 @@ def _edges(u, v, sim) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(sim, pa.float64())], names=["u", "v", "sim"])
 
 
+def start_trees(bits: int, trees: int, threshold: float) -> int:
+    """At least ``trees``, and so many that a pair at the threshold shares a cell of some tree but for ``START_MISS``."""
+    same = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** bits
+    return trees if same >= 1 else max(trees, math.ceil(math.log(START_MISS) / math.log1p(-same)))
+
+
 def start(points: DataFrame, trees: int, k: int, window: int) -> DataFrame:
     parts = []
     for t in range(trees):
@@ -237,16 +246,14 @@ def neighbour_graph(points: DataFrame, trees: int, k: int, k_max: int, threshold
         better = refine(graph, points).select("u", "v", "sim", F.lit(True).alias("new"), F.lit(k).alias("k"))
         graph = checkpointed(shortlist(graph.withColumn("new", F.lit(False)).unionByName(better)))
         own = Window.partitionBy("u")
-        all_links = (F.count("*").over(own) >= F.col("k")) & (F.min("sim").over(own) >= threshold)
-        marked = graph.withColumn("full", all_links)
-        stuck = F.col("full") & (F.col("k") < k_max)
-        # Only links matter: a list that is all links at its longest is left to the counting inside components.
-        link = (F.col("sim") >= threshold) & ~(F.col("full") & (F.col("k") >= k_max))
-        links, changed, saturated = marked.select(F.count_if(link), F.count_if(link & F.col("new")), F.count_if(stuck)).first()
+        stuck = (F.count("*").over(own) >= F.col("k")) & (F.min("sim").over(own) >= threshold) & (F.col("k") < k_max)
+        marked = graph.withColumn("stuck", stuck)
+        # All entries count: links are reached through neighbours that are none.
+        n, changed, saturated = marked.select(F.count("*"), F.count_if("new"), F.count_if("stuck")).first()
         if saturated:  # longer lists, whose entries count as new again
-            longer = F.when(stuck, F.least(F.col("k") * 2, F.lit(k_max))).otherwise(F.col("k"))
-            graph = checkpointed(marked.select("u", "v", "sim", (F.col("new") | stuck).alias("new"), longer.cast("int").alias("k")))
-        elif changed <= LEAST_CHANGE * links:
+            longer = F.when(F.col("stuck"), F.least(F.col("k") * 2, F.lit(k_max))).otherwise(F.col("k"))
+            graph = checkpointed(marked.select("u", "v", "sim", (F.col("new") | F.col("stuck")).alias("new"), longer.cast("int").alias("k")))
+        elif changed <= LEAST_CHANGE * n:
             break
     return graph
 
@@ -313,7 +320,8 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per vec_id: vec_id, n_links, component_id, kept (vec_id = component_id)."""
     everyone, found = classes(df, id_col, vector_col, label_col)
-    bits = min(16, max(0, (found.count() // cell).bit_length()))
+    bits = min(MAX_BITS, max(0, (found.count() // cell).bit_length()))
+    trees = start_trees(bits, trees, threshold)
     for attempt in range(tries):
         points = checkpointed(prepare(found, trees << attempt, attempt, bits))
         graph = neighbour_graph(points, trees << attempt, k << attempt, k_max << attempt, threshold, window=window)

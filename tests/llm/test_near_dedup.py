@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from kestrel.llm import nn_descent
+from kestrel.llm.common import checkpointed
 from kestrel.llm.queries import op2_embedding_near_dedup
 
 
@@ -99,3 +100,23 @@ def test_query_equals_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     assert {r.vec_id: (r.n_links, r.component_id) for r in op2_embedding_near_dedup(spark, sf).collect()} == brute(rows)
+
+
+def test_rounds_go_on_while_lists_change(spark):
+    x = np.random.default_rng(3).normal(size=(600, 6))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, "g", v.tolist()) for i, v in enumerate(x)], "rep bigint, grp string, x array<double>")
+    points = checkpointed(nn_descent.prepare(df, 3, 0, 3))
+    graph = nn_descent.neighbour_graph(points, 3, 10, 10, 2.0, window=8)  # no pair is a link
+    got = {(r.u, r.v) for r in graph.collect()}
+    s = x @ x.T
+    np.fill_diagonal(s, -2)
+    want = {(u, int(v)) for u, row in enumerate(np.argsort(-s, axis=1)[:, :10]) for v in row}
+    assert len(got & want) >= 0.95 * len(want), len(got & want)
+
+
+def test_trees_grow_with_cells():
+    for bits in (0, 7, 16, 25, 30):
+        trees = nn_descent.start_trees(bits, nn_descent.TREES, 0.98)
+        same = (1 - math.acos(0.98) / math.pi) ** bits
+        assert trees >= nn_descent.TREES and (1 - same) ** trees <= nn_descent.START_MISS
