@@ -12,8 +12,10 @@ Two vectors are linked when their labels are equal and not NULL and their cosine
 4. A list whose every entry is a link is saturated: it is enlarged (doubled, at most to ``K_MAX``) and refined further.
 5. Links give connected components. Within a component all pairs are compared in blocks of ``BLOCK`` (no pair is
    emitted, each block hands on a count per vector), so link counts are exact also where groups exceed any list.
-6. Audit: ``AUDIT`` vectors (a documented sample, taken by hash) are compared with all vectors; if the recall of links is
-   below ``TARGET_RECALL``, the graph starts again with twice the list length and more trees, at most ``TRIES`` times.
+6. Audit: of the vectors with 0, 1, 2-3, 4-7, ... links found, about ``AUDIT`` each (taken by hash; ``AUDIT_ALONE`` of those
+   with 0) are compared with all vectors. Recall is the mean per vector, taken apart for vectors with 1, 2-3, 4-7, ... true
+   links; the least of these counts. While it is below ``TARGET_RECALL``, the graph starts again with twice the list length
+   and more trees, and links found before are kept; after ``TRIES`` a ``RuntimeError`` is raised.
 
 Defined results: vectors that are NULL, empty, zero, or hold NULL or non-finite components, and those without label, have
 no links and are their own component. Vectors of different length are never linked. Rows are named by vec_id: repeated
@@ -48,6 +50,8 @@ PART = 64
 LEAST_CHANGE = 0.002
 BLOCK = 1024
 AUDIT = 512
+AUDIT_ALONE = 8192
+AUDIT_BLOCK = 512  # audited vectors compared at once with a batch
 TARGET_RECALL = 0.99
 TRIES = 3
 
@@ -283,34 +287,50 @@ def count_links(graph: DataFrame, points: DataFrame, found: DataFrame, threshold
     return member.join(counts.groupBy("rep").agg(F.sum("near").alias("near"), F.sum("n").alias("n")), "rep")
 
 
-def audit(points: DataFrame, counts: DataFrame, threshold: float, size: int = AUDIT) -> float:
-    """Share of the links of ``size`` vectors (taken by hash) that were found, against all vectors."""
-    total = points.count()
-    if not total:
-        return 1.0
+def audit(points: DataFrame, counts: DataFrame, threshold: float, size: int = AUDIT, alone: int = AUDIT_ALONE) -> float:
+    """Least recall of any size class of links, see the module's step 6. Sampled vectors weigh as many as they stand for."""
+    log = lambda c: F.when(c == 0, 0).otherwise(F.length(F.bin(c)))  # noqa: E731 - 0, 1, 2-3, 4-7, ... -> 0, 1, 2, 3, ...
+    near = points.join(counts.select("rep", "near"), "rep", "left").withColumn("near", F.coalesce("near", F.lit(0)))
+    near = near.select("rep", "grp", "x", "near", log(F.col("near")).alias("found"))
+    totals = {r["found"]: r["count"] for r in near.groupBy("found").count().collect()}  # at most 64 rows
     spot = F.pmod(F.xxhash64(F.lit("audit"), "rep"), F.lit(1 << 30))
-    chosen = points.where(spot < int((1 << 30) * min(1.0, size / total)) + 1).select("rep", "grp", "x")
-    asked = {}
-    for r in chosen.collect():  # about ``size`` rows
+    share = {c: min(1.0, (size if c else alone) / n) for c, n in totals.items()}
+    picked = [(F.col("found") == c) & (spot < int((1 << 30) * p) + 1) for c, p in share.items()]
+    asked, told = {}, {}
+    for r in near.where(reduce(lambda a, b: a | b, picked)).collect() if picked else []:  # about ``size`` rows a class
         asked.setdefault(r.grp, []).append((r.rep, bytes(r.x)))
+        told[r.rep] = r.near, r.found
     if not asked:
         return 1.0
     tables = {g: (np.array([i for i, _ in rows]), np.frombuffer(b"".join(x for _, x in rows)).reshape(len(rows), -1)) for g, rows in asked.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {g: np.zeros(len(own), np.int64) for g, (own, _) in tables.items()}
         for batch in batches:
             groups = np.array(batch.column("grp").to_pylist(), object)
             ids, xs = batch.column("rep").to_numpy(), batch.column("x").to_pylist()
             for g in set(groups.tolist()) & tables.keys():
                 at = np.flatnonzero(groups == g)
                 own, queries = tables[g]
-                near = queries @ np.frombuffer(b"".join(xs[i] for i in at)).reshape(len(at), -1).T >= threshold
-                near &= own[:, None] != ids[at][None, :]
-                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(near.sum(axis=1), pa.int64())], names=["rep", "true"])
+                x = np.frombuffer(b"".join(xs[i] for i in at)).reshape(len(at), -1).T
+                for i in range(0, len(own), AUDIT_BLOCK):
+                    linked = queries[i : i + AUDIT_BLOCK] @ x >= threshold
+                    linked &= own[i : i + AUDIT_BLOCK, None] != ids[at][None, :]
+                    sums[g][i : i + AUDIT_BLOCK] += linked.sum(axis=1)
+        for g, (own, _) in tables.items():
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(sums[g])], names=["rep", "true"])
 
     true = points.select("rep", "grp", "x").mapInArrow(run, "rep bigint, true bigint").groupBy("rep").agg(F.sum("true").alias("true"))
-    r = true.join(counts.select("rep", "near"), "rep", "left").agg(F.sum("true"), F.sum(F.coalesce("near", F.lit(0)))).first()
-    return 1.0 if not r[0] else min(1.0, r[1] / r[0])
+    drawn: dict[int, int] = {}
+    for _, c in told.values():
+        drawn[c] = drawn.get(c, 0) + 1
+    weight, got = {}, {}
+    for r in true.where(F.col("true") > 0).collect():  # at most the rows asked
+        n, c = told[r.rep]
+        w, kind = totals[c] / drawn[c], r.true.bit_length()
+        weight[kind] = weight.get(kind, 0.0) + w
+        got[kind] = got.get(kind, 0.0) + w * min(1.0, n / r.true)
+    return min((got[c] / weight[c] for c in weight), default=1.0)
 
 
 def near_duplicates(
@@ -322,12 +342,18 @@ def near_duplicates(
     everyone, found = classes(df, id_col, vector_col, label_col)
     bits = min(MAX_BITS, max(0, (found.count() // cell).bit_length()))
     trees = start_trees(bits, trees, threshold)
+    links = None
     for attempt in range(tries):
         points = checkpointed(prepare(found, trees << attempt, attempt, bits))
         graph = neighbour_graph(points, trees << attempt, k << attempt, k_max << attempt, threshold, window=window)
-        counts = checkpointed(count_links(graph, points, found, threshold, block))
-        if attempt == tries - 1 or audit(points, counts, threshold) >= target_recall:
+        new = graph.where(F.col("sim") >= threshold).select("u", "v", "sim")
+        links = new if links is None else links.union(new)
+        counts = checkpointed(count_links(links, points, found, threshold, block))
+        recall = audit(points, counts, threshold)
+        if recall >= target_recall:
             break
+    else:
+        raise RuntimeError(f"recall of links is {recall:.4f} after {tries} tries, below {target_recall}")
     per_class = found.select("class", "rep", "members").join(counts, "rep", "left").select(
         "class", F.coalesce("component", "rep").alias("component_id"), (F.col("members") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
     out = everyone.where("class is not null").join(per_class, "class").select("vec_id", "n_links", "component_id")

@@ -120,3 +120,20 @@ def test_trees_grow_with_cells():
         trees = nn_descent.start_trees(bits, nn_descent.TREES, 0.98)
         same = (1 - math.acos(0.98) / math.pi) ** bits
         assert trees >= nn_descent.TREES and (1 - same) ** trees <= nn_descent.START_MISS
+
+
+def test_audit_sees_lost_pairs_beside_a_hot_group(spark):
+    rng = np.random.default_rng(5)
+    hot, pairs = rng.normal(size=32), rng.normal(size=(20, 32))
+    x = [hot + 0.01 * rng.normal(size=32) for _ in range(300)] + [p + 0.01 * rng.normal(size=32) for p in pairs for _ in range(2)]
+    df = spark.createDataFrame([(i, "g", v.tolist()) for i, v in enumerate(x)], "rep bigint, grp string, x array<double>")
+    points = checkpointed(nn_descent.prepare(df, 1, 0, 1))
+    every = spark.createDataFrame([(i, 299 if i < 300 else 1) for i in range(340)], "rep bigint, near bigint")
+    assert nn_descent.audit(points, every, 0.98) == 1.0
+    assert nn_descent.audit(points, every.where("near > 1"), 0.98) == 0.0
+
+
+def test_missed_target_raises_on_the_last_try(spark, planted, monkeypatch):
+    monkeypatch.setattr(nn_descent, "audit", lambda *a: 0.5)
+    with pytest.raises(RuntimeError):
+        _run(spark, planted[:100], tries=1)
