@@ -1,10 +1,14 @@
 """BPE encoding and decoding (operator 3): a minimal acyclic transducer lexicon plus exact merges for unseen words.
 
 1. ``word_counts``: every text is split by the tokenizer's pattern; tasks pre-count, Spark sums the counts of all words.
+   Which characters are letters and numbers is asked of the tokenizers library on the driver, once, so that neither
+   the interpreter's Unicode tables nor those of the executors decide.
 2. ``build_lexicon``: the ``lexicon_size`` most frequent words (a documented bound, so the collected list and the file
    stay small) are merged once and compiled into a minimal acyclic transducer (``lexicon.py``).
 3. ``encode``: the file travels with ``SparkContext.addFile``; tasks memory-map their executor's copy. Words found in the
    transducer take its ids, all other words are merged exactly by rank. The result never depends on the lexicon.
+   An Arrow batch is cut at spaces and dictionary-encoded, so that Python sees each distinct piece of a batch once; the
+   texts' ids are put together by Arrow ``take``.
 4. ``decode``: ids to bytes to text, ill-formed UTF-8 replaced, special tokens kept.
 
 The tokenizer file (byte-level BPE JSON) is a path on the driver; it is shipped to the executors the same way.
@@ -20,25 +24,26 @@ import hashlib
 import heapq
 import json
 import re
-import sys
-import unicodedata
 from array import array
 from collections import Counter
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.llm import lexicon
-from kestrel.llm.common import checkpointed, map_rows, pieces, refuse_clash
+from kestrel.llm.common import checkpointed, joined_runs, map_arrays, pieces, refuse_clash, release_memory
+from kestrel.llm.merges import WIDTHS, MergeTable, binary_parts, by_width, byte_rows, in_order, merge_rows, packed
 from kestrel.session import ensure_checkpoint_dir
 
 LEXICON_SIZE = 1 << 17
 MAX_LEXICON_WORD = 64  # bytes; longer words are merged when met
-TASK_WORDS = 1 << 19  # words a task counts before it hands its counts on
-MEMO_WORDS = 1 << 18  # encoded words, and pieces, that a task remembers
+TASK_WORDS = 1 << 18  # pieces a task counts before it hands their counts on
+MEMO_WORDS = 1 << 17  # encoded words, and pieces, that a task remembers
 MEMO_PIECE = 48  # characters; longer pieces are not remembered
 SHORT = 64  # bytes; longer words are merged with a heap
 TOP_COUNT = 1 << 16  # word counts are told apart up to here
@@ -59,23 +64,32 @@ def cut(text: str) -> list[str]:
     return OUTSIDE_RUN.split(text) if INSIDE_RUN.search(text) else text.split(" ")
 
 
+# The same for a whole batch of texts (RE2 writes code points in braces): white space, a space, white space or the end.
+CROSSED = "[{0}] (?:[{0}]|\\z)".format(re.sub(r"\\u([0-9a-f]{4})", r"\\x{\1}", WHITE))
+# A piece of these letters alone is one word, with a space before it or without; ASCII punctuation after them is a
+# second one. ASCII and Latin-1 letters, ASCII punctuation.
+WORD_AND_MARKS = "^(?P<word> ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)(?P<marks>[!-/:-@\\[-`{-~]*)$"
+LETTER_PLANES = 0x40000  # no plane from the fourth on has letters or numbers
+
+
 @lru_cache(maxsize=1)
-def splitter() -> re.Pattern:
+def unicode_classes() -> tuple[str, str]:
+    """The letters and the numbers, as character ranges of a pattern, as the tokenizers library knows them."""
+    from tokenizers import Regex, pre_tokenizers
+
+    every = "".join(chr(c) for c in range(LETTER_PLANES) if not 0xD800 <= c <= 0xDFFF)
+
+    def ranges(category: str) -> str:
+        runs = pre_tokenizers.Split(Regex(rf"\p{{{category}}}+"), "removed", invert=True).pre_tokenize_str(every)
+        return "".join(f"\\U{ord(r[0]):08x}-\\U{ord(r[-1]):08x}" for r, _ in runs)
+
+    return ranges("L"), ranges("N")
+
+
+@lru_cache(maxsize=2)
+def splitter(classes: tuple[str, str] | None = None) -> re.Pattern:
     """The GPT-2 splitting pattern with \\p{L} and \\p{N} written out as character ranges."""
-    ranges: dict[str, list[list[int]]] = {"L": [], "N": []}
-    for cp in range(sys.maxunicode + 1):
-        major = unicodedata.category(chr(cp))[0]
-        if major in ranges:
-            rs = ranges[major]
-            if rs and rs[-1][1] == cp - 1:
-                rs[-1][1] = cp
-            else:
-                rs.append([cp, cp])
-
-    def cls(rs):
-        return "".join(f"\\U{a:08x}" if a == b else f"\\U{a:08x}-\\U{b:08x}" for a, b in rs)
-
-    letters, numbers = cls(ranges["L"]), cls(ranges["N"])
+    letters, numbers = classes or unicode_classes()
     return re.compile(
         rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{numbers}]+| ?[^{WHITE}{letters}{numbers}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
     )
@@ -116,6 +130,10 @@ class Bpe:
         for rank, pair in enumerate(model["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self.merges[vocab[a] << self.bits | vocab[b]] = rank << self.bits | vocab[a + b]
+        self.table = MergeTable(
+            [k >> self.bits for k in self.merges], [k & (1 << self.bits) - 1 for k in self.merges],
+            [m >> self.bits for m in self.merges.values()], [m & (1 << self.bits) - 1 for m in self.merges.values()])
+        self.byte_ids = np.array(self.byte_id, np.int32)
         self.special_re = (
             re.compile("(" + "|".join(re.escape(s) for s in sorted(self.specials, key=len, reverse=True)) + ")")
             if self.specials else None
@@ -170,6 +188,28 @@ def _bpe(path: str) -> Bpe:
     return Bpe(path)
 
 
+def encode_words(words: pa.Array, bpe: Bpe, lex: lexicon.Lexicon) -> pa.Array:
+    """Packed ids of every word of a string array: the transducer's output, or exact merges of the word's bytes."""
+    data, starts = binary_parts(words)
+    lens = np.diff(starts)
+    parts, places = [], []
+    for chosen, width in by_width(lens):
+        rows = byte_rows(data, starts, chosen, width)
+        number = lex.numbers(rows, lens[chosen])
+        seen = number >= 0
+        parts.append(lex.outputs.take(pa.array(number[seen])))
+        places.append(chosen[seen])
+        ids, n = merge_rows(bpe.table, bpe.byte_ids[rows[~seen]], lens[chosen][~seen])
+        parts.append(packed(ids, n))
+        places.append(chosen[~seen])
+    rest = np.flatnonzero(lens > WIDTHS[-1])
+    if len(rest):
+        values = [w.as_py().encode() for w in words.take(pa.array(rest))]
+        parts.append(pa.array([lex.lookup(w) or array("I", bpe.merge(w)).tobytes() for w in values], pa.binary()))
+        places.append(rest)
+    return in_order(parts, places)
+
+
 class _Words(dict):
     """word -> packed ids; a missing word goes to the transducer, then to exact merges."""
 
@@ -191,9 +231,9 @@ class _Pieces(dict):
     """piece (see ``cut``) -> packed ids of the piece with a space before it. So the pattern runs on pieces that are new,
     not on every text."""
 
-    def __init__(self, words: _Words):
+    def __init__(self, words: _Words, classes: tuple[str, str] | None = None):
         super().__init__()
-        self.words, self.split = words, splitter().findall
+        self.words, self.split = words, splitter(classes).findall
 
     def __missing__(self, piece: str) -> bytes:
         ids = b"".join(map(self.words.__getitem__, self.split(" " + piece)))
@@ -201,43 +241,75 @@ class _Pieces(dict):
             self[piece] = ids
         return ids
 
-    def encode(self, text: str) -> bytes:
+    def bound(self) -> None:
         if len(self) > MEMO_WORDS:
             self.clear()
         if len(self.words) > MEMO_WORDS:
             self.words.clear()
+
+    def encode(self, text: str) -> bytes:
+        self.bound()
         first, *rest = cut(text)
         return b"".join(map(self.words.__getitem__, self.split(first))) + b"".join(map(self.__getitem__, rest))
 
 
+def space_pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Plain texts cut at every space: the distinct pieces (each with the space before it, but for the texts' first
+    ones), the numbers of the texts' pieces, and where those of each text start."""
+    lists = pc.split_pattern(texts, " ")
+    starts = lists.offsets.to_numpy().astype(np.int64)
+    starts -= starts[0]
+    later = np.ones(starts[-1], bool)
+    later[starts[:-1]] = False
+    flat, later = lists.flatten(), pa.array(later)
+    codes, first = flat.filter(later).dictionary_encode(), flat.filter(pc.invert(later))
+    spaced = pc.binary_join_element_wise(" ", codes.dictionary, "")
+    number = np.empty(len(flat), np.int64)
+    later = later.to_numpy(zero_copy_only=False)
+    number[later], number[~later] = codes.indices.to_numpy(), np.arange(len(spaced), len(spaced) + len(first))
+    return pa.concat_arrays([spaced, first]), number, starts
+
+
+def plain_rows(texts: pa.Array, specials) -> np.ndarray:
+    """Which texts may be cut at every space: those without mixed runs of white space and without special tokens."""
+    bad = pc.match_substring_regex(texts, CROSSED)
+    for s in specials:
+        bad = pc.or_(bad, pc.match_substring(texts, s))
+    return ~bad.to_numpy(zero_copy_only=False).astype(bool)
+
+
 def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
     """(word, n) of all texts. Tasks count before the shuffle, in tables of about ``TASK_WORDS`` entries."""
+    classes = unicode_classes()
 
     def run(batches):
-        split, counts, pieces_ = splitter().findall, Counter(), Counter()
+        split, pieces_ = splitter(classes).findall, Counter()
 
         def flush():
+            counts = Counter()
             for piece, n in pieces_.items():
-                for word in split(" " + piece):
+                for word in split(piece):
                     counts[word] += n
             out = pa.RecordBatch.from_arrays(
                 [pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["word", "n"]
             )
-            counts.clear()
             pieces_.clear()
             return out
 
         for batch in batches:
             for part in pieces(batch, [text_col]):
-                for text in part.column(0).to_pylist():
-                    if not text:
-                        continue
-                    first, *rest = cut(text)
-                    counts.update(split(first))
-                    pieces_.update(rest)
-                if len(counts) + len(pieces_) > TASK_WORDS:
+                texts = pc.fill_null(part.column(0), "")
+                plain = plain_rows(texts, ())
+                distinct, number, _ = space_pieces(texts.filter(pa.array(plain)))
+                for piece, n in zip(distinct.to_pylist(), np.bincount(number, minlength=len(distinct)).tolist()):
+                    pieces_[piece] += n
+                for text in texts.filter(pa.array(~plain)).to_pylist():
+                    head, *rest = cut(text)
+                    pieces_.update([head, *(" " + r for r in rest)])
+                if len(pieces_) > TASK_WORDS:
                     yield flush()
         yield flush()
+        release_memory()
 
     return df.select(text_col).mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -274,38 +346,78 @@ def ship(spark: SparkSession, data: bytes, kind: str) -> str:
     return name
 
 
-def _memo(tokenizer_path: str, lexicon_path: str):
+class Encoder:
     """What a task encodes with. It ends with the task: workers that wait for other work hold no words."""
-    bpe = _bpe(tokenizer_path)
-    special = {s: array("I", [i]).tobytes() for s, i in bpe.specials.items()}
-    return _Pieces(_Words(bpe, lexicon.Lexicon.mapped(lexicon_path))), bpe.special_re, special
+
+    def __init__(self, tokenizer_path: str, lexicon_path: str, classes: tuple[str, str]):
+        bpe = self.bpe = _bpe(tokenizer_path)
+        self.lex = lexicon.Lexicon.mapped(lexicon_path)
+        self.memo, self.split = _Pieces(_Words(bpe, self.lex), classes), splitter(classes).findall
+        self.special = {s: array("I", [i]).tobytes() for s, i in bpe.specials.items()}
+        self.special_re = bpe.special_re
+
+    def text(self, text: str) -> bytes:
+        if not any(s in text for s in self.special):
+            return self.memo.encode(text)
+        return b"".join(self.special[p] if p in self.special else self.memo.encode(p)
+                        for p in self.special_re.split(text) if p)
+
+    def batch(self, texts: pa.Array) -> pa.Array:
+        """Packed ids of every text: the plain ones through the batch's distinct words, the others one by one."""
+        texts = pc.fill_null(texts, "")
+        plain = plain_rows(texts, self.special)
+        distinct, number, starts = space_pieces(texts.filter(pa.array(plain)))
+        words, word_starts = self.words_of(distinct)
+        codes = words.dictionary_encode()
+        table = encode_words(codes.dictionary, self.bpe, self.lex)
+        out = joined_runs(joined_runs(table, codes.indices.to_numpy(), word_starts), number, starts)
+        if plain.all():
+            return out
+        rest = pa.array([self.text(t) for t in texts.filter(pa.array(~plain)).to_pylist()], pa.binary())
+        return in_order([out, rest], [np.flatnonzero(plain), np.flatnonzero(~plain)])
+
+    def words_of(self, distinct: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The words of all pieces in order, and where those of each piece start."""
+        simple = pc.extract_regex(distinct, WORD_AND_MARKS)
+        easy = simple.is_valid().to_numpy(zero_copy_only=False)
+        word, marks = (pc.struct_field(simple, i).filter(pa.array(easy)) for i in (0, 1))
+        marked = pc.not_equal(marks, "")
+        more = [self.split(p) for p in distinct.filter(pa.array(~easy)).to_pylist()]
+        sizes = np.ones(len(distinct), np.int64)
+        sizes[easy] += marked.to_numpy(zero_copy_only=False)
+        sizes[~easy] = [len(w) for w in more]
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        first = starts[:-1][easy]
+        places = [first, first[marked.to_numpy(zero_copy_only=False)] + 1, np.flatnonzero(np.repeat(~easy, sizes))]
+        return in_order([word, marks.filter(marked), pa.array([w for ws in more for w in ws], pa.string())], places), starts
+
+
+class Decoder:
+    def __init__(self, tokenizer_path: str):
+        self.table = pa.array(_bpe(tokenizer_path).bytes_of, pa.binary())
+
+    def batch(self, ids: pa.Array) -> pa.Array:
+        """Bytes of all ids by one ``take``, cut into texts; ill-formed UTF-8 is replaced."""
+        starts = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset : ids.offset + len(ids) + 1].astype(np.int64)
+        flat = np.frombuffer(ids.buffers()[2] or b"", np.uint8)[starts[0] : starts[-1]].copy().view("<u4")
+        raw = joined_runs(self.table, flat, (starts - starts[0]) // 4)
+        try:
+            return raw.cast(pa.string())
+        except pa.ArrowInvalid:
+            return pa.array([b.decode("utf-8", "replace") for b in raw.to_pylist()], pa.string())
 
 
 class Codec:
-    """Names of the shipped tokenizer and transducer files; picklable, opened inside tasks."""
+    """Names of the shipped tokenizer and transducer files and the character classes; picklable, opened inside tasks."""
 
     def __init__(self, tokenizer_file: str, lexicon_file: str):
-        self.tokenizer_file, self.lexicon_file = tokenizer_file, lexicon_file
-
-    def encoder(self):
-        memo, special_re, special = _memo(SparkFiles.get(self.tokenizer_file), SparkFiles.get(self.lexicon_file))
-
-        def encode(text: str | None) -> bytes:
-            if not text:
-                return b""
-            if not any(s in text for s in special):
-                return memo.encode(text)
-            return b"".join(special[p] if p in special else memo.encode(p) for p in special_re.split(text) if p)
-
-        return encode
-
-    def decoder(self):
-        table = _bpe(SparkFiles.get(self.tokenizer_file)).bytes_of
+        self.tokenizer_file, self.lexicon_file, self.classes = tokenizer_file, lexicon_file, unicode_classes()
 
-        def decode(ids: bytes | None) -> str:
-            return b"".join(map(table.__getitem__, memoryview(ids or b"").cast("I"))).decode("utf-8", "replace")
+    def encoder(self) -> Encoder:
+        return Encoder(SparkFiles.get(self.tokenizer_file), SparkFiles.get(self.lexicon_file), self.classes)
 
-        return decode
+    def decoder(self) -> Decoder:
+        return Decoder(SparkFiles.get(self.tokenizer_file))
 
 
 def prepare(df: DataFrame, tokenizer_path: str, text_col: str = "text", lexicon_size: int = LEXICON_SIZE) -> Codec:
@@ -329,13 +441,13 @@ def encode(df: DataFrame, codec: Codec, text_col: str = "text", keep=None, decod
         one, back = codec.encoder(), codec.decoder()
 
         def call(texts):
-            ids = [one(t) for t in texts]
-            out = ids, [len(x) // 4 for x in ids]
-            return (*out, [back(x) for x in ids]) if decoded else out
+            ids = one.batch(texts)
+            out = [ids, pc.divide(pc.binary_length(ids), 4).cast(pa.int64())]
+            return [*out, back.batch(ids)] if decoded else out
 
         return call
 
-    return map_rows(df, [text_col], keep, ddl, make)
+    return map_arrays(df, [text_col], keep, ddl, make)
 
 
 def decode(df: DataFrame, codec: Codec, ids_col: str = "ids", keep=None) -> DataFrame:
@@ -345,6 +457,6 @@ def decode(df: DataFrame, codec: Codec, ids_col: str = "ids", keep=None) -> Data
 
     def make():
         one = codec.decoder()
-        return lambda ids: [[one(x) for x in ids]]
+        return lambda ids: [one.batch(pc.fill_null(ids, b""))]
 
-    return map_rows(df, [ids_col], keep, "decoded string", make)
+    return map_arrays(df, [ids_col], keep, "decoded string", make)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,36 +67,72 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
     return F.broadcast(df) if size <= limit else df
 
 
-def map_rows(
+def release_memory() -> None:
+    """Give what a task's Arrow buffers and Python objects have left behind back to the operating system: a worker that
+    waits for its next task otherwise keeps the largest size it ever had, beside the executor's heap."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
+def map_arrays(
     df: DataFrame,
     inputs: Sequence[str],
     keep: Sequence[str],
     schema: str,
-    make: Callable[[], Callable[..., Sequence]],
+    make: Callable[[], Callable[..., Sequence[pa.Array]]],
 ) -> DataFrame:
-    """Apply a Python function to the ``inputs`` columns of every row in Arrow batches.
+    """Apply a function of Arrow arrays to the ``inputs`` columns, in slices of bounded size.
 
-    ``make`` runs once per task and returns a function (input lists...) -> one list per new column; the ``keep``
-    columns pass through as Arrow. ``schema`` is the DDL of the new columns.
+    ``make`` runs once per task and returns a function (input arrays...) -> one array per new column; the ``keep``
+    columns pass through as Arrow. ``schema`` is the DDL of the new columns. What ``make`` built ends with the task.
     """
     narrow = df.select(*[F.col(c) for c in dict.fromkeys([*keep, *inputs])])
     kept = narrow.select(*keep).schema
     out_ddl = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept.fields], schema])
-    new_types = [(f.name, to_arrow_type(f.dataType)) for f in StructType.fromDDL(schema).fields]
+    names = [*keep, *[f.name for f in StructType.fromDDL(schema).fields]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         call = make()
         for batch in batches:
             for part in pieces(batch, inputs):
-                cols = call(*[part.column(c).to_pylist() for c in inputs])
-                arrays = [part.column(c) for c in keep] + [
-                    pa.array(v, type=t) for v, (_, t) in zip(cols, new_types, strict=True)
-                ]
-                yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *[n for n, _ in new_types]])
+                new = call(*[part.column(c) for c in inputs])
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], *new], names=names)
+        del call
+        release_memory()
 
     return narrow.mapInArrow(run, out_ddl)
 
 
+def map_rows(
+    df: DataFrame,
+    inputs: Sequence[str],
+    keep: Sequence[str],
+    schema: str,
+    make: Callable[[], Callable[..., Sequence]],
+) -> DataFrame:
+    """``map_arrays`` for a function of Python lists (one per input column) that returns one list per new column."""
+    types = [to_arrow_type(f.dataType) for f in StructType.fromDDL(schema).fields]
+
+    def make_arrays():
+        call = make()
+        return lambda *cols: [
+            pa.array(v, type=t) for v, t in zip(call(*[c.to_pylist() for c in cols]), types, strict=True)]
+
+    return map_arrays(df, inputs, keep, schema, make_arrays)
+
+
+def joined_runs(table: pa.Array, number: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """Binary values ``table[number]`` with those from starts[i] to starts[i + 1] joined into value i."""
+    flat = table.take(pa.array(number))
+    ends = np.frombuffer(flat.buffers()[1], np.int32)[flat.offset : flat.offset + len(flat) + 1]
+    return pa.Array.from_buffers(
+        pa.binary(), len(starts) - 1, [None, pa.py_buffer(ends[starts].astype(np.int32)), flat.buffers()[2]])
+
+
 PIECE_BYTES = 8 << 20
 
 

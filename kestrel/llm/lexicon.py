@@ -15,8 +15,10 @@ import mmap
 import struct
 from array import array
 from collections.abc import Iterable, Sequence
+from functools import cached_property
 
 import numpy as np
+import pyarrow as pa
 
 
 class _Node:
@@ -145,6 +147,35 @@ class Lexicon:
             state = self.target[edge]
         return n if self.final[state] else -1
 
+    @cached_property
+    def _edges(self) -> np.ndarray:
+        """State and label of every edge as one number, ascending: an edge is found by one search."""
+        starts = np.asarray(self.edge_start)
+        state = np.repeat(np.arange(len(starts) - 1, dtype=np.int64), np.diff(starts))
+        return np.append(state << 8 | np.asarray(self.label), np.iinfo(np.int64).max)
+
+    def numbers(self, rows: np.ndarray, lens: np.ndarray) -> np.ndarray:
+        """``number`` for a matrix of words (uint8 [words, width], row i holds lens[i] bytes)."""
+        target, skip = np.append(np.asarray(self.target), 0), np.append(np.asarray(self.skip), 0)
+        state, number = np.zeros(len(lens), np.int64), np.zeros(len(lens), np.int64)
+        for i in range(rows.shape[1]):
+            on = np.flatnonzero((lens > i) & (state >= 0))
+            if not len(on):
+                break
+            key = state[on] << 8 | rows[on, i]
+            edge = np.searchsorted(self._edges, key)
+            found = self._edges[edge] == key
+            number[on] += np.where(found, skip[edge], 0)
+            state[on] = np.where(found, target[edge], -1)
+        final = np.asarray(self.final)
+        return np.where((state >= 0) & (final[np.maximum(state, 0)] > 0), number, -1)
+
+    @cached_property
+    def outputs(self) -> pa.Array:
+        """The output of every word by its number, as binary values over the mapped file."""
+        ends = (np.asarray(self.out_start).astype(np.int64) * 4).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(self), [None, pa.py_buffer(ends), pa.py_buffer(self.out)])
+
     def lookup(self, word: bytes) -> bytes | None:
         n = self.number(word)
         if n < 0:

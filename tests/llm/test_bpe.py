@@ -5,12 +5,13 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from kestrel.llm import bpe, lexicon
+from kestrel.llm import bpe, lexicon, merges
 from kestrel.llm.queries import op3_bpe_roundtrip
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -138,3 +139,44 @@ def test_cut_places_are_crossed_by_no_word(text):
     split = bpe.splitter().findall
     first, *rest = bpe.cut(text)
     assert split(first) + [w for piece in rest for w in split(" " + piece)] == split(text)
+
+
+def test_every_code_point_equals_the_library(tmp_path):
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    texts = ["\n".join(f"!{c}'sa1{c}1 {c}'s" for c in points[i : i + 512]) for i in range(0, len(points), 512)]
+    path = tmp_path / "lexicon"
+    path.write_bytes(bpe.build_lexicon([], bpe._bpe(PATH)))
+    got = bpe.Encoder(PATH, str(path), bpe.unicode_classes()).batch(pa.array(texts)).to_pylist()
+    for g, want in zip(got, LIB.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(g, "<u4").tolist() == want.ids
+
+
+LONG_TEXTS = [
+    "word and words, " * 20_000, "x" * 300_000, "  tabs\t and   runs " * 5_000, "Ünïcödé — 東京 🙂, it's " * 8_000 + "<|endoftext|>" * 3,
+]
+
+
+def test_long_texts_equal_the_library(spark, codec):
+    df = spark.createDataFrame(list(enumerate(LONG_TEXTS)), "doc_id long, text string")
+    for r in bpe.encode(df, codec, decoded=True).collect():
+        assert np.frombuffer(r.ids, "<u4").tolist() == _ids(LONG_TEXTS[r.doc_id])
+        assert r.decoded == LONG_TEXTS[r.doc_id]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="abtheing ,.é", max_size=40), max_size=30))
+def test_rows_of_words_merge_like_single_words(words):
+    model = bpe._bpe(PATH)
+    for frequent in ([], sorted(set(words))[::2]):
+        lex = lexicon.Lexicon(bpe.build_lexicon(frequent, model))
+        got = bpe.encode_words(pa.array(words, pa.string()), model, lex).to_pylist()
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [model.merge(w.encode()) for w in words]
+        assert [merges.merge_long(model.table, [model.byte_id[b] for b in w.encode()]) for w in words] == [
+            model.merge(w.encode()) for w in words]
+
+
+def test_ill_formed_ids_decode_with_replacement(spark, codec):
+    rows = [(0, np.array([162, 254, 64], "<u4").tobytes()), (1, None), (2, b""), (3, np.array([50256], "<u4").tobytes())]
+    df = spark.createDataFrame([(i, None if b is None else bytearray(b)) for i, b in rows], "doc_id long, ids binary")
+    got = {r.doc_id: r.decoded for r in bpe.decode(df, codec).collect()}
+    assert got == {i: LIB.decode(np.frombuffer(b or b"", "<u4").tolist(), skip_special_tokens=False) for i, b in rows}
