@@ -146,3 +146,12 @@ def pieces(batch: pa.RecordBatch, cols: Iterable[str], limit: int = PIECE_BYTES)
     step = max(1, limit // per_row)
     for i in range(0, n, step):
         yield batch.slice(i, step)
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL for the unsigned crc32 of a text's UTF-8 bytes (it has no such function): every byte is followed by
+    eight steps of the polynomial division."""
+    pairs = f"list_transform(range(1, strlen({text}) * 2, 2), lambda p: ('0x' || substr(hex(encode({text})), p, 2))::bigint)"
+    steps = f"flatten(list_transform({pairs}, lambda b: [b, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    return (f"xor(list_reduce({steps}, lambda c, o: case when o >= 0 then xor(c, o) when c & 1 = 1 then "
+            f"xor(c >> 1, 3988292384::bigint) else c >> 1 end, 4294967295::bigint), 4294967295::bigint)")

@@ -9,8 +9,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe, html_extract, jaccard, license_scan, line_dedup, lm, mixing, nn_descent, quality, topk
-from kestrel.llm.common import read
+from kestrel.llm import (
+    bpe, html_extract, jaccard, license_scan, line_dedup, lm, merkle, mixing, nn_descent, quality, topk,
+)
+from kestrel.llm.common import crc_mod, read
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +66,14 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    hit = F.col("doc_id").isNotNull() & (crc_mod("doc_id", 7) == 0)
+    tampered = {"n_chars": F.when(hit, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}
+    return merkle.manifest(docs, tampered=tampered).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_line_dedup": op1_line_dedup,
@@ -76,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_lm_scoring": op10_lm_scoring,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 # Where SQL cannot express a query (trained models, merges, graph refinement, parsing), tests hold it against brute force.
@@ -84,4 +95,5 @@ ORACLE: dict[str, str] = {
     "op4_license_scan": license_scan.oracle_sql(),
     "op7_exact_topk": topk.oracle_sql(),
     "op8_source_mixing": mixing.oracle_sql(),
+    "op12_merkle_manifest": merkle.oracle_sql(),
 }
