@@ -16,21 +16,45 @@ import pyarrow as pa
 WIDTHS = (6, 10, 16, 32)  # symbols; the widest matrix
 MATRIX_WORDS = 1 << 15  # words of a matrix
 NEVER = np.iinfo(np.int32).max
+NO_KEY = np.iinfo(np.int64).max
+SPREAD = np.uint64(0x9E3779B97F4A7C15)  # odd, about 2^64 / golden ratio: spreads keys over the slots
 
 
 class MergeTable:
+    """Pairs of symbols by key, in a hash table with one slot in eight taken, so that most searches take one step."""
+
     def __init__(self, left, right, rank, made):
         left, right = np.asarray(left, np.int64), np.asarray(right, np.int64)
-        order = np.argsort(key := left << 32 | right)
-        self.key = np.append(key[order], np.iinfo(np.int64).max)
-        self.rank = np.append(np.asarray(rank, np.int32)[order], NEVER).astype(np.int32)
-        self.made = np.append(np.asarray(made, np.int32)[order], -1).astype(np.int32)
+        self.key = np.append(left << 32 | right, NO_KEY)
+        self.rank = np.append(np.asarray(rank, np.int32), NEVER).astype(np.int32)
+        self.made = np.append(np.asarray(made, np.int32), -1).astype(np.int32)
+        n = len(left)
+        self.bits = max(3, n.bit_length() + 3)
+        self.slot_key = np.full(1 << self.bits, NO_KEY, np.int64)
+        self.slot_at = np.full(1 << self.bits, n, np.int32)
+        todo, slot = np.arange(n), self._slot(self.key[:-1])
+        while len(todo):
+            free = self.slot_key[slot] == NO_KEY
+            self.slot_at[slot[free]] = todo[free]
+            self.slot_key[slot[free]] = self.key[self.slot_at[slot[free]]]
+            rest = self.slot_at[slot] != todo
+            todo, slot = todo[rest], (slot[rest] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return (key.astype(np.uint64) * SPREAD >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Places of the pairs in the table; the last place for pairs that do not merge."""
-        key = left.astype(np.int64) << 32 | right.astype(np.int64)
-        at = np.searchsorted(self.key, key)
-        return np.where(self.key[at] == key, at, len(self.key) - 1)
+        key = left.astype(np.int64) << 32 | right
+        slot = self._slot(key)
+        at, seen = self.slot_at[slot], self.slot_key[slot]
+        more = np.flatnonzero((seen != key) & (seen != NO_KEY))
+        while len(more):
+            slot[more] = (slot[more] + 1) & ((1 << self.bits) - 1)
+            seen = self.slot_key[slot[more]]
+            at[more] = self.slot_at[slot[more]]
+            more = more[(seen != key[more]) & (seen != NO_KEY)]
+        return at
 
     @cached_property
     def pairs(self) -> dict[int, tuple[int, int]]:

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.llm import (
-    bpe, html_extract, jaccard, license_scan, line_dedup, lm, merkle, mixing, nn_descent, quality, topk,
+    bpe, html_extract, jaccard, license_scan, line_dedup, lm, merkle, mixing, nn_descent, piece,
+    quality, topk,
 )
 from kestrel.llm.common import crc_mod, read
 
@@ -74,6 +75,18 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op13_sentencepiece_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    codec = piece.prepare(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    out = piece.encode(docs, codec, keep=["doc_id"], end=True, decoded=True)
+    return out.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2(F.array_join(F.col("ends").cast("array<string>"), " ").cast("binary"), 256).alias("spans_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_line_dedup": op1_line_dedup,
@@ -87,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_lm_scoring": op10_lm_scoring,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_sentencepiece_roundtrip": op13_sentencepiece_roundtrip,
 }
 
 # Where SQL cannot express a query (trained models, merges, graph refinement, parsing), tests hold it against brute force.
