@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.llm import (
-    bpe, html_extract, jaccard, license_scan, line_dedup, lm, merkle, mixing, nn_descent, piece,
+    bpe, html_extract, importance, jaccard, license_scan, line_dedup, lm, merkle, mixing, nn_descent, piece,
     quality, topk,
 )
 from kestrel.llm.common import crc_mod, read
@@ -67,6 +67,11 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    return importance.resample(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     hit = F.col("doc_id").isNotNull() & (crc_mod("doc_id", 7) == 0)
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_importance_resampling": op11_importance_resampling,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_sentencepiece_roundtrip": op13_sentencepiece_roundtrip,
 }
@@ -109,5 +115,6 @@ ORACLE: dict[str, str] = {
     "op4_license_scan": license_scan.oracle_sql(),
     "op7_exact_topk": topk.oracle_sql(),
     "op8_source_mixing": mixing.oracle_sql(),
+    "op11_importance_resampling": importance.oracle_sql(),
     "op12_merkle_manifest": merkle.oracle_sql(),
 }
