@@ -368,3 +368,7 @@ EXACT: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_importances": q_top_importances,
     "nb_score_batch": q_nb_score_batch,
 }
+
+from kestrel.plans.boost_catalog import BOOST  # noqa: E402 - it builds on the views above
+
+EXACT.update(BOOST)

@@ -294,3 +294,7 @@ SELECT trees, roc_auc FROM tops t
 WHERE next_top IS NULL OR EXISTS (SELECT 1 FROM cv WHERE cv.trees < t.next_top AND cv.trees >= t.trees + 20)
 ORDER BY trees LIMIT 1""",
 }
+
+from kestrel.plans.boost_oracle import BOOST_ORACLE  # noqa: E402 - it builds on the split above
+
+ORACLE.update(BOOST_ORACLE)
