@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
-from kestrel.session import cut_lineage
+from kestrel.session import cut_lineage, ensure_checkpoint_dir
 
 #: One word for shingles and language models: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -29,6 +30,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written as a table in the shared folder and read again. Beside the lineage this also ends the estimates of
+    size that a checkpoint hands on: a chain of joins over checkpoints multiplies them up, level after level."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/written-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def null_safe_key(col: str | Column) -> Column:
     """A string that is equal exactly when two values are equal, NULL included (NULL joins and groups with NULL)."""
     c = F.col(col) if isinstance(col, str) else col

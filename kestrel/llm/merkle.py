@@ -9,7 +9,7 @@ tree of the same kind, whose root stands for the whole table.
 Proofs come down again: a level's nodes take their parents' proofs by an equijoin on the parents' indices and put their own
 siblings in front. A proof is one binary value, 32 bytes per sibling, leaf to root, left to right; the number of siblings on
 each level follows from the leaf's index and its group's size. Levels halve, so all levels together hold twice the leaves,
-and every one is written once (``checkpoint``); no key of a join repeats, so a group that holds most rows skews nothing.
+and every one is written once, to the shared folder; no key of a join repeats, so a group that holds most rows skews nothing.
 
 Defined results: a NULL field is written ``-`` and differs from every value; NULL groups are one group, the first. Rows with
 equal ids are ordered by their leaves, equal rows have equal leaves and their own places. The empty table has no rows and no
@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import broadcast_if_small, checkpointed, crc32_sql
+from kestrel.llm.common import broadcast_if_small, crc32_sql, written
 from kestrel.llm.ranks import numbered
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -81,7 +81,7 @@ def tree(leaves: DataFrame, largest: int, arity: int) -> tuple[DataFrame, DataFr
     levels, roots, nodes = [], [], leaves
     while largest > 1:
         roots.append(nodes.where("m = 1").select("g", "hash"))
-        levels.append(checkpointed(paired(nodes.where("m > 1"), arity)))
+        levels.append(written(paired(nodes.where("m > 1"), arity)))
         nodes, largest = parents(levels[-1], arity), -(-largest // arity)
     roots.append(nodes.where("m = 1").select("g", "hash"))
     paths = None
@@ -94,7 +94,7 @@ def tree(leaves: DataFrame, largest: int, arity: int) -> tuple[DataFrame, DataFr
             paths = own.withColumn("up", F.expr(f"i div {arity}L")).join(above, ["g", "up"], "left")
             paths = paths.withColumn("path", F.concat("others", F.coalesce("above", F.lit(b"")))).drop("up", "others", "above")
         if k and k % LEVELS_A_CUT == 0:
-            paths = checkpointed(paths)
+            paths = written(paths)
     alone = leaves.where("m = 1").withColumn("path", F.lit(b""))
     return (alone if paths is None else paths.unionByName(alone)), reduce(DataFrame.unionByName, roots)
 
@@ -135,24 +135,24 @@ def manifest(
     own = leaf([F.col(f) for f in fields])
     # the changed row is only hashed where it differs
     differs = ~F.struct(*changed).eqNullSafe(F.struct(*[F.col(f) for f in fields])) if tampered else F.lit(False)
-    hashed = checkpointed(df.select(
+    hashed = written(df.select(
         F.col(id_col).alias("id"), F.col(group_col).alias("group"), own.alias("hash"),
         F.when(differs, leaf(changed)).alias("tampered_hash")))
     placed = numbered(hashed, [F.col("group").asc_nulls_first(), F.col("id").asc_nulls_first(), F.col("hash")])
-    groups = checkpointed(placed.groupBy("group").agg(F.count("*").alias("m"), F.min("place").alias("start")))
-    groups = checkpointed(numbered(groups, [F.col("start")], "g"))
+    groups = written(placed.groupBy("group").agg(F.count("*").alias("m"), F.min("place").alias("start")))
+    groups = written(numbered(groups, [F.col("start")], "g"))
     largest, n_groups = groups.agg(F.max("m"), F.count("*")).first()
     lookup = groups.select(F.col("group").alias("_group"), "g", "m", "start")
     leaves = placed.join(broadcast_if_small(lookup), F.col("group").eqNullSafe(F.col("_group")))
     leaves = leaves.select("g", (F.col("place") - F.col("start")).alias("i"), "m", "hash", "tampered_hash", "id", "group")
     lower, subroots = tree(leaves, largest or 0, arity)
 
-    top = checkpointed(subroots.select(F.lit(0).cast("bigint").alias("zero"), "g", "hash"))
+    top = written(subroots.select(F.lit(0).cast("bigint").alias("zero"), "g", "hash"))
     top = top.select(F.col("zero").alias("g"), F.col("g").alias("i"), F.lit(n_groups).cast("bigint").alias("m"), "hash")
     upper, root = tree(top, n_groups, arity)
-    root = checkpointed(root).select(F.col("g").alias("zero"), F.col("hash").alias("root"))  # one row, or none
+    root = written(root).select(F.col("g").alias("zero"), F.col("hash").alias("root"))  # one row, or none
     upper = upper.join(F.broadcast(root), upper["g"] == root["zero"])
-    upper = checkpointed(upper.select(F.col("i").alias("g"), F.col("hash").alias("subroot"), "root", F.col("path").alias("upper")))
+    upper = written(upper.select(F.col("i").alias("g"), F.col("hash").alias("subroot"), "root", F.col("path").alias("upper")))
 
     out = lower.join(broadcast_if_small(upper), "g")
     path_text, upper_text = text_of(F.col("path")), text_of(F.col("upper"))

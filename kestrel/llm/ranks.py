@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import broadcast_if_small, checkpointed
+from kestrel.llm.common import broadcast_if_small, written
 
 RANGE_ROWS = 1 << 18  # rows of a range, about
 TASK_BITS = 33  # bits that ``monotonically_increasing_id`` leaves for the place inside a task
@@ -22,7 +22,7 @@ def numbered(df: DataFrame, order: Sequence[Column], place: str = "place", range
     """
     ranges = max(1, -(-df.count() // range_rows))
     dealt = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-    dealt = checkpointed(dealt.withColumn("_at", F.monotonically_increasing_id()))
+    dealt = written(dealt.withColumn("_at", F.monotonically_increasing_id()))
     row, inside = F.shiftright("_at", TASK_BITS), F.col("_at").bitwiseAND((1 << TASK_BITS) - 1)
     sizes = {r["task"]: r["n"] for r in dealt.groupBy(row.alias("task")).agg(F.count("*").alias("n")).collect()}
     firsts, before = [], 0
