@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.functions.columns import r6
@@ -23,7 +23,10 @@ NAMES = list(ART_NUM)
 TREES = 2
 LEAF = boosting.Setting(growth="leaf", trees=TREES)
 LEVEL = boosting.Setting(growth="level", trees=TREES, rate=0.05, depth=6, l2=3.0)
-VALUES = {c: F.col(c) for c in NAMES}
+
+
+def _values() -> dict[str, Column]:
+    return {c: F.col(c) for c in NAMES}
 
 
 def _rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -40,15 +43,15 @@ def _train_rows(rows: DataFrame) -> DataFrame:
 
 
 def q_bin_borders(spark: SparkSession, sf: str) -> DataFrame:
-    sketched = binning.sketches(_train_rows(_rows(spark, sf)), VALUES)
+    sketched = binning.sketches(_train_rows(_rows(spark, sf)), _values())
     table = binning.border_table(binning.quantiles(cut_lineage(sketched), NAMES))
     return table.select("feature", "border_count", "border_no", r6(F.col("border")).alias("border"))
 
 
 def _matrix(spark: SparkSession, sf: str):
     rows = _rows(spark, sf)
-    borders = binning.learn_borders(_train_rows(rows), VALUES)
-    return binning.binned(rows, VALUES, borders, ["key", "label", "fold"]), borders
+    borders = binning.learn_borders(_train_rows(rows), _values())
+    return binning.binned(rows, _values(), borders, ["key", "label", "fold"]), borders
 
 
 def q_bin_counts(spark: SparkSession, sf: str) -> DataFrame:
