@@ -43,6 +43,7 @@ from kestrel.session import ensure_checkpoint_dir
 LEXICON_SIZE = 1 << 17
 MAX_LEXICON_WORD = 64  # bytes; longer words are merged when met
 TASK_WORDS = 1 << 18  # pieces a task counts before it hands their counts on
+SLICE_BYTES = 4 << 20  # texts that a task encodes at once
 MEMO_WORDS = 1 << 17  # encoded words, and pieces, that a task remembers
 MEMO_PIECE = 48  # characters; longer pieces are not remembered
 SHORT = 64  # bytes; longer words are merged with a heap
@@ -283,6 +284,7 @@ def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
     classes = unicode_classes()
 
     def run(batches):
+        pa.set_memory_pool(pa.system_memory_pool())  # its free memory can be given back
         split, pieces_ = splitter(classes).findall, Counter()
 
         def flush():
@@ -297,7 +299,7 @@ def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
             return out
 
         for batch in batches:
-            for part in pieces(batch, [text_col]):
+            for part in pieces(batch, [text_col], SLICE_BYTES):
                 texts = pc.fill_null(part.column(0), "")
                 plain = plain_rows(texts, ())
                 distinct, number, _ = space_pieces(texts.filter(pa.array(plain)))
@@ -447,7 +449,7 @@ def encode(df: DataFrame, codec: Codec, text_col: str = "text", keep=None, decod
 
         return call
 
-    return map_arrays(df, [text_col], keep, ddl, make)
+    return map_arrays(df, [text_col], keep, ddl, make, SLICE_BYTES)
 
 
 def decode(df: DataFrame, codec: Codec, ids_col: str = "ids", keep=None) -> DataFrame:

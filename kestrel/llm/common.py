@@ -94,8 +94,9 @@ def map_arrays(
     keep: Sequence[str],
     schema: str,
     make: Callable[[], Callable[..., Sequence[pa.Array]]],
+    piece_bytes: int | None = None,
 ) -> DataFrame:
-    """Apply a function of Arrow arrays to the ``inputs`` columns, in slices of bounded size.
+    """Apply a function of Arrow arrays to the ``inputs`` columns, in slices of about ``piece_bytes`` (``PIECE_BYTES``).
 
     ``make`` runs once per task and returns a function (input arrays...) -> one array per new column; the ``keep``
     columns pass through as Arrow. ``schema`` is the DDL of the new columns. What ``make`` built ends with the task.
@@ -106,9 +107,10 @@ def map_arrays(
     names = [*keep, *[f.name for f in StructType.fromDDL(schema).fields]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())  # its free memory can be given back
         call = make()
         for batch in batches:
-            for part in pieces(batch, inputs):
+            for part in pieces(batch, inputs, piece_bytes or PIECE_BYTES):
                 new = call(*[part.column(c) for c in inputs])
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], *new], names=names)
         del call

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import broadcast_if_small, checkpointed, pieces
+from kestrel.llm.common import broadcast_if_small, checkpointed, pieces, release_memory
 from kestrel.llm.graph import components
 
 GRAM = 5
@@ -126,6 +126,8 @@ def signatures(df: DataFrame, id_col: str, text_col: str, bands: int, n: int = G
                     [part.column("row_key"), part.column("doc_id"), pa.array(digests, pa.binary()), pa.array(hashes, pa.list_(pa.int64()))],
                     names=["row_key", "doc_id", "digest", "bands"],
                 )
+        words.clear()
+        release_memory()
 
     kind = df.schema[id_col].dataType.simpleString()
     return rows.mapInArrow(run, f"row_key bigint, doc_id {kind}, digest binary, bands array<bigint>")

@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
-from kestrel.llm.bpe import ship
+from kestrel.llm.bpe import SLICE_BYTES, ship
 from kestrel.llm.common import joined_runs, map_arrays, refuse_clash
 from kestrel.llm.merges import WIDTHS, MergeTable, by_width, in_order, merge_long, merge_rows, packed
 
@@ -387,7 +387,7 @@ def encode(df: DataFrame, codec: PieceCodec, text_col: str = "text", keep=None,
 
         return call
 
-    return map_arrays(df, [text_col], keep, ddl, make)
+    return map_arrays(df, [text_col], keep, ddl, make, SLICE_BYTES)
 
 
 def decode(df: DataFrame, codec: PieceCodec, ids_col: str = "ids", keep=None) -> DataFrame:

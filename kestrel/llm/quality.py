@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import crc_mod, map_rows, pieces, refuse_clash
+from kestrel.llm.common import crc_mod, map_rows, pieces, refuse_clash, release_memory
 
 DIM = 1 << 18
 MAX_TRAIN = 40_000
@@ -125,6 +125,8 @@ def train(
         for shard, rows in learners.items():
             w = ftrl(rows).astype("<f4").tobytes()
             yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([w], pa.binary())], names=["shard", "w"])
+        learners.clear()
+        release_memory()
 
     fitted = sorted((r.shard, bytes(r.w)) for r in dealt.mapInArrow(fit, "shard bigint, w binary").collect())
     if not fitted:
