@@ -123,8 +123,7 @@ def main(argv: list[str] | None = None) -> int:
             df, cats, NEWS_DERIVATIONS if a.derivations == "news" else (),
             "news" if a.derivations == "news" else None, label=a.label, id_col=a.id_col, drop_cols=(a.outcome,),
             n_iter=a.n_iter, k=a.folds, search_iterations=a.search_iterations, final_iterations=a.final_iterations,
-            patience=a.patience, seed=a.seed, fit_scope=a.fit_scope, eval_on=a.eval_on, parallelism=a.parallelism,
-            out_dir=a.out,
+            patience=a.patience, seed=a.seed, fit_scope=a.fit_scope, eval_on=a.eval_on, out_dir=a.out,
         )
         print(search_report(res.trials))
         print(f"early stopping kept {res.best_iteration} trees")

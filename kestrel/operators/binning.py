@@ -28,7 +28,7 @@ BORDER_COUNTS = (32, 64, 128, 254)
 
 
 def sketches(df: DataFrame, values: dict[str, Column], k: int = SKETCH_K) -> DataFrame:
-    """One row with a quantile sketch per named value, in one pass."""
+    """One row with a quantile sketch per named value, in one pass; NULL and NaN are left out."""
     return df.agg(*[F.kll_sketch_agg_double(nan_to_null(v.cast("double")), F.lit(k)).alias(n) for n, v in values.items()])
 
 

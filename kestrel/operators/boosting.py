@@ -553,6 +553,11 @@ def prepare_rows(matrix: DataFrame, n_fits: int) -> tuple[DataFrame, int]:
 
 def train(matrix: DataFrame, borders: Borders, fits: Sequence[Fit]) -> list[Boosted]:
     """Fit all ``fits`` on the rows of ``matrix`` (key bigint, label double 0/1, fold int, bins binary), in common scans."""
+    return train_rows(matrix, borders, fits)[0]
+
+
+def train_rows(matrix: DataFrame, borders: Borders, fits: Sequence[Fit], margins: bool = False) -> tuple[list[Boosted], DataFrame | None]:
+    """``train``; with ``margins`` also the rows with every fit's margin after its last tree (without ``patience``)."""
     rows, partitions = prepare_rows(matrix, len(fits))
     counts = {(r["fold"], r["label"]): r["n"] for r in rows.groupBy("fold", "label").agg(F.count("*").alias("n")).collect()}
     unknown = {label for _, label in counts} - {0.0, 1.0}
@@ -600,7 +605,7 @@ def train(matrix: DataFrame, borders: Borders, fits: Sequence[Fit]) -> list[Boos
                     done[f] = growers.pop(f).tree
             first = False
         if not live:
-            return models
+            break
         for f, tree in done.items():
             tree = _on_matrix(tree, fits[f].columns)
             models[f].trees.append(tree)
@@ -613,7 +618,25 @@ def train(matrix: DataFrame, borders: Borders, fits: Sequence[Fit]) -> list[Boos
             if number >= fits[f].setting.trees and fits[f].patience is None:
                 live.discard(f)
         if not live:
-            return models
+            break
+    if not margins:
+        return models, None
+    return models, advance(rows, width, [[*p, *_constant(b)] for p, b in zip(pending, bases)])
+
+
+def _constant(value: float) -> list[Tree]:
+    """A tree of one leaf."""
+    return [Tree(*[np.array([-1])] * 4, np.array([value]), np.array([0]), np.array([0.0]))]
+
+
+def own_columns(model: Boosted, borders: Borders, columns: Sequence[int]) -> tuple[Boosted, Borders]:
+    """The model and the borders with a fit's own column numbers in place of the matrix's."""
+    place = np.full(len(borders.names), -1, np.int64)
+    place[list(columns)] = np.arange(len(columns))
+    trees = [type(t)(**{**t.__dict__, "column": np.where(t.column >= 0, place[t.column], -1)}) for t in model.trees]
+    own = Borders([borders.names[c] for c in columns], [borders.fine[c] for c in columns],
+                  {k: [v[c] for c in columns] for k, v in borders.coarse.items()})
+    return Boosted(model.base, trees, model.auc), own
 
 
 def lots(asks: dict[int, Ask]) -> Iterator[dict[int, Ask]]:

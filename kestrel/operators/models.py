@@ -4,9 +4,8 @@ Mostly built-ins with the reference's settings translated:
   * logistic regression, L2 or L1, inverse strength C: the per-row objective is divided by C*n, so
     ``regParam = 1 / (C * n)`` with n counted at fit time (per fold), ``standardization=False``;
   * Gaussian naive Bayes: ``NaiveBayes(modelType='gaussian')`` (variance smoothing 1e-9 * max variance);
-  * leaf-wise booster defaults (100 trees, lr 0.1, 31 leaves ~ depth 5, >= 20 rows per leaf) and the fixed booster
-    (1000 x 0.05 x depth 6) as ``GBTClassifier``; iterative lineage is cut every ``checkpointInterval`` trees in the
-    cluster's checkpoint folder;
+  * the leaf-wise booster (100 trees, rate 0.1, 31 leaves, 20 rows a leaf at least) and the fixed booster of symmetric
+    trees (1000 x 0.05 x depth 6, leaf penalty 3) on binned rows: ``histogram_booster.HistogramBooster``;
   * MLP (100, 50): ``MultilayerPerceptronClassifier``; the input width is read from the vector's attributes.
     Hidden units are sigmoid and the solver is l-bfgs (Spark offers no relu/adam): a documented parity limit;
   * RBF SVM with probabilities, re-aimed: random Fourier features (Rahimi & Recht, 2007; gamma = 1 / (d * Var X))
@@ -22,7 +21,6 @@ import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
-    GBTClassifier,
     LinearSVC,
     LogisticRegression,
     MultilayerPerceptronClassifier,
@@ -35,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
+from kestrel.operators.histogram_booster import HistogramBooster
 from kestrel.operators.persistence import CompositePersistence
 
 SEED = 42
@@ -249,15 +248,13 @@ def gaussian_nb() -> NaiveBayes:
     return NaiveBayes(modelType="gaussian", featuresCol="features", labelCol="label")
 
 
-def gbt_leafwise(max_iter: int = 100, seed: int = SEED) -> GBTClassifier:
-    return GBTClassifier(featuresCol="features", labelCol="label", maxIter=max_iter, stepSize=0.1, maxDepth=5,
-                         minInstancesPerNode=20, maxBins=255, seed=seed, checkpointInterval=10)
+def gbt_leafwise(max_iter: int = 100, seed: int = SEED) -> HistogramBooster:
+    return HistogramBooster(growth="leaf", maxIter=max_iter, stepSize=0.1, numLeaves=31, minRows=20, seed=seed)
 
 
-def gbt_fixed(iterations: int = 1000, learning_rate: float = 0.05, depth: int = 6, seed: int = SEED,
-              max_bins: int = 255) -> GBTClassifier:
-    return GBTClassifier(featuresCol="features", labelCol="label", maxIter=iterations, stepSize=learning_rate,
-                         maxDepth=depth, maxBins=max_bins, seed=seed, checkpointInterval=10)
+def gbt_fixed(iterations: int = 1000, learning_rate: float = 0.05, depth: int = 6, seed: int = SEED) -> HistogramBooster:
+    return HistogramBooster(growth="level", maxIter=iterations, stepSize=learning_rate, maxDepth=depth, l2=3.0, borderCount=254,
+                            baggingTemperature=1.0, randomStrength=1.0, seed=seed)
 
 
 def mlp(hidden=(100, 50), max_iter: int = 800, seed: int = SEED) -> MLP:

@@ -51,6 +51,32 @@ def ordered_target_encode(
     return out.drop("__k", "__bk")
 
 
+def ordered_target_encode_folds(
+    df: DataFrame, cat_cols: Sequence[str], label: str, id_col: str, fold_col: str, k: int, seed: str | int = "cb",
+    rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+) -> DataFrame:
+    """Add ``<col>_te_<j>`` for every fold j, as a model without fold j sees the rows: rows of other folds by the ordered
+    statistics of these other folds, rows of fold j by their full statistics. One shuffle per column serves all folds (the
+    running sums of all folds go through the same buckets). NULL levels must be filled first."""
+    y = F.col(label).cast("double")
+    inside = [F.col(fold_col) != j for j in range(k)]
+    prior = df.agg(*[F.avg(F.when(c, y)).alias(f"p{j}") for j, c in enumerate(inside)], F.count("*").alias("n")).first()
+    digits = hex_digits_for(int(prior["n"]), rows_per_bucket)
+    out = df.withColumn("__k", md5_key(id_col, seed)).withColumn("__bk", md5_bucket("__k", digits))
+    for c in cat_cols:
+        sums = {f"__s{j}": F.when(i, y).otherwise(0.0) for j, i in enumerate(inside)}
+        sums |= {f"__n{j}": F.when(i, F.lit(1)).otherwise(0) for j, i in enumerate(inside)}
+        totals = cut_lineage(df.groupBy(F.col(c).alias("__level")).agg(*[F.sum(e).alias(n.replace("__", "__t")) for n, e in sums.items()]))
+        out = exclusive_prefix(out, [c], "__bk", ["__k", id_col], sums, offset_rows_bound=totals.count() * 16**digits)
+        out = out.join(broadcast_if_small(totals), F.col(c).eqNullSafe(F.col("__level")))
+        te = {}
+        for j, i in enumerate(inside):
+            s, n = (F.when(i, F.col(f"__{a}{j}")).otherwise(F.col(f"__t{a}{j}")) for a in ("s", "n"))
+            te[f"{c}_te_{j}"] = (s + F.lit(prior[f"p{j}"])) / (n + F.lit(1.0))
+        out = out.withColumns(te).drop("__level", *sums, *[n.replace("__", "__t") for n in sums])
+    return out.drop("__k", "__bk")
+
+
 def _level(col: str):
     return F.col(col).cast("string")
 

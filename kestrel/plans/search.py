@@ -2,17 +2,16 @@
 native-categorical boosting (F9 + C8), importances (M7, T1).
 
 ``OrderedBoostingClassifier`` = ordered target statistics for the categorical columns (training rows see only the rows
-before them; scoring uses full training statistics) + ``GBTClassifier`` over numeric + encoded columns. Its fitted
-form is a plain ``PipelineModel`` (encoder, assembler, GBT), so it persists and scores like any Spark model.
+before them; scoring uses full training statistics) + the own booster of symmetric trees over numeric + encoded columns. Its
+fitted form is a plain ``PipelineModel`` (encoder, assembler, booster), so it persists and scores like any Spark model. All
+seven settings act: rate, depth, leaf penalty, border count, row weights, noise of the scores and columns per level.
 
-Settings without a Spark counterpart (``l2_leaf_reg``, ``random_strength``) are recorded in the trials table with
-``applied = false``; they are never claimed to act. ``colsample_bylevel`` maps to per-node feature subsets and
-``bagging_temperature`` t to Bayesian-bootstrap row weights ``(-ln u)^t`` with ``u`` an md5 draw per row.
+The search grows all its models (settings x folds) in common scans: one binned matrix with the numeric columns and every
+fold's encodings, whose borders come from one sketch per column and serve all border counts. The number of scans of a round
+depends on the deepest tree, not on the number of trials, as long as the sums fit in ``boosting.SCAN_BYTES``.
 
-Early stopping: the model is fitted with the maximum number of trees, then the AUC of every tree prefix (or of every
-``eval_every``-th) is computed on the evaluation rows in one distributed job (leaf index per tree from ``leafCol``, leaf
-values from the saved model's node table, margins added up within the row, grouped exact AUC). The best prefix
-(with patience) is refitted with ``maxIter = best``: GBT seeds tree m with seed + m, so the prefix is the same trees.
+Early stopping happens while the model grows (``HistogramBooster.fit_stopped``): no tree is grown past the best number of
+trees + patience.
 """
 
 from __future__ import annotations
@@ -20,21 +19,20 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml import Estimator, PipelineModel
-from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kestrel.functions.columns import md5_uniform, positive_probability
+from kestrel.operators import boosting
+from kestrel.operators.binning import binned, learn_borders, unpacked_rows
+from kestrel.operators.histogram_booster import HistogramBooster, HistogramBoosterModel
 from kestrel.operators.metrics import roc_auc
-from kestrel.operators.target_encoding import OrderedTargetEncoder, ordered_target_encode
-from kestrel.session import cut_lineage, fit_frame, shared_dir
+from kestrel.operators.target_encoding import OrderedTargetEncoder, ordered_target_encode, ordered_target_encode_folds
+from kestrel.session import cut_lineage
 
 # The tuned booster's search space (7 lists, 5*4*6*4*5*5*5 = 60,000 settings).
 PARAM_SPACE: dict[str, list] = {
@@ -50,8 +48,7 @@ SEARCH_ITERATIONS = 1000  # trees per search fit
 FINAL_ITERATIONS = 2000  # upper bound for the early-stopped final fit
 PATIENCE = 50
 N_ITER = 30
-APPLIED = {"learning_rate": True, "depth": True, "l2_leaf_reg": False, "border_count": True,
-           "bagging_temperature": True, "random_strength": False, "colsample_bylevel": True}
+APPLIED = dict.fromkeys(PARAM_SPACE, True)
 
 
 def space_size(space: dict[str, list] = PARAM_SPACE) -> int:
@@ -72,113 +69,123 @@ def sample_settings(n_iter: int = N_ITER, seed: int = 42, space: dict[str, list]
     return out
 
 
+def tree_setting(setting: dict, trees: int, seed: int) -> boosting.Setting:
+    """A point of the search space as the booster's setting."""
+    return boosting.Setting(
+        growth="level", trees=trees, rate=float(setting["learning_rate"]), depth=int(setting["depth"]),
+        l2=float(setting["l2_leaf_reg"]), borders=int(setting["border_count"]),
+        bagging_temperature=float(setting["bagging_temperature"]), random_strength=float(setting["random_strength"]),
+        colsample=float(setting["colsample_bylevel"]), seed=seed)
+
+
+DEFAULT_SETTING = {"learning_rate": 0.03, "depth": 6, "l2_leaf_reg": 3, "border_count": 254, "bagging_temperature": 1.0,
+                   "random_strength": 1, "colsample_bylevel": 1.0}
+
+
 class OrderedBoostingClassifier(Estimator):
-    """Ordered target statistics for ``cat_cols`` + GBT over numeric and encoded columns."""
+    """Ordered target statistics for ``cat_cols`` + symmetric trees over numeric and encoded columns."""
 
     def __init__(self, num_cols: Sequence[str], cat_cols: Sequence[str], setting: dict | None = None,
                  iterations: int = SEARCH_ITERATIONS, seed: int = 42, label_col: str = "label", id_col: str = "id"):
         super().__init__()
         self.num_cols, self.cat_cols = list(num_cols), list(cat_cols)
-        self.setting = dict(setting or {"learning_rate": 0.03, "depth": 6, "border_count": 254,
-                                        "bagging_temperature": 1.0, "colsample_bylevel": 1.0})
+        self.setting = {**DEFAULT_SETTING, **(setting or {})}
         self.iterations, self.seed, self.label_col, self.id_col = iterations, seed, label_col, id_col
 
     def feature_names(self) -> list[str]:
         return self.num_cols + [f"{c}_te" for c in self.cat_cols]
 
-    def booster(self, iterations: int | None = None) -> GBTClassifier:
-        s = self.setting
-        colsample = float(s.get("colsample_bylevel", 1.0))
-        gbt = GBTClassifier(
-            featuresCol="features", labelCol=self.label_col, maxIter=iterations or self.iterations,
-            stepSize=float(s.get("learning_rate", 0.03)), maxDepth=int(s.get("depth", 6)),
-            maxBins=int(s.get("border_count", 254)) + 1,
-            featureSubsetStrategy="all" if colsample >= 1.0 else str(colsample),
-            seed=self.seed, checkpointInterval=10,
-        )
-        if float(s.get("bagging_temperature", 0)) > 0:
-            gbt.setWeightCol("__bw")
-        return gbt
+    def booster(self, iterations: int | None = None) -> HistogramBooster:
+        s = tree_setting(self.setting, iterations or self.iterations, self.seed)
+        return HistogramBooster(
+            growth="level", maxIter=s.trees, stepSize=s.rate, maxDepth=s.depth, l2=s.l2, borderCount=s.borders,
+            baggingTemperature=s.bagging_temperature, randomStrength=s.random_strength, colsampleByLevel=s.colsample,
+            seed=s.seed, labelCol=self.label_col, idCol=self.id_col)
+
+    def assembler(self) -> VectorAssembler:
+        # a median may be missing in tiny folds: NULLs are the booster's lowest bin
+        return VectorAssembler(inputCols=self.feature_names(), outputCol="features", handleInvalid="keep")
 
     def encode_training(self, dataset: DataFrame) -> DataFrame:
-        """Training-side frame without setting-dependent columns: ordered encodings + assembled features."""
+        """Training-side frame: ordered encodings + assembled features."""
         enc = ordered_target_encode(dataset, self.cat_cols, self.label_col, self.id_col, seed=f"cb{self.seed}")
-        return VectorAssembler(inputCols=self.feature_names(), outputCol="features").transform(enc)
+        return self.assembler().transform(enc)
 
-    def with_weights(self, encoded: DataFrame) -> DataFrame:
-        """Bayesian-bootstrap weights for this setting's bagging temperature (a projection)."""
-        t = float(self.setting.get("bagging_temperature", 0))
-        if t <= 0:
-            return encoded
-        u = F.greatest(md5_uniform(self.id_col, f"bw{self.seed}"), F.lit(1e-12))
-        return encoded.withColumn("__bw", F.pow(-F.log(u), F.lit(t)))
-
-    def scoring_model(self, dataset: DataFrame, gbt_model) -> PipelineModel:
-        encoder = OrderedTargetEncoder(catCols=self.cat_cols, labelCol=self.label_col).fit(dataset)
-        assembler = VectorAssembler(inputCols=self.feature_names(), outputCol="features")
-        return PipelineModel(stages=[encoder, assembler, gbt_model])
-
-    def prepare(self, dataset: DataFrame) -> DataFrame:
-        return self.with_weights(self.encode_training(dataset))
+    def scoring_model(self, encoder, booster_model: HistogramBoosterModel) -> PipelineModel:
+        return PipelineModel(stages=[encoder, self.assembler(), booster_model])
 
     def _fit(self, dataset: DataFrame, iterations: int | None = None) -> PipelineModel:
-        cached, train, _ = fit_frame(self.prepare(dataset))
-        try:
-            gbt_model = self.booster(iterations).fit(train)
-        finally:
-            cached.unpersist()
-        return self.scoring_model(dataset, gbt_model)
+        encoder = OrderedTargetEncoder(catCols=self.cat_cols, labelCol=self.label_col).fit(dataset)
+        train = cut_lineage(self.encode_training(dataset).select(self.id_col, self.label_col, "features"))
+        return self.scoring_model(encoder, self.booster(iterations).fit(train))
 
     def fit_iterations(self, dataset: DataFrame, iterations: int) -> PipelineModel:
         return self._fit(dataset, iterations)
 
+    def fit_stopped(self, dataset: DataFrame, eval_rows: DataFrame, patience: int = PATIENCE) -> tuple[PipelineModel, DataFrame]:
+        """(model, curve): V9 on ``eval_rows``, encoded as scoring would; the curve has a row (trees, roc_auc) per tree."""
+        encoder = OrderedTargetEncoder(catCols=self.cat_cols, labelCol=self.label_col).fit(dataset)
+        keep = [self.id_col, self.label_col, "features"]
+        train = self.encode_training(dataset).select(*keep, F.lit(False).alias("__valid"))
+        valid = self.assembler().transform(encoder.transform(eval_rows)).select(*keep, F.lit(True).alias("__valid"))
+        model, auc = self.booster().fit_stopped(cut_lineage(train.unionByName(valid)), "__valid", patience)
+        curve = [(m, None if math.isnan(a) else float(a)) for m, a in enumerate(auc) if m]
+        return self.scoring_model(encoder, model), dataset.sparkSession.createDataFrame(curve, "trees int, roc_auc double")
+
+
+def search_models(data: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str], settings: Sequence[dict], k: int = 5,
+                  iterations: int = SEARCH_ITERATIONS, seed: int = 42, label_col: str = "label", id_col: str = "id"):
+    """(models, rows with all margins, fits): every setting without every fold, setting by setting, in common scans."""
+    enc = ordered_target_encode_folds(data, cat_cols, label_col, id_col, "fold", k, seed=f"cb{seed}")
+    codes = [f"{c}_te_{j}" for j in range(k) for c in cat_cols]
+    enc = cut_lineage(enc.select(F.xxhash64(id_col).alias("key"), F.col(label_col).cast("double").alias("label"), "fold", *num_cols, *codes))
+    values = {c: F.col(c).cast("double") for c in [*num_cols, *codes]}
+    outside = {f"{c}_te_{j}": F.when(F.col("fold") != j, F.col(f"{c}_te_{j}")) for j in range(k) for c in cat_cols}
+    borders = learn_borders(enc, {**values, **outside})
+    matrix = binned(enc, values, borders, ["key", "label", "fold"])
+    n, d = len(num_cols), len(cat_cols)
+    fits = [boosting.Fit(tree_setting(s, iterations, seed), [*range(n), *range(n + j * d, n + (j + 1) * d)], j)
+            for s in settings for j in range(k)]
+    models, rows = boosting.train_rows(matrix, borders, fits, margins=True)
+    return models, rows, fits
+
+
+def fit_aucs(rows: DataFrame, fits: Sequence[boosting.Fit]) -> DataFrame:
+    """(fit, roc_auc): exact, over the rows of the fold that the fit leaves out."""
+    by_fold: dict[int, list[int]] = {}
+    for f, fit in enumerate(fits):
+        by_fold.setdefault(fit.left_out, []).append(f)
+    n = len(fits)
+
+    def run(batches):
+        for batch in batches:
+            margins = unpacked_rows(batch.column("margins"), np.float64, n)
+            fold, y = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("fold", "label"))
+            for j, own in by_fold.items():
+                at = np.flatnonzero(fold == j)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.tile(np.array(own, np.int32), len(at))), pa.array(np.repeat(y[at].astype(np.int32), len(own))),
+                     pa.array(margins[at][:, own].ravel())], names=["fit", "y", "margin"])
+
+    scored = cut_lineage(rows.mapInArrow(run, "fit int, y int, margin double"))  # a row per setting and row of the table
+    return roc_auc(scored, "y", "margin", ["fit"], max_groups=n)
+
 
 def randomized_search(data: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str], n_iter: int = N_ITER,
-                      k: int = 5, iterations: int = SEARCH_ITERATIONS, seed: int = 42, parallelism: int = 1,
-                      label_col: str = "label", id_col: str = "id") -> DataFrame:
+                      k: int = 5, iterations: int = SEARCH_ITERATIONS, seed: int = 42, label_col: str = "label",
+                      id_col: str = "id") -> DataFrame:
     """Trials table: one row per sampled setting with its mean k-fold ROC AUC. ``data`` carries a ``fold`` column."""
     settings = sample_settings(n_iter, seed)
+    _, rows, fits = search_models(data, num_cols, cat_cols, settings, k, iterations, seed, label_col, id_col)
+    aucs = {r["fit"]: r["roc_auc"] for r in fit_aucs(rows, fits).collect()}  # settings x folds rows
     spark = data.sparkSession
-    # The encodings of a fold do not depend on the setting: computed once per fold, shared by every trial.
-    base = OrderedBoostingClassifier(num_cols, cat_cols, None, iterations, seed, label_col, id_col)
-    folds = []
-    for j in range(k):
-        tr, va = data.where(F.col("fold") != j), data.where(F.col("fold") == j)
-        tr_cached, tr_enc, _ = fit_frame(base.encode_training(tr))
-        enc_model = OrderedTargetEncoder(catCols=list(cat_cols), labelCol=label_col).fit(tr)
-        assembler = VectorAssembler(inputCols=base.feature_names(), outputCol="features")
-        va_cached, va_enc, _ = fit_frame(assembler.transform(enc_model.transform(va)))
-        folds.append((tr_enc, va_enc, tr_cached, va_cached))
-
-    def fold_scores(setting):
-        parts = []
-        for j, (tr_enc, va_enc, _, _) in enumerate(folds):
-            est = OrderedBoostingClassifier(num_cols, cat_cols, setting, iterations, seed, label_col, id_col)
-            model = est.booster().fit(est.with_weights(tr_enc))
-            va = model.transform(va_enc)
-            parts.append(va.select(F.lit(j).alias("fold"), F.col(label_col).cast("int").alias("y"),
-                                   positive_probability().alias("p")))
-        scored = parts[0]
-        for p in parts[1:]:
-            scored = scored.unionByName(p)
-        aucs = [r.roc_auc for r in roc_auc(scored, "y", "p", ["fold"], max_groups=k).collect()]  # k rows
-        return sum(aucs) / len(aucs)
-
-    if parallelism > 1:
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            scores = list(pool.map(fold_scores, settings))
-    else:
-        scores = [fold_scores(s) for s in settings]
-    for _, _, tr_cached, va_cached in folds:
-        tr_cached.unpersist()
-        va_cached.unpersist()
-    rows = [(i, float(s["learning_rate"]), int(s["depth"]), float(s["l2_leaf_reg"]), int(s["border_count"]),
-             float(s["bagging_temperature"]), float(s["random_strength"]), float(s["colsample_bylevel"]),
-             float(sc), dict(APPLIED)) for i, (s, sc) in enumerate(zip(settings, scores))]
+    trials = [(i, float(s["learning_rate"]), int(s["depth"]), float(s["l2_leaf_reg"]), int(s["border_count"]),
+               float(s["bagging_temperature"]), float(s["random_strength"]), float(s["colsample_bylevel"]),
+               sum(aucs[i * k + j] for j in range(k)) / k, dict(APPLIED)) for i, s in enumerate(settings)]
     schema = ("trial int, learning_rate double, depth int, l2_leaf_reg double, border_count int, "
               "bagging_temperature double, random_strength double, colsample_bylevel double, mean_auc double, "
               "applied map<string,boolean>")
-    return spark.createDataFrame(rows, schema)
+    return spark.createDataFrame(trials, schema)
 
 
 def best_trial(trials: DataFrame) -> DataFrame:
@@ -191,61 +198,6 @@ def best_setting(trials: DataFrame) -> dict:
     return {k: best[k] for k in PARAM_SPACE}
 
 
-def leaf_values(model: PipelineModel) -> np.ndarray:
-    """[tree, leaf] -> weighted leaf value, leaves in the order of ``leafCol``. Its size follows from the booster's
-    parameters (trees x 2^depth doubles), not from the data."""
-    gbt = model.stages[-1]
-    spark = SparkSession.getActiveSession()
-    path = f"{shared_dir(spark).rstrip('/')}/gbt-nodes-{gbt.uid}"
-    gbt.write().overwrite().save(path)
-    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.id", "nodeData.prediction", "nodeData.leftChild")
-    leaf = F.row_number().over(Window.partitionBy("treeID").orderBy("id")) - 1
-    rows = nodes.where(F.col("leftChild") < 0).select("treeID", leaf.alias("leaf"), "prediction").toArrow()
-    tree, at, value = (rows.column(c).to_numpy() for c in ("treeID", "leaf", "prediction"))
-    weights = np.array(gbt.treeWeights)
-    out = np.zeros((len(weights), int(at.max(initial=0)) + 1))
-    out[tree, at] = value * weights[tree]
-    return out
-
-
-MARGIN_ROWS = 1024  # rows whose margins a task holds at once
-
-
-def prefix_auc_curve(model: PipelineModel, eval_df: DataFrame, label_col: str = "label", eval_every: int = 1,
-                     id_col: str = "id") -> DataFrame:
-    """AUC of the first m trees for m = eval_every, 2*eval_every, ..., n_trees (one distributed job).
-
-    Each row's leaf numbers are looked up in the broadcast leaf values and added up within the row, in Arrow batches;
-    what leaves the task is one margin per row and evaluated prefix, which the exact AUC needs. No row is joined to
-    trees or shuffled by id.
-    """
-    gbt = model.stages[-1]
-    values = eval_df.sparkSession.sparkContext.broadcast(leaf_values(model))
-    n_trees = len(gbt.treeWeights)
-    prefixes = np.unique(np.append(np.arange(eval_every, n_trees + 1, eval_every), n_trees)).astype(np.int32)
-    pre = PipelineModel(stages=model.stages[:-1]).transform(eval_df)
-    scored = gbt.copy().setLeafCol("__leaves").transform(pre).select(
-        F.col(label_col).cast("int").alias("y"), vector_to_array("__leaves").alias("lv"))
-
-    def margins_of(batches):
-        table, trees = values.value, np.arange(n_trees)
-        for whole in batches:
-            for i in range(0, whole.num_rows, MARGIN_ROWS):
-                batch = whole.slice(i, MARGIN_ROWS)
-                n = batch.num_rows
-                leaves = batch.column("lv").flatten().to_numpy(zero_copy_only=False).reshape(n, n_trees).astype(np.int64)
-                margins = np.cumsum(table[trees, leaves], axis=1)[:, prefixes - 1]
-                y = np.repeat(batch.column("y").to_numpy(zero_copy_only=False), len(prefixes)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(y), pa.array(np.tile(prefixes, n)), pa.array(margins.ravel())], names=["y", "trees", "margin"])
-
-    margins = scored.mapInArrow(margins_of, "y int, trees int, margin double")
-    cached, margins, _ = fit_frame(margins)  # read twice by the AUC (bucket count, then the sweep)
-    curve = cut_lineage(roc_auc(margins, "y", "margin", ["trees"], max_groups=len(prefixes)))  # one row per prefix
-    cached.unpersist()
-    return curve.orderBy("trees")
-
-
 def best_prefix(curve: DataFrame, patience: int = PATIENCE) -> DataFrame:
     """V9: one row (trees, roc_auc), the best prefix at the point where the AUC has not improved for ``patience`` trees,
     or at the end. The curve has one row per prefix, so its windows are small; prefixes without AUC are skipped."""
@@ -262,12 +214,14 @@ def best_iteration(curve: DataFrame, patience: int = PATIENCE) -> int:
     return int(best_prefix(curve, patience).first().trees)
 
 
-def feature_importances(model: PipelineModel, names: Sequence[str]) -> DataFrame:
-    """M7: (feature, importance) from the booster's split gains (normalised to sum 1)."""
-    gbt = model.stages[-1]
-    imp = gbt.featureImportances.toArray()
-    spark = SparkSession.getActiveSession()
-    return spark.createDataFrame([(n, float(v)) for n, v in zip(names, imp)], "feature string, importance double")
+def feature_importances(model: PipelineModel) -> DataFrame:
+    """M7: (feature, importance), the change of value that the booster's splits make, in per cent of all. Features that no
+    split uses have 0."""
+    booster = model.stages[-1]
+    names = booster.getOrDefault(booster.names)
+    every = SparkSession.getActiveSession().createDataFrame([(n,) for n in names], "feature string")
+    used = boosting.value_change(booster.nodes())
+    return every.join(used, "feature", "left").select("feature", F.coalesce("importance", F.lit(0.0)).alias("importance"))
 
 
 def top_importances(imp: DataFrame, k: int = 20) -> DataFrame:

@@ -2,7 +2,7 @@
 fit -> importances -> hold-out metrics -> save.
 
 The saved artefact is one ``PipelineModel``: [derived features, median/'missing' imputer, ordered target encoder,
-assembler, GBT]. Scoring (J3) loads it and runs one narrow projection per partition.
+assembler, booster]. Scoring (J3) loads it and runs one narrow projection per partition.
 
 Leak flags (named, off by default): ``fit_scope='all'`` fits the medians on every row before the split, and
 ``eval_on='holdout'`` early-stops on the hold-out rows that are then reported. Defaults fit on the training rows and
@@ -55,12 +55,10 @@ def train_tuned(
     search_iterations: int = S.SEARCH_ITERATIONS,
     final_iterations: int = S.FINAL_ITERATIONS,
     patience: int = S.PATIENCE,
-    eval_every: int = 1,
     seed: int = 42,
     test_size: float = 0.2,
     fit_scope: str = "train",
     eval_on: str = "validation",
-    parallelism: int = 1,
     out_dir: str | None = None,
 ) -> TrainResult:
     derived, warnings = derive(df.drop(*drop_cols), derivations)
@@ -78,8 +76,7 @@ def train_tuned(
     test = data.where(F.col("split") != TRAIN)
     warn_if_small(trainval, label, k)
 
-    trials = S.randomized_search(trainval, num_cols, cat_cols, n_iter, k, search_iterations, seed, parallelism,
-                                 "label", id_col)
+    trials = S.randomized_search(trainval, num_cols, cat_cols, n_iter, k, search_iterations, seed, "label", id_col)
     trials = cut_lineage(trials)
     best = S.best_setting(trials)
     est = S.OrderedBoostingClassifier(num_cols, cat_cols, best, final_iterations, seed, "label", id_col)
@@ -87,16 +84,15 @@ def train_tuned(
         fit_rows, eval_rows = trainval, test
     else:
         fit_rows, eval_rows = trainval.where(F.col("fold") != 0), trainval.where(F.col("fold") == 0)
-    full = est.fit_iterations(fit_rows, final_iterations)
-    curve = S.prefix_auc_curve(full, eval_rows, "label", eval_every, id_col)
-    best_m = S.best_iteration(curve, patience)
-    booster = est.fit_iterations(trainval, best_m) if (best_m != final_iterations or eval_on != "holdout") else full
+    stopped, curve = est.fit_stopped(fit_rows, eval_rows, patience)
+    best_m = len(stopped.stages[-1].trees)
+    booster = stopped if eval_on == "holdout" else est.fit_iterations(trainval, max(1, best_m))
 
     stages = []
     if derivation_set is not None:
         stages.append(FeatureDeriver(derivationSet=derivation_set))
     model = PipelineModel(stages=[*stages, imputer_model, *booster.stages])
-    importances = S.feature_importances(booster, est.feature_names())
+    importances = S.feature_importances(booster)
 
     scored = booster.transform(test).select(
         F.col("label").cast("int").alias("y"), positive_probability().alias("y_prob")

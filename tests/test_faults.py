@@ -103,7 +103,7 @@ def test_a_column_without_values_does_not_stop_training(spark):
 
     df = spark.range(240).select("id", (F.col("id") * 7 % 11).cast("double").alias("x"), F.lit(None).cast("double").alias("empty"),
                                  (F.col("id") % 4).cast("string").alias("c"), (F.col("id") * 7 % 11 > 5).cast("int").alias("y"))
-    res = train_tuned(df, ["c"], n_iter=1, k=2, search_iterations=2, final_iterations=3, patience=2, eval_every=1)
+    res = train_tuned(df, ["c"], n_iter=1, k=2, search_iterations=2, final_iterations=3, patience=2)
     assert any("empty" in w for w in res.warnings)
     assert res.metrics.first().roc_auc > 0.9
 

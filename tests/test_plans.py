@@ -42,20 +42,20 @@ def trained(spark, tmp_path_factory):
     out = str(tmp_path_factory.mktemp("train"))
     df = art(spark, SF).select("id", *NUM, *ART_CAT, "shares", "y")
     res = train_tuned(df, list(ART_CAT), ART_DERIVATIONS, "art", n_iter=2, k=2, search_iterations=5,
-                      final_iterations=20, patience=10, eval_every=5, out_dir=out)
+                      final_iterations=20, patience=10, out_dir=out)
     return res, out
 
 
 def test_train_outputs(trained):
     res, out = trained
     assert res.trials.count() == 2
-    assert 5 <= res.best_iteration <= 20
-    assert res.curve.count() == 4
+    assert 1 <= res.best_iteration <= 20
+    assert res.best_iteration <= res.curve.count() <= min(20, res.best_iteration + 10)
     m = res.metrics.first()
     assert m.roc_auc > 0.8
     assert os.path.isdir(os.path.join(out, "model")) and os.path.isdir(os.path.join(out, "feature_importances"))
     applied = res.trials.first().applied
-    assert applied["l2_leaf_reg"] is False and applied["depth"] is True
+    assert set(applied) == set(PARAM_SPACE) and all(applied.values())
 
 
 def test_save_load_score_round_trip(spark, trained, tmp_path):
