@@ -6,9 +6,13 @@
 2. The blocks outside the article form the page's token stream. Streams of a host are concatenated in shards; a suffix
    array (prefix doubling up to ``RUN`` tokens) groups equal substrings of RUN tokens, and their counts of distinct
    pages are summed over the host's shards. A longer repeated substring is a chain of overlapping ones.
-3. On pages without a marked article, tokens covered by substrings that stand on at least ``MIN_PAGES`` distinct pages of
-   the host are removed as boilerplate; the unique runs that remain are the text. An article that is marked is kept
-   whole, also where it repeats on other pages.
+3. On pages without a marked article, tokens covered by substrings that stand on at least ``MIN_PAGES`` distinct pages and
+   on ``MIN_SHARE`` of the host's pages are removed as boilerplate; the unique runs that remain are the text. Where less than
+   ``MIN_LEFT`` of a page's tokens would remain, the page itself repeats (a print version, a mirror) and is kept whole: no
+   page loses its body to its near copies. An article that is marked is kept whole, also where it repeats on other pages.
+
+Class and id names count by whole tokens. A token says "never article" if it is such a word, or a compound of such words and
+of words for places and boxes (``ad-top``, ``share-buttons``, ``site-footer``); ``entry-header`` or ``copyright-law`` say nothing.
 
 Character references are decoded, white space in a block becomes one space, blocks are trimmed, empty ones go, and the
 rest is joined in page order by one line feed.
@@ -35,10 +39,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import checkpointed, pieces, refuse_clash
+from kestrel.llm.common import broadcast_if_small, checkpointed, pieces, refuse_clash
 
 RUN = 8
-MIN_PAGES = 2
+MIN_PAGES = 3
+MIN_SHARE = 0.2
+MIN_LEFT = 0.2
 SHARD_PAGES = 2048
 
 # Element names and class words by their role.
@@ -56,6 +62,8 @@ NEVER_WORDS = frozenset("ad ads advert adverts advertisement sponsor sponsored p
                         "newsletter subscribe subscription signup login share sharing social related recommended comment comments reply "
                         "replies disqus widget toolbar pagination pager copyright legal disclaimer skip".split())
 NEVER_ARTICLE = frozenset("ad ads advert advertisement sponsored promo related recommended teaser comment comments reply replies".split())
+PLACE_WORDS = frozenset("site page global top bottom left right main inner outer box bar block list item items link links button buttons icon icons "
+                        "slot unit zone area container wrapper wrap section row column col inline post posts article articles form text".split())
 MAIN_WORDS = frozenset("article content main post entry story maincontent articlebody".split())
 NEVER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 
@@ -69,6 +77,13 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
+def _is_never(token: str, words: frozenset[str]) -> bool:
+    """Whether a class or id token is one of the words, or a compound of them with words for places and boxes."""
+    parts = [p for p in re.split(r"[-_]+|(?<=\D)(?=\d)", token) if p]
+    own = [p in words for p in parts]
+    return any(own) and all(o or p in PLACE_WORDS or p.isdigit() for o, p in zip(own, parts))
+
+
 def _role(tag: str, attributes: str, in_article: bool) -> int | None:
     """-1: never article; 1 to 3: how strongly the element claims to be the article; None: neither."""
     level = {"article": 3, "main": 2}.get(tag)
@@ -80,15 +95,16 @@ def _role(tag: str, attributes: str, in_article: bool) -> int | None:
     if "hidden" in at or at.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", at.get("style", "")):
         return -1
     role = at.get("role", "").lower()
-    words = set(re.findall(r"[a-z0-9]+", f"{at.get('class', '')} {at.get('id', '')}".lower()))
+    names = f"{at.get('class', '')} {at.get('id', '')}".lower().split()
     if level:
-        return -1 if words & NEVER_ARTICLE else level
+        return -1 if any(_is_never(n, NEVER_ARTICLE) for n in names) else level
     if tag in ("html", "body"):
         return None
-    if role in NEVER_ROLES or words & NEVER_WORDS:
+    if role in NEVER_ROLES or any(_is_never(n, NEVER_WORDS) for n in names):
         return -1
     if role == "main":
         return 2
+    words = {w for n in names for w in re.findall(r"[a-z0-9]+", n)}
     return 1 if words & MAIN_WORDS else None
 
 
@@ -237,12 +253,16 @@ def _positions(run: int):
     return make
 
 
-def clean(blocks: Sequence[str], covered_at: Sequence[int], run: int) -> list[str]:
-    """The blocks without the tokens that lie in a substring of ``run`` tokens starting at one of ``covered_at``."""
+def clean(blocks: Sequence[str], covered_at: Sequence[int], run: int, min_left: float = MIN_LEFT) -> list[str]:
+    """The blocks without the tokens that lie in a substring of ``run`` tokens starting at one of ``covered_at``; all of them
+    if less than ``min_left`` of the tokens would remain."""
     words = [b.split(" ") for b in blocks]
-    bad = np.zeros(sum(map(len, words)) + run, bool)
+    n = sum(map(len, words))
+    bad = np.zeros(n + run, bool)
     for at in covered_at:
         bad[at : at + run] = True
+    if n - bad.sum() < min_left * n:
+        return list(blocks)
     out, i = [], 0
     for ws in words:
         kept = " ".join(w for j, w in enumerate(ws) if not bad[i + j])
@@ -279,9 +299,10 @@ def _parse(df: DataFrame, url_col: str, html_col: str, keep: Sequence[str]) -> D
     return rows.mapInArrow(run, f"{kept}, {_READ}" if kept else _READ)
 
 
-def repeated_runs(streams: DataFrame, run: int = RUN, min_pages: int = MIN_PAGES, shard_pages: int = SHARD_PAGES) -> DataFrame:
-    """(host, hash) of the substrings of ``run`` tokens that stand on at least ``min_pages`` distinct streams of a host.
-    ``streams`` has host, stream_key and outside (blocks)."""
+def repeated_runs(streams: DataFrame, run: int = RUN, min_pages: int = MIN_PAGES, shard_pages: int = SHARD_PAGES,
+                  min_share: float = MIN_SHARE) -> DataFrame:
+    """(host, hash) of the substrings of ``run`` tokens that stand on at least ``min_pages`` distinct streams of a host and on
+    ``min_share`` of its streams of that length. ``streams`` has host, stream_key and outside (blocks)."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -290,11 +311,13 @@ def repeated_runs(streams: DataFrame, run: int = RUN, min_pages: int = MIN_PAGES
 
     coded = streams.select("host", "stream_key", "outside").mapInArrow(encode, "host string, stream_key bigint, stream binary")
     coded = checkpointed(coded.where(F.length("stream") >= 8 * run).dropDuplicates(["host", "stream_key"]))
-    shards = coded.groupBy("host").agg(F.ceil(F.count("*") / F.lit(shard_pages)).cast("int").alias("shards"))
+    hosts = checkpointed(coded.groupBy("host").agg(F.count("*").alias("streams")))
+    shards = hosts.select("host", F.ceil(F.col("streams") / F.lit(shard_pages)).cast("int").alias("shards"))
     dealt = coded.join(shards, "host").withColumn("shard", F.pmod(F.xxhash64("stream_key"), F.col("shards")).cast("int"))
     counts = dealt.select("host", "shard", "stream").groupBy("host", "shard").applyInPandas(
         lambda pdf: _shard_counts(pdf, run), "host string, hash bigint, pages bigint")
-    return counts.groupBy("host", "hash").agg(F.sum("pages").alias("pages")).where(F.col("pages") >= min_pages).select("host", "hash")
+    counts = counts.groupBy("host", "hash").agg(F.sum("pages").alias("pages")).where(F.col("pages") >= min_pages)
+    return counts.join(broadcast_if_small(hosts), "host").where(F.col("pages") >= F.col("streams") * min_share).select("host", "hash")
 
 
 def extract(

@@ -76,15 +76,17 @@ def test_suffix_ranks_equal_brute_force(tokens):
 def _brute(rows, run):
     """rows: (url, html) without marked articles -> texts"""
     streams = [(H.host_of(u), H.split_page(h)[1]) for u, h in rows]
-    seen = defaultdict(set)
+    seen, hosts = defaultdict(set), defaultdict(set)
     for host, blocks in streams:
         words = " ".join(blocks).split(" ") if blocks else []
+        if len(words) >= run:
+            hosts[host].add("\n".join(blocks))
         for i in range(len(words) - run + 1):
             seen[host, tuple(words[i : i + run])].add("\n".join(blocks))
     out = []
     for host, blocks in streams:
         words = " ".join(blocks).split(" ") if blocks else []
-        at = [i for i in range(len(words) - run + 1) if len(seen[host, tuple(words[i : i + run])]) > 1]
+        at = [i for i in range(len(words) - run + 1) if len(seen[host, tuple(words[i : i + run])]) >= max(3, 0.2 * len(hosts[host]))]
         out.append("\n".join(H.clean(blocks, at, run)))
     return out
 
@@ -107,6 +109,41 @@ def test_unmarked_pages_lose_what_their_host_repeats(spark):
     assert menu not in got[3].text and got[40].text == got[41].text and menu in got[40].text  # copies are no repetition
 
 
+def test_near_copies_keep_their_text(spark):
+    """Print versions and mirrors of a page are no boilerplate of each other, on small hosts and on large ones."""
+    rng = np.random.default_rng(1)
+    body = lambda n: " ".join(f"b{rng.integers(10**9)}" for _ in range(n))
+    menu = " ".join(f"m{i}" for i in range(10))
+    article = body(200)
+    rows = [("http://two.example/1", f"<p>{article}</p>"), ("http://two.example/print", f"<p>{article} printed</p>")]
+    rows += [(f"http://four.example/{i}", f"<div>{menu}</div><p>{article} version {i}</p>") for i in range(4)]
+    rows += [(f"http://big.example/{i}", f"<div>{menu}</div><p>{body(60)}</p>") for i in range(30)]
+    rows += [(f"http://big.example/copy{i}", f"<div>{menu}</div><p>{article} copy {i}</p>") for i in range(5)]
+    df = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in H.extract(df).collect()}
+    assert all(article in got[i] for i in [0, 1, 2, 3, 4, 5, *range(36, 41)])
+    assert got[1].endswith("printed") and not any(menu in got[i] for i in range(6, 41))
+    assert all(len(got[i].split()) == 60 for i in range(6, 36))
+
+
+@pytest.mark.parametrize("page,want", [
+    ('<article><div class="entry-header"><h1>Title</h1></div><p>Body</p></article>', ["Title", "Body"]),
+    ('<article><div class="notice-board-story">a</div><p class="copyright-law-section">b</p><p id="skip-lorry-hire">c</p></article>', ["a", "b", "c"]),
+    ('<article><p>x</p><div class="share-buttons big">s</div><div id="comments">c</div><div class="ad_slot_2">d</div><div class="ad3">e</div></article>', ["x"]),
+    ('<article><p class="header-photo-credit story">kept</p><div class="related-posts">r</div></article>', ["kept"]),
+    ('<article class="post related-topics-essay"><p>x</p></article>', ["x"]),
+])
+def test_class_names_count_whole(page, want):
+    assert H.split_page(page)[0] == want
+
+
+def test_very_long_pages(spark):
+    words = " ".join(f"w{i}" for i in range(200_000))
+    rows = [(0, "http://l.example/", f"<nav>{words}</nav><article><p>{words}</p></article>"), (1, "http://l.example/2", f"<p>{words}</p>"), (2, None, "<p>" * 50_000 + "x")]
+    got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {0: words, 1: words, 2: "x"}
+
+
 def test_empty_table_and_clash(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert H.extract(df).count() == 0
