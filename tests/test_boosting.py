@@ -158,11 +158,12 @@ def test_symmetric_growth_equals_plain(table, t):
         assert tree.value == pytest.approx(value, abs=1e-12) and tree.rows.sum() == len(rows)
 
 
-def test_fits_together_equal_fits_alone(table):
+def test_fits_together_equal_fits_alone(table, monkeypatch):
+    monkeypatch.setattr(B, "CUT_TREES", 2)
     df, _ = table
     matrix, borders = matrix_of(df)
-    fits = [B.Fit(B.Setting(trees=12, num_leaves=6), list(range(D)), j) for j in range(3)]
-    fits += [B.Fit(B.Setting(growth="level", trees=11, depth=2, l2=1.0, random_strength=1.0, colsample=0.5, bagging_temperature=1.0), [0, 1, 3])]
+    fits = [B.Fit(B.Setting(trees=5, num_leaves=4), list(range(D)), j) for j in range(2)]
+    fits += [B.Fit(B.Setting(growth="level", trees=4, depth=2, l2=1.0, random_strength=1.0, colsample=0.5, bagging_temperature=1.0), [0, 1, 3])]
     together = B.train(matrix, borders, fits)
     for fit, model in zip(fits, together):
         alone, = B.train(matrix.repartition(3), borders, [fit])
@@ -188,16 +189,16 @@ def test_scans_in_lots_and_merged_sums_change_nothing(table, monkeypatch):
 def test_stopping_while_growing_equals_the_full_curve(table):
     df, _ = table
     matrix, borders = matrix_of(df, "fold <> 1")
-    setting = B.Setting(trees=60, num_leaves=8, rate=0.4)
-    stopped, = B.train(matrix, borders, [B.Fit(setting, list(range(D)), 1, 7)])
+    setting = B.Setting(trees=24, num_leaves=4, rate=0.9)
+    stopped, = B.train(matrix, borders, [B.Fit(setting, list(range(D)), 1, 4)])
     full, = B.train(matrix, borders, [B.Fit(setting, list(range(D)), 1, 1000)])
-    assert len(full.auc) == 61 and stopped.auc == full.auc[: len(stopped.auc)]
+    assert len(full.auc) == 25 and stopped.auc == full.auc[: len(stopped.auc)]
     best = 0
     for m, a in enumerate(full.auc):  # patience on the full curve
         best = m if a > full.auc[best] else best
-        if m - best >= 7:
+        if m - best >= 4:
             break
-    assert len(stopped.trees) == best and len(stopped.auc) - 1 == min(60, best + 7) < 60
+    assert len(stopped.trees) == best and len(stopped.auc) - 1 == min(24, best + 4) < 24
     # the curve is the AUC of the validation rows, up to pairs in one cell
     rows = [r for r in table[1] if r[2] == 1]
     bins, _ = plain_bins(rows, borders)
@@ -213,9 +214,9 @@ def test_stopping_while_growing_equals_the_full_curve(table):
 def test_every_setting_acts(table, name, value):
     df, _ = table
     matrix, borders = matrix_of(df)
-    base = dict(growth="level", trees=3, depth=2, rate=0.1, l2=1.0, random_strength=1.0 if name == "seed" else 0.0,
+    base = dict(growth="level", trees=2, depth=2, rate=0.1, l2=1.0, random_strength=1.0 if name == "seed" else 0.0,
                 bagging_temperature=1.0 if name == "seed" else 0.0, colsample=0.75 if name == "seed" else 1.0)
-    one, other = (B.train(matrix, borders, [B.Fit(B.Setting(**s), list(range(D)))])[0] for s in (base, {**base, name: value}))
+    one, other = B.train(matrix, borders, [B.Fit(B.Setting(**s), list(range(D))) for s in (base, {**base, name: value})])
     assert [t.value.tolist() for t in one.trees] != [t.value.tolist() for t in other.trees]
     if name == "l2":
         assert max(abs(t.value).max() for t in other.trees) < max(abs(t.value).max() for t in one.trees)
@@ -230,7 +231,7 @@ def test_every_setting_acts(table, name, value):
 def test_estimator_scores_persists_and_explains(spark, table, tmp_path, growth):
     df, rows = table
     d = df.withColumn("features", array_to_vector(F.transform("x", lambda v: F.coalesce(v, F.lit(float("nan")))))).withColumnRenamed("key", "id")
-    model = HistogramBooster(growth=growth, maxIter=8, numLeaves=5, maxDepth=3, l2=1.0).fit(d)
+    model = HistogramBooster(growth=growth, maxIter=4, numLeaves=5, maxDepth=3, l2=1.0).fit(d)
     out = model.transform(d).select("id", "label", vector_to_array("probability")[1].alias("p"), "prediction").orderBy("id").collect()
     assert np.mean([(r.p > 0.5) == (r.label == 1) for r in out]) > 0.75 and all(r.prediction == float(r.p > 0.5) for r in out)
     PipelineModel(stages=[model]).write().overwrite().save(str(tmp_path / growth))
@@ -267,9 +268,8 @@ def test_degenerate_tables(spark):
     same = spark.createDataFrame([(i, float(i % 2), 0, [1.0, None, None, 2.0]) for i in range(50)], schema)
     matrix, borders = matrix_of(same)
     assert [len(b) for b in borders.fine] == [0] * D
-    for growth in ("leaf", "level"):
-        model, = B.train(matrix, borders, [B.Fit(B.Setting(growth=growth, trees=2, l2=1.0), list(range(D)))])
-        assert [len(t.value) for t in model.trees] == [1, 1] and model.base == 0.0
+    models = B.train(matrix, borders, [B.Fit(B.Setting(growth=g, trees=2, l2=1.0), list(range(D))) for g in ("leaf", "level")])
+    assert [[len(t.value) for t in m.trees] for m in models] == [[1, 1]] * 2 and models[0].base == 0.0
     one = spark.createDataFrame([(i, 1.0, 0, [float(i), 0.0, 0.0, 0.0]) for i in range(50)], schema)
     model, = B.train(*matrix_of(one), [B.Fit(B.Setting(trees=1), list(range(D)))])
     assert model.base == pytest.approx(math.log(50.5 / 0.5))
