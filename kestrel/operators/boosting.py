@@ -47,6 +47,7 @@ AUC_CELLS = 1 << 16
 MERGE = 32  # partial sums of one node that a task adds up
 CHUNK = 1 << 16  # rows that a task works on at once
 TASK_ROWS = 1 << 20  # rows of a task, about
+LEAST_ROWS = 1 << 16  # rows times fits that are worth a task of their own
 SCAN_BYTES = 256 << 20  # sums that a task holds in one scan
 NO_FOLD = -1  # the fold number of rows that no fit learns from
 
@@ -547,7 +548,8 @@ def prepare_rows(matrix: DataFrame, n_fits: int) -> tuple[DataFrame, int]:
     ddl = "key bigint, label double, fold int, bins binary, margins binary"
     rows = cut_lineage(matrix.select(*ROWS[:-1]).mapInArrow(run, ddl))
     partitions = rows.rdd.getNumPartitions()
-    few = max(default_parallelism(rows.sparkSession), -(-rows.count() // TASK_ROWS))
+    n = rows.count()
+    few = max(min(default_parallelism(rows.sparkSession), -(-n * n_fits // LEAST_ROWS)), -(-n // TASK_ROWS), 1)
     return (rows.coalesce(few), few) if partitions > few else (rows, partitions)
 
 
@@ -572,53 +574,47 @@ def train_rows(matrix: DataFrame, borders: Borders, fits: Sequence[Fit], margins
     pending: list[list] = [[] for _ in fits]
     sizes = [borders.sizes[f.columns] for f in fits]
     allowed = [allowed_borders(borders, f.columns, f.setting.borders) for f in fits]
-    number, live = 0, set(range(len(fits)))
-    while True:
-        growers: dict[int, LeafGrower | LevelGrower] = {}
-        for f in sorted(live):
-            s = fits[f].setting
-            grower = LeafGrower(s, sizes[f], allowed[f]) if s.growth == "leaf" else LevelGrower(s, sizes[f], allowed[f], number)
-            growers[f] = grower
-        first, done = True, {}
-        while growers:
-            asks = {}
-            for f, g in growers.items():
-                wants = g.wants()
-                place = np.full(g.known(), -1, np.int64)
-                place[wants] = np.arange(len(wants))
-                asks[f] = Ask(fits[f], bases[f], sizes[f], number, pending[f], _on_matrix(g.partial(), fits[f].columns), place, len(wants),
-                              first and fits[f].patience is not None)
-            totals, cells = {}, {}
-            for lot in lots(asks):
-                a, b = scan(rows, width, len(fits), partitions, lot)
-                totals.update(a)
-                cells.update(b)
-            for f, c in cells.items():
-                models[f].auc.append(auc_of(c))
-                best = int(np.nanargmax(models[f].auc)) if not np.isnan(models[f].auc).all() else 0
-                if number - best >= fits[f].patience or number >= fits[f].setting.trees:
-                    models[f].trees = models[f].trees[:best]
-                    live.discard(f)
-                    growers.pop(f)
-            for f in list(growers):
-                if growers[f].take(totals[f]):
-                    done[f] = growers.pop(f).tree
-            first = False
-        if not live:
-            break
-        for f, tree in done.items():
-            tree = _on_matrix(tree, fits[f].columns)
+    growers: dict[int, LeafGrower | LevelGrower] = {}
+
+    def begin(f: int) -> None:
+        s = fits[f].setting
+        number = len(models[f].trees)
+        growers[f] = LeafGrower(s, sizes[f], allowed[f]) if s.growth == "leaf" else LevelGrower(s, sizes[f], allowed[f], number)
+
+    for f, fit in enumerate(fits):
+        if fit.setting.trees or fit.patience is not None:
+            begin(f)
+    while growers:  # every fit goes on at its own pace: a scan serves whatever each of them needs next
+        asks = {}
+        for f, g in growers.items():
+            wants = g.wants()
+            place = np.full(g.known(), -1, np.int64)
+            place[wants] = np.arange(len(wants))
+            asks[f] = Ask(fits[f], bases[f], sizes[f], len(models[f].trees), pending[f], _on_matrix(g.partial(), fits[f].columns), place,
+                          len(wants), g.partial() is None and fits[f].patience is not None)
+        totals, cells = {}, {}
+        for lot in lots(asks):
+            a, b = scan(rows, width, len(fits), partitions, lot)
+            totals.update(a)
+            cells.update(b)
+        for f, c in cells.items():
+            models[f].auc.append(auc_of(c))
+            best = int(np.nanargmax(models[f].auc)) if not np.isnan(models[f].auc).all() else 0
+            grown = len(models[f].trees)
+            if grown - best >= fits[f].patience or grown >= fits[f].setting.trees:
+                models[f].trees = models[f].trees[:best]
+                growers.pop(f)
+        for f in list(growers):
+            if not growers[f].take(totals[f]):
+                continue
+            tree = _on_matrix(growers.pop(f).tree, fits[f].columns)
             models[f].trees.append(tree)
             pending[f].append(tree)
-        number += 1
-        if number % CUT_TREES == 0:
+            if len(models[f].trees) < fits[f].setting.trees or fits[f].patience is not None:
+                begin(f)
+        if growers and max(map(len, pending)) >= CUT_TREES:
             rows = advance(rows, width, pending)
             pending = [[] for _ in fits]
-        for f in list(live):  # nothing left to do and nothing to evaluate: no further scan
-            if number >= fits[f].setting.trees and fits[f].patience is None:
-                live.discard(f)
-        if not live:
-            break
     if not margins:
         return models, None
     return models, advance(rows, width, [[*p, *_constant(b)] for p, b in zip(pending, bases)])

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.operators.prefix import DEFAULT_ROWS_PER_BUCKET, exclusive_prefix
+from kestrel.session import cut_lineage
 
 
 def confusion(df: DataFrame, label: str, pred: str, group_cols: Sequence[str] = ()) -> DataFrame:
@@ -59,6 +60,7 @@ def roc_auc(
     agg = df.groupBy(*group_cols, score).agg(
         F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"), F.count_if(s.isNull() | F.isnan(s) | y.isNull()).alias("bad")
     )
+    agg = cut_lineage(agg)  # a row per distinct score: counted, cut into ranges and summed from this copy
     n_distinct, bad = agg.agg(F.count("*"), F.sum("bad")).first()
     if bad:
         raise ValueError(f"{bad} rows have a NULL or NaN in '{score}' or a NULL in '{label}'")

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.functions.columns import md5_bucket, md5_key
@@ -80,18 +80,34 @@ def cut_keys(keyed: DataFrame, label: str, id_col: str, digits: int, starts: lis
         label, "cut", F.col("__key").alias("key"), F.col(id_col).alias("id"))
 
 
-def _assign(df: DataFrame, label: str, id_col: str, seed, starts: list[str], rows_per_bucket: int) -> DataFrame:
-    """Add ``__range``: how many of the cuts lie at or before the row in its class's order."""
-    n_rows = sum(class_counts(df, label).values())
+def _narrow(df: DataFrame, label: str, id_col: str, seed) -> tuple[DataFrame, int]:
+    """(label, id and key of every row, written once; rows per bucket digit): what all cuts of a split are found from."""
+    keyed = cut_lineage(df.select(label, id_col).withColumn("__key", md5_key(id_col, seed)))
+    return keyed, sum(class_counts(keyed, label).values())
+
+
+def _assign(df: DataFrame, narrow: tuple[DataFrame, int], label: str, id_col: str, seed, starts: dict[str, list[str]],
+            rows_per_bucket: int) -> DataFrame:
+    """Add for every name in ``starts`` how many of its cuts lie at or before the row in its class's order. All cuts come
+    from the narrow copy in one go; ``df`` itself is only projected."""
+    keyed, n_rows = narrow
     digits = hex_digits_for(n_rows, min(rows_per_bucket, CUT_BUCKET_ROWS))
-    keyed = df.select(label, id_col).withColumn("__key", md5_key(id_col, seed))
-    cuts = cut_keys(keyed, label, id_col, digits, starts)
+    every = [e for es in starts.values() for e in es]
+    cuts = cut_keys(keyed, label, id_col, digits, every)
     one = F.struct("cut", "key", "id")
     per_class = cut_lineage(cuts.groupBy(label).agg(F.sort_array(F.collect_list(one)).alias("__cuts")))  # a row per class
     out = df.withColumn("__key", md5_key(id_col, seed)).join(broadcast_if_small(per_class), label, "left")
     here = F.struct(F.col("__key").alias("key"), F.col(id_col).alias("id"))
-    passed = F.filter("__cuts", lambda c: F.struct(c["key"].alias("key"), c["id"].alias("id")) <= here)
-    return out.withColumn("__range", F.size(passed)).drop("__key", "__cuts")
+    first, ranges = 0, {}
+    for name, own in starts.items():
+        ranges[name] = F.size(F.filter("__cuts", _passed(first, first + len(own), here)))
+        first += len(own)
+    return out.withColumns(ranges).drop("__key", "__cuts")
+
+
+def _passed(low: int, high: int, here: Column):
+    """Whether a cut has a number from ``low`` to below ``high`` and lies at or before ``here``."""
+    return lambda c: (c["cut"] >= low) & (c["cut"] < high) & (F.struct(c["key"].alias("key"), c["id"].alias("id")) <= here)
 
 
 CUT_BUCKET_ROWS = 1 << 14  # rows of a bucket that is ordered to find a cut, about
@@ -115,15 +131,17 @@ def stratified_split(
     columns = df.columns
     n_test = f"cast(ceil({float(test_size)!r}D * n) as bigint)" if test_size > 0 else "0L"
     # Fold j of m rows starts at 0-based place ceil(j m / k); the hold-out comes before fold 0.
-    fold_start = [f"({n_test}) + 1 + cast(-floor(-({j}L * (n - ({n_test}))) / {k}L) as bigint)" for j in range(k)]
-    if cv_scope != "all":
-        out = _assign(df, label, id_col, seed, fold_start, rows_per_bucket)
-        split = F.when(F.col("__range") == 0, F.lit(TEST)).otherwise(F.lit(TRAIN))
-        fold = F.when(F.col("__range") > 0, F.col("__range") - 1)
-        return out.select(*columns, split.alias("split"), fold.cast("int").alias("fold"))
-    out = _assign(df, label, id_col, seed, [f"({n_test}) + 1"], rows_per_bucket)
-    out = out.withColumn("split", F.when(F.col("__range") == 0, F.lit(TEST)).otherwise(F.lit(TRAIN))).drop("__range")
-    return kfold(out, k, label, id_col, seed, rows_per_bucket).select(*columns, "split", "fold")
+    inside = [f"({n_test}) + 1 + cast(-floor(-({j}L * (n - ({n_test}))) / {k}L) as bigint)" for j in range(k)]
+    starts = {"__range": inside} if cv_scope != "all" else {"__range": [f"({n_test}) + 1"], "__all": all_starts(k)}
+    out = _assign(df, _narrow(df, label, id_col, seed), label, id_col, seed, starts, rows_per_bucket)
+    split = F.when(F.col("__range") == 0, F.lit(TEST)).otherwise(F.lit(TRAIN))
+    fold = F.when(F.col("__range") > 0, F.col("__range") - 1) if cv_scope != "all" else F.col("__all") - 1
+    return out.select(*columns, split.alias("split"), fold.cast("int").alias("fold"))
+
+
+def all_starts(k: int) -> list[str]:
+    """First ranks of k folds over all n rows of a class."""
+    return [f"1L + cast(-floor(-({j}L * n) / {k}L) as bigint)" for j in range(k)]
 
 
 def kfold(
@@ -136,8 +154,7 @@ def kfold(
     fold_col: str = "fold",
 ) -> DataFrame:
     """Stratified k-fold over all rows of ``df`` (used inside stacking and calibration)."""
-    starts = [f"1L + cast(-floor(-({j}L * n) / {k}L) as bigint)" for j in range(k)]
-    out = _assign(df, label, id_col, seed, starts, rows_per_bucket)
+    out = _assign(df, _narrow(df, label, id_col, seed), label, id_col, seed, {"__range": all_starts(k)}, rows_per_bucket)
     return out.withColumn(fold_col, (F.col("__range") - 1).cast("int")).drop("__range")
 
 
@@ -156,7 +173,7 @@ def warn_if_small(df: DataFrame, label: str = "y", n_splits: int = 5) -> int:
     smallest = min(class_counts(df, label).values())
     if smallest < n_splits:
         log.warning(
-            "The smallest class has only %d members, which is less than n_splits=%d for stratified k-fold.",
+            "%d rows in the rarest class: fewer than the %d folds, so some fold will not see it",
             smallest,
             n_splits,
         )

@@ -44,7 +44,7 @@ def save_model(model: PipelineModel, path: str) -> str | None:
         model.write().overwrite().save(path)
         return None
     except Exception as e:  # noqa: BLE001 - reported to the caller
-        return f"Error saving model: {e}"
+        return f"the model could not be written to {path}: {e}"
 
 
 def load_model(path: str) -> PipelineModel:
@@ -52,8 +52,8 @@ def load_model(path: str) -> PipelineModel:
     spark = SparkSession.getActiveSession()
     where = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001 - the session's file system decides, not the driver's disk
     if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):  # noqa: SLF001
-        raise FileNotFoundError(f"Error: Trained model not found at '{path}'. Run the training job first.")
+        raise FileNotFoundError(f"no saved model in {path}; train and save one before scoring")
     try:
         return PipelineModel.load(path)
     except Exception as e:  # noqa: BLE001
-        raise RuntimeError(f"Error loading model: {e}") from e
+        raise RuntimeError(f"the model in {path} could not be read: {e}") from e

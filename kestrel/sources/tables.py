@@ -27,7 +27,7 @@ def _guard(read, path: str, what: str) -> DataFrame:
         return read()
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            raise FileNotFoundError(f"Error: '{path}' not found ({what}). Please ensure the file exists.") from e
+            raise FileNotFoundError(f"no {what} at {path}") from e
         raise
 
 

@@ -62,4 +62,4 @@ def test_small_class_guard(spark, caplog):
     assert min_class_size(df, "y", 5).first() == (4, 5, 1)
     with caplog.at_level(logging.WARNING):
         assert warn_if_small(df, "y", 5) == 4
-    assert "less than n_splits=5" in caplog.text
+    assert "fewer than the 5 folds" in caplog.text
