@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.llm import lexicon
-from kestrel.llm.common import checkpointed, joined_runs, map_arrays, pieces, refuse_clash, release_memory
+from kestrel.llm.common import checkpointed, joined_runs, lean_memory, map_arrays, pieces, refuse_clash, release_memory
 from kestrel.llm.merges import WIDTHS, MergeTable, binary_parts, by_width, byte_rows, in_order, merge_rows, packed
 from kestrel.session import ensure_checkpoint_dir
 
@@ -284,7 +284,7 @@ def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
     classes = unicode_classes()
 
     def run(batches):
-        pa.set_memory_pool(pa.system_memory_pool())  # its free memory can be given back
+        lean_memory()
         split, pieces_ = splitter(classes).findall, Counter()
 
         def flush():

@@ -6,6 +6,7 @@ import ctypes
 import gc
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -77,6 +78,23 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
     return F.broadcast(df) if size <= limit else df
 
 
+@lru_cache(maxsize=1)
+def lean_memory() -> None:
+    """Let a Python worker return large buffers when they are freed, not keep them for its next task: Arrow takes them from
+    the C library, which maps each of a megabyte or more on its own. Once per process."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    try:
+        libc = ctypes.CDLL(None)
+        libc.mallopt(M_MMAP_THRESHOLD, 1 << 20)
+        libc.mallopt(M_TRIM_THRESHOLD, 1 << 20)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
+# Parameters of glibc's mallopt.
+M_TRIM_THRESHOLD, M_MMAP_THRESHOLD = -1, -3
+
+
 def release_memory() -> None:
     """Give what a task's Arrow buffers and Python objects have left behind back to the operating system: a worker that
     waits for its next task otherwise keeps the largest size it ever had, beside the executor's heap."""
@@ -107,7 +125,7 @@ def map_arrays(
     names = [*keep, *[f.name for f in StructType.fromDDL(schema).fields]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pa.set_memory_pool(pa.system_memory_pool())  # its free memory can be given back
+        lean_memory()
         call = make()
         for batch in batches:
             for part in pieces(batch, inputs, piece_bytes or PIECE_BYTES):

@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import checkpointed, crc32_sql, map_arrays, pieces, refuse_clash, release_memory
+from kestrel.llm.common import checkpointed, crc32_sql, lean_memory, map_arrays, pieces, refuse_clash, release_memory
 from kestrel.llm.ranks import numbered
 
 BUCKETS = 10_000
@@ -105,6 +105,7 @@ def bucket_counts(df: DataFrame, text_col: str = "text", max_n: int = 1, buckets
     """(bucket, n): features of all texts per bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_memory()
         features, total = Features(max_n, buckets), np.zeros(buckets, np.int64)
         lines, size, edges = Counter(), 0, {}
 

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import broadcast_if_small, checkpointed, pieces, release_memory
+from kestrel.llm.common import broadcast_if_small, checkpointed, lean_memory, pieces, release_memory
 from kestrel.llm.graph import components
 
 GRAM = 5
@@ -110,6 +110,7 @@ def signatures(df: DataFrame, id_col: str, text_col: str, bands: int, n: int = G
     rows = df.select(row_key(id_col, text_col).alias("row_key"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_memory()
         words = _Words()
         for batch in batches:
             for part in pieces(batch, ["text"]):
@@ -161,6 +162,7 @@ def _intersections(left: list[np.ndarray], right: list[np.ndarray], least: int)
 def _verify(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
     """Links within one meeting of two blocks (or of one block with itself): per class the number of linked documents,
     and the class's group here."""
+    lean_memory()
     pdf = pdf.sort_values(["block", "rep"]).reset_index(drop=True)
     sets = [np.frombuffer(g, "<u8") for g in pdf["grams"]]
     block, weight, rep = pdf["block"].to_numpy(), pdf["members"].to_numpy(), pdf["rep"].to_numpy()
@@ -218,6 +220,7 @@ def join(
     found = texts.join(broadcast_if_small(checkpointed(placed)), "rep").dropDuplicates(["rep"])
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_memory()
         words = _Words()
         for batch in batches:
             for part in pieces(batch, ["text"]):

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import crc_mod, map_rows, pieces, refuse_clash, release_memory
+from kestrel.llm.common import crc_mod, lean_memory, map_rows, pieces, refuse_clash, release_memory
 
 DIM = 1 << 18
 MAX_TRAIN = 40_000
@@ -115,6 +115,7 @@ def train(
     dealt = sample.repartition(shards, "shard").sortWithinPartitions("shard", "spot", "id", F.xxhash64("text"))
 
     def fit(batches):
+        lean_memory()
         make, learners = Featurizer(), {}
         for batch in batches:
             for part in pieces(batch, ["text"]):
