@@ -369,6 +369,8 @@ EXACT: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nb_score_batch": q_nb_score_batch,
 }
 
-from kestrel.plans.boost_catalog import BOOST  # noqa: E402 - it builds on the views above
+from kestrel.plans.boost_catalog import BOOST  # noqa: E402 - they build on the views above
+from kestrel.plans.round_trips import ROUND_TRIPS  # noqa: E402
 
 EXACT.update(BOOST)
+EXACT.update(ROUND_TRIPS)

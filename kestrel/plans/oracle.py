@@ -298,3 +298,5 @@ ORDER BY trees LIMIT 1""",
 from kestrel.plans.boost_oracle import BOOST_ORACLE  # noqa: E402 - it builds on the split above
 
 ORACLE.update(BOOST_ORACLE)
+# the same rows through files
+ORACLE.update({"csv_scan": ORACLE["feature_projection"], "score_files": ORACLE["nb_score_batch"]})
