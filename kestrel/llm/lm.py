@@ -16,7 +16,9 @@ block and no task grows hot. A second reading of the texts builds the same block
 documents. Nothing but N, V and a bounded table of held-out events (``cells``) reaches the driver.
 
 Blocks must be the same in every reading. They follow the order of rows in the input's partitions, which files repeat
-exactly; each block carries a digest of its keys, and a reading that differs raises an error rather than score wrongly.
+exactly; an input that is not read straight from files (shuffled, cached, sorted) is written to the shared folder first.
+Each block carries a digest of its keys, and a reading that differs all the same (files that change meanwhile) raises an
+error rather than score wrongly.
 
 Defined results: as above for NULL and empty texts. Without training documents every probability is uniform, 1/(V+1) with
 V = 0. A NULL id hashes as the empty text. Repeated rows repeat their result (and count as often in training); an empty
@@ -25,6 +27,7 @@ table gives an empty result; extra columns pass through, and one named like a re
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -36,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import checkpointed, crc_mod, pieces, refuse_clash
+from kestrel.llm.common import checkpointed, crc_mod, pieces, refuse_clash, written
 
 BLOCK_TOKENS = 1 << 21
 RANGE_BYTES = 8 << 20  # bytes of text per key range of bigrams
@@ -318,6 +321,17 @@ def _scores(pdf: pd.DataFrame, weights: np.ndarray, total: int, types: int) -> p
 
 
 RESULT = "n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+# Plan nodes that give the same rows in the same partitions whenever files are read.
+STEADY = {"FileScan", "Scan", "BatchScan", "Project", "Filter", "ColumnarToRow", "WholeStageCodegen", "InputAdapter", "Union", "Coalesce"}
+
+
+def steady(df: DataFrame) -> DataFrame:
+    """``df`` if it only reads files row by row; anything else (a shuffle, a cache, a sort) is written to files first, so that
+    every reading meets the same rows in the same partitions."""
+    plan = df._jdf.queryExecution().sparkPlan().toString()  # noqa: SLF001 - no public view of the plan's nodes
+    nodes = re.findall(r"^[\s:+|-]*(?:\*\(\d+\)\s*)?(\w+)(.*)$", plan, re.M)
+    from_files = all(n in STEADY and not (n == "Scan" and "ExistingRDD" in rest) for n, rest in nodes)
+    return df if from_files else written(df)
 
 
 def score(
@@ -328,6 +342,8 @@ def score(
     ``deleted`` those whose counts are held out for the mixture weights (both boolean columns of ``df``)."""
     keep = df.columns if keep is None else list(keep)
     refuse_clash(keep, RESULT)
+    df = steady(df.select(*dict.fromkeys([*keep, text_col]), train.alias("_train"), deleted.alias("_deleted")))
+    train, deleted = F.col("_train"), F.col("_deleted")
     kind = F.when(train & deleted, F.lit(2)).when(train, F.lit(1)).otherwise(F.lit(0))
     own = [F.col(c).alias(f"k{i}") for i, c in enumerate(keep)]
     names = [f"k{i}" for i in range(len(keep))]

@@ -117,3 +117,17 @@ def test_weights_follow_the_held_out_events():
     w = lm.fit([(5, at, at - 8, 10_000), (2, 0, at, 10_000)])
     assert w[5, 2] > 0.8 and w[2, 1] > 0.9 and np.allclose(w.sum(axis=1), 1)
     assert (w[9] == w[5]).all() and (w[3] == w[2]).all() and (w[0] == w[2]).all()
+
+
+def test_any_input_gives_the_scores_of_files(spark, tmp_path):
+    """Shuffled, cached, sorted and joined inputs are fixed before they are read again."""
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    assert lm.steady(docs) is docs
+    want = {r.doc_id: r for r in lm.score_documents(docs).collect()}
+    for other in (docs.repartition(7), docs.orderBy(F.desc("text")).cache(), docs.join(docs.select("doc_id").distinct(), "doc_id")):
+        got = {r.doc_id: r for r in lm.score_documents(other).collect()}
+        assert got.keys() == want.keys()
+        for k, r in got.items():
+            assert r[:4] == want[k][:4] and r.base_score == pytest.approx(want[k].base_score) and r.score == pytest.approx(want[k].score)
