@@ -10,6 +10,7 @@ apart from any string, and values are compared as Spark casts them to strings.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark import keyword_only
@@ -17,7 +18,7 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter,
                              MLReadable, MLWritable)
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.functions.columns import md5_bucket, md5_key
@@ -77,6 +78,54 @@ def ordered_target_encode_folds(
     return out.drop("__k", "__bk")
 
 
+def combined(cols: Sequence[str]) -> Column:
+    """One level for the values of several columns; NULL is a value of its own."""
+    return F.to_json(F.array(*[_level(c) for c in cols]))
+
+
+def _stacked(df: DataFrame, features: Sequence[Sequence[str]], *keep: Column) -> DataFrame:
+    """A row per row and feature (one column or several): ``keep``, ``feature`` (names joined by +) and ``level``."""
+    one = F.array(*[F.struct(F.lit("+".join(f)).alias("feature"), combined(f).alias("level")) for f in features])
+    return df.select(*keep, F.explode(one).alias("s")).select("*", "s.feature", "s.level").drop("s")
+
+
+def combination_gains(df: DataFrame, cat_cols: Sequence[str], label: str = "y", size: int = 2) -> DataFrame:
+    """(feature, n_levels, gain) of every column and of every combination of up to ``size`` columns: what their smoothed level
+    means explain of the label, sum of n_l (m_l - p)^2 with m_l = (s_l + p) / (n_l + 1). Sums per level come from one grouped
+    pass over all features."""
+    features = [c for n in range(1, size + 1) for c in itertools.combinations(cat_cols, n)]
+    y = F.col(label).cast("double")
+    p = df.agg(F.avg(y)).first()[0]
+    levels = _stacked(df, features, y.alias("y")).groupBy("feature", "level").agg(F.sum("y").alias("s"), F.count("*").alias("n"))
+    d = (F.col("s") + F.lit(p)) / (F.col("n") + F.lit(1.0)) - F.lit(p)
+    return levels.groupBy("feature").agg(F.count("*").alias("n_levels"), F.sum(F.col("n") * d * d).alias("gain"))
+
+
+def chosen_combinations(gains: DataFrame, least: float = 1.1) -> list[list[str]]:
+    """The combinations that explain at least ``least`` times what the best of their single columns explains."""
+    by = {r["feature"]: r["gain"] for r in gains.collect()}  # a row per feature
+    names = [f.split("+") for f in sorted(by)]
+    return [f for f in names if len(f) > 1 and by["+".join(f)] >= least * max(by.get(c, 0.0) for c in f)]
+
+
+def ordered_target_permutations(
+    df: DataFrame, features: Sequence[Sequence[str]], label: str = "y", id_col: str = "id", seeds: Sequence[str] = ("cb0", "cb1", "cb2"),
+    rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+) -> DataFrame:
+    """(id, permutation, feature, te): ordered target statistics in several seeded orders, of single columns and of
+    combinations. All orders and features go through the same bucketed prefix sums: one shuffle in all, on (permutation,
+    feature, level, bucket), so that a level that holds a third of the rows is spread over many tasks."""
+    y = F.col(label).cast("double")
+    stats = df.agg(F.count("*").alias("n"), F.avg(y).alias("p")).first()
+    digits = hex_digits_for(int(stats["n"] or 0), rows_per_bucket)
+    orders = F.explode(F.array(*[F.struct(F.lit(i).alias("permutation"), md5_key(id_col, s).alias("k")) for i, s in enumerate(seeds)]))
+    rows = _stacked(df, features, F.col(id_col).alias("id"), y.alias("y")).select("*", orders.alias("o"))
+    rows = rows.select("id", "y", "feature", "level", "o.permutation", F.col("o.k").alias("__k")).withColumn("__bk", md5_bucket("__k", digits))
+    sums = exclusive_prefix(rows, ["permutation", "feature", "level"], "__bk", ["__k", "id"], {"__s": F.col("y"), "__n": F.lit(1)})
+    te = (F.col("__s") + F.lit(stats["p"])) / (F.col("__n") + F.lit(1.0))
+    return sums.select("id", "permutation", "feature", te.alias("te"))
+
+
 def _level(col: str):
     return F.col(col).cast("string")
 

@@ -2,7 +2,7 @@
 
 ``bin_borders`` and ``bin_counts`` (F10), ``leafwise_trees`` (C6: the first trees of the leaf-wise booster, node by node),
 ``symmetric_trees`` (C7, C8: the first symmetric trees, with leaf penalty), ``importance_value_change`` (M7, T1 over those
-leaf-wise trees). Rows are the training rows of the fixture view with its numeric columns, NULLs included.
+leaf-wise trees), ``category_combinations`` and ``ordered_target_permutations`` (F9). Rows are the training rows of the fixture view with its numeric columns, NULLs included.
 """
 
 from __future__ import annotations
@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from kestrel.functions.columns import r6
 from kestrel.operators import binning, boosting
 from kestrel.operators.splits import TRAIN, stratified_split
+from kestrel.operators.target_encoding import combination_gains, ordered_target_permutations
 from kestrel.plans.search import top_importances
 from kestrel.session import cut_lineage
-from kestrel.sources.fixtures import ART_NUM, art
+from kestrel.sources.fixtures import ART_CAT, ART_NUM, art
 
 NAMES = list(ART_NUM)
 TREES = 2
@@ -100,10 +101,32 @@ def q_importance_value_change(spark: SparkSession, sf: str) -> DataFrame:
     return top_importances(shares.select("feature", r6(F.col("importance")).alias("importance")), 20)
 
 
+def _category_rows(spark: SparkSession, sf: str) -> DataFrame:
+    a = cut_lineage(art(spark, sf).select("id", "y", *ART_CAT))
+    return cut_lineage(stratified_split(a, "y", "id", 0.2, 5, 42).where(F.col("split") == TRAIN))
+
+
+def q_category_combinations(spark: SparkSession, sf: str) -> DataFrame:
+    """what single categories and their combination explain of the label."""
+    gains = combination_gains(_category_rows(spark, sf), list(ART_CAT))
+    return gains.select("feature", "n_levels", r6(F.col("gain")).alias("gain"))
+
+
+def q_ordered_target_permutations(spark: SparkSession, sf: str) -> DataFrame:
+    """ordered statistics of both categories and their combination in three orders."""
+    features = [[c] for c in ART_CAT] + [list(ART_CAT)]
+    out = ordered_target_permutations(_category_rows(spark, sf), features, seeds=SEEDS)
+    return out.select("id", "permutation", "feature", r6(F.col("te")).alias("te"))
+
+
+SEEDS = ("cb0", "cb1", "cb2")
+
 BOOST: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bin_borders": q_bin_borders,
     "bin_counts": q_bin_counts,
     "leafwise_trees": q_leafwise_trees,
     "symmetric_trees": q_symmetric_trees,
     "importance_value_change": q_importance_value_change,
+    "category_combinations": q_category_combinations,
+    "ordered_target_permutations": q_ordered_target_permutations,
 }

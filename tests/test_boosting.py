@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from kestrel.operators import binning as N
 from kestrel.operators import boosting as B
 from kestrel.operators.histogram_booster import HistogramBooster
-from kestrel.operators.target_encoding import ordered_target_encode, ordered_target_encode_folds
+from kestrel.operators.target_encoding import (
+    chosen_combinations, combination_gains, ordered_target_encode, ordered_target_encode_folds, ordered_target_permutations,
+)
 
 D = 4
 
@@ -300,3 +302,18 @@ def test_fold_encodings_equal_one_fold_at_a_time(spark):
             if fold == j:
                 own = [r[2] for r in t if r[1] == c]
                 assert out[i][f"c_te_{j}"] == pytest.approx((sum(own) + p) / (len(own) + 1))
+
+
+def test_combinations_and_permutations(spark):
+    """A label that only the combination explains; every order equals that order on its own."""
+    rows = [(i, f"a{i % 2}", None if i // 2 % 3 == 0 else f"b{i // 2 % 3}", float((i % 2) ^ (i // 2 % 3 == 1))) for i in range(240)]
+    df = spark.createDataFrame(rows, "id long, a string, b string, y double")
+    gains = combination_gains(df, ["a", "b"])
+    assert {r.feature: r.n_levels for r in gains.collect()} == {"a": 2, "b": 3, "a+b": 6}
+    assert chosen_combinations(gains) == [["a", "b"]] and chosen_combinations(gains, 1e9) == []
+    both = df.withColumn("ab", F.concat_ws("|", F.coalesce("a", F.lit("?")), F.coalesce("b", F.lit("?")))).fillna("?", ["b"])
+    got = {(r.id, r.permutation, r.feature): r.te for r in ordered_target_permutations(df, [["a"], ["b"], ["a", "b"]], seeds=["s", "t"], rows_per_bucket=32).collect()}
+    assert len(got) == 240 * 2 * 3
+    for k, seed in enumerate(["s", "t"]):
+        for r in ordered_target_encode(both, ["a", "b", "ab"], "y", "id", seed=seed).collect():
+            assert [got[r.id, k, f] for f in ("a", "b", "a+b")] == pytest.approx([r.a_te, r.b_te, r.ab_te])
