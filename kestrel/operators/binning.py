@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from kestrel.functions.columns import nan_to_null
 
 SKETCH_K = 65535  # the largest size; about a megabyte a column
+SKETCH_BYTES = 256 << 20  # of all sketches that a task holds
 MAX_BORDERS = 254
 BORDER_COUNTS = (32, 64, 128, 254)
 
@@ -74,8 +75,14 @@ class Borders:
         return np.array([len(b) + 1 for b in self.fine], np.int64)
 
 
-def learn_borders(df: DataFrame, values: dict[str, Column], k: int = SKETCH_K) -> Borders:
+def sketch_size(columns: int) -> int:
+    """The largest sketch of which a task can hold one per column within ``SKETCH_BYTES``, about 16 bytes an item."""
+    return max(2048, min(SKETCH_K, SKETCH_BYTES // (16 * max(1, columns))))
+
+
+def learn_borders(df: DataFrame, values: dict[str, Column], k: int | None = None) -> Borders:
     names = list(values)
+    k = k or sketch_size(len(names))
     rows = border_table(quantiles(sketches(df, values, k), names)).collect()  # columns x 478 borders at most
     by: dict[tuple[str, int], list[tuple[int, float]]] = {}
     for r in rows:
