@@ -44,6 +44,7 @@ from kestrel.session import cut_lineage, default_parallelism
 UNIT = float(1 << 24)  # gradients and hessians are rounded to this fraction
 CUT_TREES = 10  # trees between two written tables of margins
 AUC_CELLS = 1 << 16
+LEAST_GAIN = 1e-9  # of a level of a symmetric tree
 MERGE = 32  # partial sums of one node that a task adds up
 CHUNK = 1 << 16  # rows that a task works on at once
 TASK_ROWS = 1 << 20  # rows of a task, about
@@ -498,7 +499,7 @@ class LevelGrower:
         ok = self.allowed & self._columns() & (self.hist[2].sum(0) > 0) & (right[2].sum(0) > 0)
         noise = self._noise(sums, len(total))
         rank = np.where(ok, total if noise is None else np.sqrt(total) + noise, -math.inf)
-        if not ok.any() or (self.s.random_strength == 0 and total[ok].max() <= whole):
+        if not ok.any() or (self.s.random_strength == 0 and total[ok].max() <= whole + LEAST_GAIN):
             return False
         at = int(rank.argmax())
         c = int(np.searchsorted(self.ends, at, side="right"))
