@@ -11,8 +11,10 @@ without words has no grams and is linked to nothing.
    aggregate and a join), not to each other; connected ties give clusters. A candidate pair is always in one cluster.
 4. Clusters are verified on full gram sets, read again from the texts. A cluster is dealt into blocks of about
    ``BLOCK`` classes and every two blocks meet in one task, which intersects all its pairs by matrix products over the
-   shared grams and hands on a count of links per class and one edge per class to the class's linked group: rows grow with
-   the cluster, not with its pairs, and no link inside a cluster is lost.
+   shared grams and hands on a count of links per class and one edge per class to the class's linked group. No row is made
+   per pair and no link inside a cluster is lost, but a cluster of m classes copies each gram set to m / ``BLOCK`` meetings, and
+   pairs of a cluster that share no band are intersected too: on text with many chance collisions clusters, and this
+   work, grow faster than the links.
 5. Connected links give the groups; a group's id is its smallest doc_id.
 
 Defined results: a NULL text has no words. A NULL doc_id sorts after every other id; if all of a group's are NULL its

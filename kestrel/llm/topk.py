@@ -11,7 +11,9 @@ The bar is the k-th best score so far, carried from shard to shard within a task
 Candidates lie in shards of at most ``SHARD`` vectors inside the partitions; each task searches its shards for every
 query of a block of queries (broadcast; a block holds about ``QUERY_BYTES`` of vectors, so its size is bounded) and hands
 on each query's best k. Best lists are merged by a window that keeps k rows a query, before and after the shuffle.
-Query blocks run one after the other over all candidates, so neither driver nor tasks hold more than one block.
+A task holds one block of queries at a time; the driver holds the vectors of all queries and the plan a step per block, so
+queries are meant to be a stated, small part of the table (the registered query's are one in a hundred). Dense vectors whose
+components differ little leave no term non-essential: there the saving comes from the bounds still to come, not from postings.
 
 Ties go to the smaller id. Vectors that are NULL or empty or hold NULL or non-finite components take no part, nor do
 those with a scaled component beyond 2**53; a score beyond 64 bits counts as the nearest 64-bit value. Only vectors of equal length are compared. Rows repeated in id and vector
