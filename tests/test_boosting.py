@@ -212,7 +212,7 @@ def test_stopping_while_growing_equals_the_full_curve(table):
 
 
 @pytest.mark.parametrize("name,value", [("rate", 0.5), ("depth", 3), ("l2", 30.0), ("borders", 32), ("bagging_temperature", 2.0), ("random_strength", 50.0),
-                                        ("colsample", 0.5), ("seed", 7)])
+                                        ("colsample", 0.25), ("seed", 7)])
 def test_every_setting_acts(table, name, value):
     df, _ = table
     matrix, borders = matrix_of(df)
