@@ -4,6 +4,7 @@ import math
 import os
 
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from kestrel.functions.columns import positive_probability
@@ -99,6 +100,24 @@ def test_dictionary_drives_schema(spark, tmp_path):
     assert sch["data_channel"].dataType.typeName() == "string"
 
 
+def test_gam_keeps_one_vector_a_row_and_large_fits_take_turns(spark, monkeypatch):
+    from kestrel.operators import gam
+    from kestrel.plans import experiment
+
+    kept, old = [], gam.fit_frame
+
+    def fit_frame(df):
+        kept.append(set(df.columns))
+        return old(df)
+
+    monkeypatch.setattr(gam, "fit_frame", fit_frame)
+    df = spark.range(200).select("id", (F.col("id") % 2).cast("double").alias("label"), F.lit("raw").alias("raw"), array_to_vector(
+        F.array((F.col("id") % 10).cast("double"), (F.col("id") % 7).cast("double"), (F.col("id") % 3).cast("double"))).alias("features"))
+    model = BinnedAdditiveClassifier(n_bins=4, interactions=2, max_iter=5).fit(df)
+    assert kept == [{"label", "__bins", "__main"}, {"label", "__gam"}] and model.transform(df).count() == 200
+    assert [experiment.fits_at_once(6, n) for n in (0, 1000, 9_000_000, 54_000_000)] == [6, 6, 1, 1] and experiment.fits_at_once(6, 1 << 22) == 4
+
+
 def test_gam_learns_signal_and_persists(spark, tmp_path):
     df = art(spark, SF)
     pre = TabularPreprocessor(numCols=NUM, catCols=list(ART_CAT)).fit(df)
