@@ -1,7 +1,8 @@
 """Gradient boosting on binned rows: leaf-wise trees (C6), symmetric trees (C7, C8), round-wise early stopping (V9).
 
 Rows are one byte per feature (``binning``), a label, a fold number, and one margin per fit; several fits (folds, refits,
-trials) share the rows and every scan. A scan is one ``mapInArrow`` over the written rows: it applies the trees grown since
+trials) share the rows and every scan. They are kept in blocks of ``BLOCK`` rows, column by column, each one row of a cached
+table, so a scan hands whole columns to Python. A scan is one ``mapInArrow`` over the blocks: it applies the trees grown since
 the margins were written, routes rows through the tree in progress and adds up, per fit, node and bin, the gradients,
 hessians and rows of the nodes asked for. Gradients and hessians are whole numbers (units of 2^-24), so sums are exact, do not
 depend on the order of tasks, and a repeated task gives the same tree. Per scan the driver holds fits x nodes x bins
@@ -22,7 +23,8 @@ Early stopping: with validation rows (their fold left out of the fit), the scan
 validation rows' scores, counted in 2^16 cells of probability, so the AUC after every tree costs no extra pass; pairs inside
 one cell count half. Growth ends when the AUC has not risen for ``patience`` trees and keeps the best number of trees.
 
-Margins are written again (``checkpoint``) every ``CUT_TREES`` trees; a lost executor repeats one scan.
+Margins are kept anew every ``CUT_TREES`` trees (leaf-wise ``CUT_LEAFWISE``) in a cached table, and lineage is cut every
+``CUT_MOVES`` of them; a lost executor repeats the steps since.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,12 +45,15 @@ from kestrel.operators.binning import Borders, packed_rows, unpacked_rows
 from kestrel.session import cut_lineage, default_parallelism
 
 UNIT = float(1 << 24)  # gradients and hessians are rounded to this fraction
-CUT_TREES = 10  # trees between two written tables of margins
+CUT_TREES = 10  # trees of a fit between two tables of margins
+CUT_LEAFWISE = 2  # the same for leaf-wise trees, on average over the fits
+CUT_MOVES = 8  # tables of margins between two checkpoints
 AUC_CELLS = 1 << 16
 LEAST_GAIN = 1e-9  # of a level of a symmetric tree
 MERGE = 32  # partial sums of one node that a task adds up
-CHUNK = 1 << 16  # rows that a task works on at once
+BLOCK = 1 << 15  # rows that are kept together, column by column
 TASK_ROWS = 1 << 20  # rows of a task, about
+TASK_BYTES = 64 << 20  # of its blocks
 LEAST_ROWS = 1 << 16  # rows times fits that are worth a task of their own
 SCAN_BYTES = 256 << 20  # sums that a task holds in one scan
 NO_FOLD = -1  # the fold number of rows that no fit learns from
@@ -94,21 +100,37 @@ class Tree:
     rows: np.ndarray
     gain: np.ndarray
 
-    def nodes(self, bins: np.ndarray) -> np.ndarray:
-        """The leaf of every row."""
-        node = np.zeros(len(bins), np.int64)
-        each = np.arange(len(bins))
-        while True:
-            inner = each[self.left[node[each]] >= 0]
-            if not len(inner):
-                return node
-            at = node[inner]
-            right = bins[inner, self.column[at]] > self.bin[at]
-            node[inner] = np.where(right, self.right[at], self.left[at])
-            each = inner
+    def parts(self, columns, n: int, asked: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+        """(node, its rows) of the leaves, or of the nodes that ``asked`` marks; branches without any are not entered."""
+        todo, whole = [(0, np.arange(n))], asked is None
+        if not whole:
+            enter = asked.copy()
+            for i in range(len(enter) - 1, -1, -1):  # children come after their parents
+                if self.left[i] >= 0:
+                    enter[i] |= enter[self.left[i]] | enter[self.right[i]]
+        while todo:
+            node, at = todo.pop()
+            left = int(self.left[node])
+            if (left < 0 and whole) or (not whole and asked[node]):
+                yield node, at
+            if left < 0:
+                continue
+            right = int(self.right[node])
+            goes = columns[int(self.column[node])][at] > self.bin[node]
+            if whole or enter[right]:
+                todo.append((right, at[goes]))
+            if whole or enter[left]:
+                todo.append((left, at[~goes]))
+
+    def values(self, columns, n: int) -> np.ndarray:
+        """The value of every row, from its columns."""
+        out = np.empty(n)
+        for node, at in self.parts(columns, n):
+            out[at] = self.value[node]
+        return out
 
     def margins(self, bins: np.ndarray) -> np.ndarray:
-        return self.value[self.nodes(bins)]
+        return self.values(bins.T, len(bins))
 
 
 @dataclass
@@ -121,14 +143,18 @@ class SymmetricTree:
     rows: np.ndarray
     gain: np.ndarray
 
-    def nodes(self, bins: np.ndarray) -> np.ndarray:
-        place = np.zeros(len(bins), np.int64)
+    def nodes(self, columns, n: int) -> np.ndarray:
+        place = np.zeros(n, np.uint8 if len(self.column) <= 8 else np.int64)
         for c, b in zip(self.column, self.bin):
-            place = place << 1 | (bins[:, c] > b)
+            place <<= 1
+            place |= columns[int(c)] > b
         return place
 
+    def values(self, columns, n: int) -> np.ndarray:
+        return self.value[self.nodes(columns, n)]
+
     def margins(self, bins: np.ndarray) -> np.ndarray:
-        return self.value[self.nodes(bins)]
+        return self.values(bins.T, len(bins))
 
 
 @dataclass
@@ -157,7 +183,7 @@ def bootstrap_weights(key: np.ndarray, setting: Setting, tree: int) -> np.ndarra
     """Bayesian-bootstrap weights of one tree, from the rows' keys."""
     draw = mix64(np.array([setting.seed * 1_000_003 + tree], np.uint64))
     u = ((mix64(key.view(np.uint64) ^ draw) >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
-    return (-np.log(u)) ** setting.bagging_temperature
+    return -np.log(u) if setting.bagging_temperature == 1 else (-np.log(u)) ** setting.bagging_temperature
 
 
 def gradients(y, margin, key, setting: Setting, tree: int) -> tuple[np.ndarray, np.ndarray]:
@@ -184,29 +210,48 @@ class Ask:
     places: int
     scores: bool = False  # also count the validation rows' scores
 
-    def count(self, bins, y, fold, key, margin, total: np.ndarray, cells: np.ndarray | None) -> None:
-        margin = margin + self.base
-        for t in self.pending:
-            margin = margin + t.margins(bins)
-        out = np.zeros(len(y), bool) if self.fit.left_out is None else fold == self.fit.left_out
+    def count(self, block: Block, margin: np.ndarray, total: np.ndarray, cells: np.ndarray | None) -> None:
+        out = np.zeros(block.n, bool) if self.fit.left_out is None else block.fold == self.fit.left_out
         if cells is not None and out.any():
-            cell = np.minimum((sigmoid(margin[out]) * AUC_CELLS).astype(np.int64), AUC_CELLS - 1)
-            cells += np.bincount(cell * 2 + (y[out] > 0), minlength=2 * AUC_CELLS)
-        node = np.zeros(len(y), np.int64) if self.tree is None else self.tree.nodes(bins)
-        place = self.place[node]
-        use = np.flatnonzero(~out & (fold != NO_FOLD) & (place >= 0))
+            at = np.flatnonzero(out)
+            score = sigmoid(self.margin({c: block.columns[c][at] for c in self.fit.columns}, margin[at]))
+            cell = np.minimum((score * AUC_CELLS).astype(np.int64), AUC_CELLS - 1)
+            cells += np.bincount(cell * 2 + (block.y[at] > 0), minlength=2 * AUC_CELLS)
+        use, place = self.rows(block, ~out & (block.fold != NO_FOLD))
         if not len(use):
             return
-        g, h = gradients(y[use], margin[use], key[use], self.fit.setting, self.number)
-        place, start = place[use], 0
+        columns = {c: block.columns[c][use] for c in self.fit.columns}
+        g, h = gradients(block.y[use], self.margin(columns, margin[use]), block.key[use], self.fit.setting, self.number)
+        start = 0
         for c, size in zip(self.fit.columns, self.sizes):
-            at = place * size + bins[use, c]
+            at = columns[c] if self.places == 1 else place * size + columns[c]
+            at = at.astype(np.intp, copy=False)  # once for the three sums
             end, shape = start + size, (self.places, size)
             total[0, :, start:end] += np.bincount(at, g, self.places * size).astype(np.int64).reshape(shape)
             total[1, :, start:end] += np.bincount(at, h, self.places * size).astype(np.int64).reshape(shape)
             total[2, :, start:end] += np.bincount(at, minlength=self.places * size).reshape(shape)
             start = end
 
+    def margin(self, columns, margin: np.ndarray) -> np.ndarray:
+        margin = margin + self.base
+        for t in self.pending:
+            margin += t.values(columns, len(margin))
+        return margin
+
+    def rows(self, block: Block, learns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(the learning rows of the nodes asked for, their places)"""
+        if self.tree is None:
+            use = np.flatnonzero(learns)
+            return use, np.zeros(len(use), np.int64)
+        if isinstance(self.tree, Tree):
+            parts = [(self.place[n], at[learns[at]]) for n, at in self.tree.parts(block.columns, block.n, self.place >= 0)]
+            if not parts:
+                return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return np.concatenate([at for _, at in parts]), np.repeat([p for p, _ in parts], [len(at) for _, at in parts])
+        place = self.place[self.tree.nodes(block.columns, block.n)]
+        use = np.flatnonzero(learns & (place >= 0))
+        return use, place[use]
+
 
 def scan(rows: DataFrame, width: int, n_fits: int, partitions: int, asks: dict[int, Ask]) -> tuple[dict[int, np.ndarray], dict[int, np.ndarray]]:
     """(fit -> [gradient, hessian, rows] x places x bins, fit -> score cells) over all rows."""
@@ -215,11 +260,9 @@ def scan(rows: DataFrame, width: int, n_fits: int, partitions: int, asks: dict[i
         totals = {f: np.zeros((3, a.places, int(a.sizes.sum())), np.int64) for f, a in asks.items()}
         cells = {f: np.zeros(2 * AUC_CELLS, np.int64) for f, a in asks.items() if a.scores}
         for batch in batches:
-            for i in range(0, batch.num_rows, CHUNK):
-                part = batch.slice(i, CHUNK)
-                bins, y, fold, key, margins = read_rows(part, width, n_fits)
+            for block in read_blocks(batch, width, n_fits):
                 for f, a in asks.items():
-                    a.count(bins, y, fold, key, margins[:, f], totals[f], cells.get(f))
+                    a.count(block, block.margins[f], totals[f], cells.get(f))
         fit, place, data = [], [], []
         for f, t in totals.items():
             for p in np.flatnonzero(t[2].any(1)):
@@ -259,29 +302,60 @@ def merged(part: DataFrame, partitions: int) -> DataFrame:
     return part
 
 
-ROWS = ("key", "label", "fold", "bins", "margins")
+@dataclass
+class Block:
+    """Up to ``BLOCK`` rows, column by column: one row of the written table."""
+
+    n: int
+    key: np.ndarray
+    y: np.ndarray
+    fold: np.ndarray
+    columns: np.ndarray  # features x rows
+    margins: np.ndarray  # fits x rows
+
+
+BLOCK_SCHEMA = "n int, key binary, label binary, fold binary, bins binary, margins binary"
+
+
+def read_blocks(batch: pa.RecordBatch, width: int, n_fits: int) -> Iterator[Block]:
+    for i in range(batch.num_rows):
+        n = batch.column("n")[i].as_py()
+        key, y, fold, bins, margins = (
+            np.frombuffer(batch.column(c)[i].as_buffer(), t)
+            for c, t in (("key", np.int64), ("label", np.float64), ("fold", np.int32), ("bins", np.uint8), ("margins", np.float64)))
+        yield Block(n, key, y, fold, bins.reshape(width, n), margins.reshape(n_fits, n))
 
 
-def read_rows(batch: pa.RecordBatch, width: int, n_fits: int):
-    bins = unpacked_rows(batch.column("bins"), np.uint8, width)
-    margins = unpacked_rows(batch.column("margins"), np.float64, n_fits)
-    y, fold, key = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("label", "fold", "key"))
-    return bins, y, fold, key, margins
+def block_batch(block: Block) -> pa.RecordBatch:
+    data = [pa.array([np.ascontiguousarray(a).tobytes()], pa.binary()) for a in (block.key, block.y, block.fold, block.columns, block.margins)]
+    return pa.RecordBatch.from_arrays([pa.array([block.n], pa.int32()), *data], names=["n", "key", "label", "fold", "bins", "margins"])
 
 
-def advance(rows: DataFrame, width: int, pending: list[list]) -> DataFrame:
-    """Rows with the pending trees of every fit added to their margins, written."""
+def advanced(rows: DataFrame, width: int, pending: list[list]) -> DataFrame:
+    """Rows with the pending trees of every fit added to their margins."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bins, _, _, _, margins = read_rows(batch, width, len(pending))
-            margins = margins.copy()
-            for f, trees in enumerate(pending):
-                for t in trees:
-                    margins[:, f] += t.margins(bins)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ROWS[:-1]], packed_rows(margins)], names=list(ROWS))
+            for block in read_blocks(batch, width, len(pending)):
+                block.margins = block.margins.copy()
+                for f, trees in enumerate(pending):
+                    for t in trees:
+                        block.margins[f] += t.values(block.columns, block.n)
+                yield block_batch(block)
 
-    return cut_lineage(rows.mapInArrow(run, rows.schema))
+    return rows.mapInArrow(run, BLOCK_SCHEMA)
+
+
+def fit_rows(rows: DataFrame, width: int, n_fits: int) -> DataFrame:
+    """(key, label, fold, margins) of every row, margins as packed doubles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in read_blocks(batch, width, n_fits):
+                yield pa.RecordBatch.from_arrays([pa.array(b.key), pa.array(b.y), pa.array(b.fold), packed_rows(b.margins.T)],
+                                                 names=["key", "label", "fold", "margins"])
+
+    return rows.mapInArrow(run, "key bigint, label double, fold int, margins binary")
 
 
 # ---- what the driver decides ----------------------------------------------------------------------------------------
@@ -538,20 +612,47 @@ def auc_of(cells: np.ndarray) -> float:
     return float((pos * (np.cumsum(neg) - neg + neg / 2.0)).sum() / (pos.sum() * neg.sum()))
 
 
-def prepare_rows(matrix: DataFrame, n_fits: int) -> tuple[DataFrame, int]:
-    """The written rows of a training, and their partitions. Margins start at 0; a fit's base is added when they are read."""
+def prepare_rows(matrix: DataFrame, width: int, n_fits: int) -> tuple[DataFrame, int, dict]:
+    """The written blocks of a training, their partitions, and the rows per (fold, label). Margins start at 0; a fit's base
+    is added when they are read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            margins = np.zeros((batch.num_rows, n_fits))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ROWS[:-1]], packed_rows(margins)], names=list(ROWS))
+        held, n = [], 0
+
+        def block(parts) -> pa.RecordBatch:
+            table = pa.Table.from_batches(parts).combine_chunks()
+            key, y, fold = (table.column(c).to_numpy().astype(t, copy=False) for c, t in (("key", np.int64), ("label", np.float64), ("fold", np.int32)))
+            bins = np.concatenate([unpacked_rows(b.column("bins"), np.uint8, width) for b in parts])
+            return block_batch(Block(len(y), key, y, fold, bins.T, np.zeros((n_fits, len(y)))))
 
-    ddl = "key bigint, label double, fold int, bins binary, margins binary"
-    rows = cut_lineage(matrix.select(*ROWS[:-1]).mapInArrow(run, ddl))
-    partitions = rows.rdd.getNumPartitions()
-    n = rows.count()
-    few = max(min(default_parallelism(rows.sparkSession), -(-n * n_fits // LEAST_ROWS)), -(-n // TASK_ROWS), 1)
-    return (rows.coalesce(few), few) if partitions > few else (rows, partitions)
+        for batch in batches:
+            start = 0
+            while start < batch.num_rows:
+                part = batch.slice(start, BLOCK - n)
+                held.append(part)
+                start, n = start + part.num_rows, n + part.num_rows
+                if n == BLOCK:
+                    yield block(held)
+                    held, n = [], 0
+        if n:
+            yield block(held)
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in read_blocks(batch, width, n_fits):
+                own = pa.table({"fold": b.fold, "label": b.y}).group_by(["fold", "label"]).aggregate([([], "count_all")])
+                yield pa.RecordBatch.from_arrays([*own.select(["fold", "label", "count_all"]).combine_chunks().to_batches()[0].columns],
+                                                 names=["fold", "label", "n"])
+
+    rows = cut_lineage(matrix.select("key", "label", "fold", "bins").mapInArrow(run, BLOCK_SCHEMA))
+    counted = rows.select("n", "key", "label", "fold", "bins", "margins").mapInArrow(tally, "fold int, label double, n bigint")
+    counts = {(r["fold"], r["label"]): r["n"] for r in counted.groupBy("fold", "label").agg(F.sum("n").alias("n")).collect()}
+    n = sum(counts.values())
+    size = n * (width + 8 * n_fits + 20)
+    few = max(min(default_parallelism(rows.sparkSession), -(-n * n_fits // LEAST_ROWS)), -(-n // TASK_ROWS), -(-size // TASK_BYTES), 1)
+    if rows.rdd.getNumPartitions() != few:  # blocks are moved, not rows
+        rows = rows.repartition(few)
+    return rows.persist(StorageLevel.MEMORY_AND_DISK), few, counts
 
 
 def train(matrix: DataFrame, borders: Borders, fits: Sequence[Fit]) -> list[Boosted]:
@@ -561,8 +662,9 @@ def train(matrix: DataFrame, borders: Borders, fits: Sequence[Fit]) -> list[Boos
 
 def train_rows(matrix: DataFrame, borders: Borders, fits: Sequence[Fit], margins: bool = False) -> tuple[list[Boosted], DataFrame | None]:
     """``train``; with ``margins`` also the rows with every fit's margin after its last tree (without ``patience``)."""
-    rows, partitions = prepare_rows(matrix, len(fits))
-    counts = {(r["fold"], r["label"]): r["n"] for r in rows.groupBy("fold", "label").agg(F.count("*").alias("n")).collect()}
+    width = len(borders.names)
+    rows, partitions, counts = prepare_rows(matrix, width, len(fits))
+    old, moves = None, 0
     unknown = {label for _, label in counts} - {0.0, 1.0}
     if unknown:
         raise ValueError(f"labels must be 0 or 1, found {sorted(unknown, key=str)}")
@@ -570,7 +672,6 @@ def train_rows(matrix: DataFrame, borders: Borders, fits: Sequence[Fit], margins
     for fit in fits:
         n = [sum(c for (fold, label), c in counts.items() if fold not in (NO_FOLD, fit.left_out) and label == v) for v in (0.0, 1.0)]
         bases.append(math.log((n[1] + 0.5) / (n[0] + 0.5)) if not n[0] or not n[1] else math.log(n[1] / n[0]))
-    width = len(borders.names)
     models = [Boosted(b, []) for b in bases]
     pending: list[list] = [[] for _ in fits]
     sizes = [borders.sizes[f.columns] for f in fits]
@@ -598,6 +699,9 @@ def train_rows(matrix: DataFrame, borders: Borders, fits: Sequence[Fit], margins
             a, b = scan(rows, width, len(fits), partitions, lot)
             totals.update(a)
             cells.update(b)
+        if old is not None:  # the scan has read, and so written, the rows that replace these
+            old.unpersist()
+            old = None
         for f, c in cells.items():
             models[f].auc.append(auc_of(c))
             best = int(np.nanargmax(models[f].auc)) if not np.isnan(models[f].auc).all() else 0
@@ -613,12 +717,24 @@ def train_rows(matrix: DataFrame, borders: Borders, fits: Sequence[Fit], margins
             pending[f].append(tree)
             if len(models[f].trees) < fits[f].setting.trees or fits[f].patience is not None:
                 begin(f)
-        if growers and max(map(len, pending)) >= CUT_TREES:
-            rows = advance(rows, width, pending)
+        if growers and due(pending):
+            old, moves = rows, moves + 1
+            rows = advanced(rows, width, pending)
+            rows = (cut_lineage(rows) if moves % CUT_MOVES == 0 else rows).persist(StorageLevel.MEMORY_AND_DISK)
             pending = [[] for _ in fits]
-    if not margins:
-        return models, None
-    return models, advance(rows, width, [[*p, *_constant(b)] for p, b in zip(pending, bases)])
+    if old is not None:
+        old.unpersist()
+    last = fit_rows(advanced(rows, width, [[*p, *_constant(b)] for p, b in zip(pending, bases)]), width, len(fits)) if margins else None
+    if last is not None:
+        last = cut_lineage(last)
+    rows.unpersist()
+    return models, last
+
+
+def due(pending: list[list]) -> bool:
+    """Whether margins are written anew: leaf-wise trees cost more to walk through in every scan than to write once."""
+    leafwise = sum(isinstance(t, Tree) for trees in pending for t in trees)
+    return max(map(len, pending)) >= CUT_TREES or leafwise >= CUT_LEAFWISE * len(pending)
 
 
 def _constant(value: float) -> list[Tree]:

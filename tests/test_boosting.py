@@ -317,3 +317,14 @@ def test_combinations_and_permutations(spark):
     for k, seed in enumerate(["s", "t"]):
         for r in ordered_target_encode(both, ["a", "b", "ab"], "y", "id", seed=seed).collect():
             assert [got[r.id, k, f] for f in ("a", "b", "a+b")] == pytest.approx([r.a_te, r.b_te, r.ab_te])
+
+
+def test_rows_are_kept_in_blocks_that_the_scans_share(table, monkeypatch):
+    monkeypatch.setattr(B, "BLOCK", 64)
+    df, rows = table
+    matrix, borders = matrix_of(df)
+    blocks, partitions, counts = B.prepare_rows(matrix, D, 2)
+    assert blocks.rdd.getNumPartitions() == partitions and sum(counts.values()) == len(rows) and blocks.count() < len(rows) / 32
+    back = {r.key: (r.label, r.fold) for r in B.fit_rows(blocks, D, 2).collect()}
+    assert back == {r[0]: (r[1], r[2]) for r in rows}
+    blocks.unpersist()
