@@ -113,9 +113,9 @@ class Tree:
             left = int(self.left[node])
             if (left < 0 and whole) or (not whole and asked[node]):
                 yield node, at
-            if left < 0:
-                continue
             right = int(self.right[node])
+            if left < 0 or not (whole or enter[left] or enter[right]):
+                continue
             goes = columns[int(self.column[node])][at] > self.bin[node]
             if whole or enter[right]:
                 todo.append((right, at[goes]))

@@ -328,3 +328,14 @@ def test_rows_are_kept_in_blocks_that_the_scans_share(table, monkeypatch):
     back = {r.key: (r.label, r.fold) for r in B.fit_rows(blocks, D, 2).collect()}
     assert back == {r[0]: (r[1], r[2]) for r in rows}
     blocks.unpersist()
+
+
+def test_leafwise_trees_enter_only_branches_asked_for(monkeypatch):
+    #        0: column 0 > 3 -> 2 (column 1 > 1 -> 4 else 3) else 1
+    tree = B.Tree(np.array([0, -1, 1, -1, -1]), np.array([3, -1, 1, -1, -1]), np.array([1, -1, 3, -1, -1]), np.array([2, -1, 4, -1, -1]),
+                  np.array([0, 1.0, 0, 2.0, 3.0]), np.zeros(5, int), np.zeros(5))
+    columns = np.array([[1, 5, 7, 3], [9, 0, 2, 9]], np.uint8)
+    assert tree.values(columns, 4).tolist() == tree.margins(columns.T).tolist() == [1.0, 2.0, 3.0, 1.0]
+    assert [(n, at.tolist()) for n, at in tree.parts(columns, 4, np.array([0, 1, 0, 0, 0], bool))] == [(1, [0, 3])]
+    assert [(n, at.tolist()) for n, at in tree.parts({0: columns[0]}, 4, np.array([0, 0, 1, 0, 0], bool))] == [(2, [1, 2])]  # no branch below
+    assert not B.due([[tree], [tree, tree]]) and B.due([[tree, tree], [tree, tree]])
