@@ -118,6 +118,20 @@ def test_gam_keeps_one_vector_a_row_and_large_fits_take_turns(spark, monkeypatch
     assert [experiment.fits_at_once(6, n) for n in (0, 1000, 9_000_000, 54_000_000)] == [6, 6, 1, 1] and experiment.fits_at_once(6, 1 << 22) == 4
 
 
+def test_fits_keep_the_columns_they_read():
+    from pyspark.ml import Pipeline
+
+    from kestrel.operators import models as L
+    from kestrel.operators.ensemble import SoftVotingClassifier
+    from kestrel.plans.experiment import read_columns
+
+    every = ["id", "x", "y", "label", "features"]
+    for e in (L.logistic(), L.gaussian_nb(), BinnedAdditiveClassifier()):
+        assert read_columns(e, every, ["id", "y"]) == ["id", "y", "label", "features"]
+    for e in (Pipeline(stages=[]), SoftVotingClassifier([("nb", L.gaussian_nb())], weights=[1])):
+        assert read_columns(e, every, ["id", "y"]) == every
+
+
 def test_gam_learns_signal_and_persists(spark, tmp_path):
     df = art(spark, SF)
     pre = TabularPreprocessor(numCols=NUM, catCols=list(ART_CAT)).fit(df)
