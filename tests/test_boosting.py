@@ -339,3 +339,41 @@ def test_leafwise_trees_enter_only_branches_asked_for(monkeypatch):
     assert [(n, at.tolist()) for n, at in tree.parts(columns, 4, np.array([0, 1, 0, 0, 0], bool))] == [(1, [0, 3])]
     assert [(n, at.tolist()) for n, at in tree.parts({0: columns[0]}, 4, np.array([0, 0, 1, 0, 0], bool))] == [(2, [1, 2])]  # no branch below
     assert not B.due([[tree], [tree, tree]]) and B.due([[tree, tree], [tree, tree]])
+
+
+@pytest.mark.parametrize("bits", [53, 20])
+def test_columns_of_few_bins_are_counted_together(monkeypatch, bits):
+    """Joint codes and the one sum of hessians and rows give the sums of the columns one by one, also where one sum is too narrow."""
+    monkeypatch.setattr(B, "EXACT_BITS", bits)
+    rng = np.random.default_rng(5)
+    n, sizes = 700, np.array([255, 2, 1, 3, 2, 40, 2])
+    columns = np.array([rng.integers(0, s, n) for s in sizes], np.uint8)
+    block = B.Block(n, None, rng.integers(0, 2, n).astype(np.uint8), rng.integers(-1, 3, n).astype(np.int8), columns, rng.normal(size=(1, n)))
+    groups = B.column_groups(sizes)
+    assert sorted(c for g in groups for c in g) == list(range(7)) and len(groups) == 3
+    assert all(math.prod(int(sizes[c]) for c in g) <= B.GROUP_CELLS for g in groups)
+    tree = B.Tree(np.array([0, -1, -1]), np.array([90, -1, -1]), np.array([1, -1, -1]), np.array([2, -1, -1]), np.zeros(3), np.zeros(3, int), np.zeros(3))
+    for partial, place, places in ((None, np.array([0]), 1), (tree, np.array([-1, 1, 0]), 2)):
+        ask = B.Ask(B.Fit(B.Setting(), list(range(7)), 2), 0.1, sizes, 0, [], partial, place, places)
+        found = ask.sums()
+        ask.count(block, block.margins[0], found, None)
+        want = np.zeros((3, places, int(sizes.sum())), np.int64)
+        g, h = B.gradients(block.y, block.margins[0] + 0.1, None, ask.fit.setting, 0)
+        for i in np.flatnonzero((block.fold != 2) & (block.fold != B.NO_FOLD)):
+            node = 0 if partial is None else 1 + (columns[0, i] > 90)
+            for c, end in enumerate(np.cumsum(sizes)):
+                want[:, place[node], end - sizes[c] + columns[c, i]] += [int(g[i]), int(h[i]), 1]
+        assert np.array_equal(ask.total(found), want)
+
+
+def test_scans_read_blocks_as_stored_and_cores_get_even_tasks(table, monkeypatch):
+    monkeypatch.setattr(B, "BLOCK", 16)
+    monkeypatch.setattr(B, "TASK_ROWS", 50)
+    df, rows = table
+    matrix, _ = matrix_of(df)
+    blocks, partitions, counts = B.prepare_rows(matrix, D, 2, keyed=False)
+    assert partitions % df.sparkSession.sparkContext.defaultParallelism == 0 and partitions >= 900 / 50
+    first = blocks.rdd.first()
+    assert first.key is None and first.y.dtype == np.uint8 and first.fold.dtype == np.int8 and first.margins.shape == (2, first.n)
+    assert sum(counts.values()) == len(rows) == sum(blocks.rdd.map(lambda b: b.n).collect())
+    blocks.unpersist()
