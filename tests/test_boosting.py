@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from kestrel.operators import binning as N
 from kestrel.operators import boosting as B
-from kestrel.operators.histogram_booster import HistogramBooster
+from kestrel.operators.histogram_booster import HistogramBooster, binned_trees, tree_margins
 from kestrel.operators.target_encoding import (
     chosen_combinations, combination_gains, ordered_target_encode, ordered_target_encode_folds, ordered_target_permutations,
 )
+from kestrel.plans.experiment import shared_columns
 
 D = 4
 
@@ -377,3 +378,66 @@ def test_scans_read_blocks_as_stored_and_cores_get_even_tasks(table, monkeypatch
     assert first.key is None and first.y.dtype == np.uint8 and first.fold.dtype == np.int8 and first.margins.shape == (2, first.n)
     assert sum(counts.values()) == len(rows) == sum(blocks.rdd.map(lambda b: b.n).collect())
     blocks.unpersist()
+
+
+def grown(rng, columns, leaves):
+    """A random leaf-wise tree: children after their parents."""
+    left, right, column, at = [-1], [-1], [-1], [-1]
+    for _ in range(leaves - 1):
+        node = int(rng.choice([i for i in range(len(left)) if left[i] < 0]))
+        left[node], right[node], column[node], at[node] = len(left), len(left) + 1, int(rng.integers(0, len(columns))), int(rng.integers(0, 9))
+        for a in (left, right, column, at):
+            a += [-1, -1]
+    n = len(left)
+    return B.Tree(*[np.array(a) for a in (column, at, left, right)], rng.normal(size=n), np.zeros(n, int), np.zeros(n))
+
+
+@pytest.mark.parametrize("leaves", [1, 7, 64, 65, 90])
+def test_masks_find_the_rows_that_places_find(leaves):
+    rng = np.random.default_rng(leaves)
+    n, columns = 500, rng.integers(0, 10, (4, 500)).astype(np.uint8)
+    tree = grown(rng, columns, leaves)
+    want, node_of = np.empty(n), np.empty(n, int)
+    for node, at in tree.parts(columns, n):
+        want[at], node_of[at] = tree.value[node], node
+    assert np.array_equal(tree.values(columns, n), want)
+    some = np.flatnonzero(tree.left < 0)[::3]
+    number = np.full(len(tree.left), -1)
+    number[some] = np.arange(len(some))
+    rows = rng.random(n) < 0.6
+    found = tree.numbers(columns, n, number, rows).astype(int) - 1
+    assert np.array_equal(found, np.where(rows, number[node_of], -1))
+    block = B.Block(n, None, np.zeros(n), np.zeros(n, int), columns, np.zeros((1, n)))
+    use, place = B.Ask(B.Fit(B.Setting(), [0, 1, 2, 3]), 0.0, np.full(4, 10), 0, [], tree, number, len(some)).rows(block, rows)
+    assert dict(zip(use.tolist(), place.tolist())) == {i: p for i, p in enumerate(found) if p >= 0}
+    if leaves > 1:  # scoring: every value is compared with the borders once
+        x = np.where(rng.random((n, 4)) < 0.1, np.nan, columns.T + rng.normal(size=(n, 4)).round(1))
+        border = np.where(tree.column >= 0, tree.bin + rng.integers(0, 3, len(tree.bin)) / 2, 0.0)
+        saved = {"column": tree.column, "border": border, "left": tree.left, "right": tree.right, "value": tree.value, "rows": tree.rows, "gain": tree.gain}
+        got = tree_margins(*binned_trees([{k: v.tolist() for k, v in saved.items()}] * 2), x)
+        for i in range(n):
+            node = 0
+            while tree.left[node] >= 0:
+                node = tree.right[node] if x[i, tree.column[node]] > border[node] else tree.left[node]
+            assert got[i] == 2 * tree.value[node]
+
+
+def test_fits_share_equal_features():
+    none, one = np.zeros(0), np.array([0.0])
+    fine = [np.array([1.0, 2.0]), one, np.array([1.0, 2.0]), one, none]
+    borders = N.Borders([f"n{i}" for i in range(5)], fine, {32: [np.arange(len(b)) for b in fine]})
+    keys = [("number", "x", 0.5), ("is", "c", "a", "b"), ("number", "x", 0.25), ("is", "c", "a", "b"), ("is", "c", "a", "b")]
+    values, own, place = shared_columns(dict.fromkeys(borders.names), keys, borders)
+    # equal features and borders once; an equal feature with other borders is a column of its own
+    assert list(values) == own.names == ["n0", "n1", "n2", "n4"] and place == [0, 1, 2, 1, 3]
+    assert [len(b) for b in own.fine] == [len(b) for b in own.coarse[32]] == [2, 1, 2, 0]
+
+
+def test_borders_of_many_columns(spark, monkeypatch):
+    """More values than one pass takes, over several partitions, columns without values among them."""
+    monkeypatch.setattr(N, "TOGETHER", 2)
+    df = spark.range(0, 600, 1, 4)
+    values = {f"f{i}": (F.col("id") % (i + 2)).cast("double") if i != 3 else F.lit(None).cast("double") for i in range(5)}
+    borders = N.learn_borders(df, values)
+    assert [b.tolist() for b in borders.fine] == [[float(v) for v in range(i + 1)] if i != 3 else [] for i in range(5)]
+    assert N.learn_borders(df.where("id < 0"), values).fine[0].tolist() == []
